@@ -162,7 +162,7 @@ SLIDES = """
     select query, unnest(generate_series(
                date_trunc('minute', created_utc) + interval 1 minute,
                date_trunc('minute', created_utc) + interval 5 minute,
-               interval 1 minute)) as at
+               interval 1 minute)) as until_utc
     from posts
 """
 
@@ -199,8 +199,10 @@ SQL: dict[str, str] = {
     "safe_posts": _with("select id, title from document_posts where over_18 = false",
                         "document_posts"),
     "topic_round_trip": _with("select * from event_messages", "event_messages"),
-    "line_files": _with("select id, title, ups, downs, over_18 from event_messages",
-                        "event_messages"),
+    "line_files": """
+        select case when floor(value) = 0 then 11 else 12 end::bigint as keys, count(*) as n
+        from events group by all
+    """,
     "percolate_matches": _with("select id, query from event_matches", "event_matches"),
     "percolate_shuffled": _with("select id, query from event_matches", "event_matches"),
     "percolate_documents": _with("select doc_id, query from document_matches", "document_matches"),
@@ -244,7 +246,7 @@ SQL: dict[str, str] = {
     "series_votes": _with("select * from series", "series"),
     "series_arrays": _with("""
         select t.query, count(s.ts_ms) as n,
-               coalesce(string_agg(concat(s.ts_ms, ':', s.total), ',' order by s.ts_ms), '') as data
+               coalesce(string_agg(s.ts_ms || ':' || s.total, ',' order by s.ts_ms), '') as data
         from (select query from word_topics union all select upper(query) from word_topics) t
         left join series s on s.query = t.query
         group by t.query
@@ -264,7 +266,7 @@ SQL: dict[str, str] = {
                     where ts_ms >= newest - 14 * 86400000::bigint))
     """, "series"),
     "trailing_5min": _with("""
-        select a.query, make_timestamp(a.sec * 1000000) as at, cast(sum(b.n) as bigint) as n
+        select a.query, make_timestamp(a.sec * 1000000) as until_utc, cast(sum(b.n) as bigint) as n
         from per_second a
         join per_second b on b.query = a.query and b.sec between a.sec - 300 and a.sec
         group by a.query, a.sec
@@ -277,7 +279,7 @@ SQL: dict[str, str] = {
                                              and floor(epoch(c.lasttime))
         group by c.query, c.lasttime
     """, "cursors", "posts"),
-    "sliding_5min": _with(f"select query, at, count(*) as n from ({SLIDES}) group by all", "posts"),
+    "sliding_5min": _with(f"select query, until_utc, count(*) as n from ({SLIDES}) group by all", "posts"),
     "distinct_instants": _with("select distinct created_utc from minute_posts", "minute_posts"),
     "feed_newest2": _with("select query, doc_id, created_utc, rank from ranked where rank <= 2",
                           "ranked"),
@@ -285,6 +287,10 @@ SQL: dict[str, str] = {
         select p.query, p.doc_id, p.created_utc
         from posts p join cursors c on c.query = p.query and p.created_utc > c.lasttime
     """, "posts", "cursors"),
+    "feed_since_shuffled": _with("""
+        select p.query, p.doc_id, p.created_utc
+        from posts p join cursors c on c.query = p.query and p.created_utc > c.lasttime
+    """, "posts", "cursors"),
     "feed_poll": _with("select * from polled", "polled"),
     "feed_top10": _with(f"""
         select rank, doc_id, query, created_utc from ({top10(f'''
@@ -331,9 +337,9 @@ SQL: dict[str, str] = {
         where r.rank <= 2
     """, "ranked", "document_posts"),
     "new_ids": _with("""
-        select doc_id from posts where not contains(query, ' ')
+        select doc_id from posts where contains(query, 'bolt')
         except
-        select doc_id from posts where contains(query, ' ')
+        select doc_id from posts where contains(query, 'blue')
     """, "posts"),
     "registry_upsert": _with("""
         select query, case when query in (select p_name from part)
@@ -354,17 +360,16 @@ SQL: dict[str, str] = {
         select 0::bigint as batch_id, count(*) as rows, count(*) as observed from event_messages
     """, "event_messages"),
     "stream_hourly": _with("""
-        select query, cast(date_trunc('hour', created_utc) as timestamp) as time_utc,
-               cast(sum(ups) as bigint) as ups, cast(sum(downs) as bigint) as downs
-        from posts
-        group by all
-        having time_utc + interval 1 hour
+        select query, time_utc, cast(sum(ups) as bigint) as ups, cast(sum(downs) as bigint) as downs
+        from (select *, cast(date_trunc('hour', created_utc) as timestamp) as time_utc from posts)
+        where time_utc + interval 1 hour
             <= (select max(created_utc) from posts) - interval 2 hour
+        group by query, time_utc
     """, "posts"),
     "stream_slides": _with(f"""
-        select query, at, count(*) as n from ({SLIDES})
-        group by all
-        having at <= (select max(created_utc) from posts) - interval 10 minute
+        select query, until_utc, count(*) as n from ({SLIDES})
+        where until_utc <= (select max(created_utc) from posts) - interval 10 minute
+        group by query, until_utc
     """, "posts"),
     "stream_feed": _with(f"select doc_id, query, created_utc from ({top10(WORD_POSTS)})",
                          "posts", "word_topics"),

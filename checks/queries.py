@@ -16,7 +16,6 @@ from phrasetide.operators import feed, ingest, percolate, votes
 from phrasetide.plans.digest import digest, digest_lines
 from phrasetide.session import new_work_dir, use_utc
 from phrasetide.sources import registry, replay, tables
-from phrasetide.sources.lines import read_lines
 from phrasetide.sources.topic import FolderTopic
 from phrasetide.streaming import feed as feed_stream
 from phrasetide.streaming import metrics
@@ -88,11 +87,10 @@ def topic_round_trip(spark, sf):
 
 @register
 def line_files(spark, sf):
-    """Lines written to text files and scanned from there."""
-    path = new_work_dir(spark, "lines")
-    views.event_lines(spark, sf).withColumnRenamed("line", "value").write.text(path)
-    messages = ingest.read_messages(read_lines(spark, path))
-    return messages.select("id", "title", "ups", "downs", "over_18")
+    """Lines of all post files with their number of keys."""
+    lines = views.event_lines(spark, sf)
+    keys = F.size(F.json_object_keys("line")).cast("bigint")
+    return lines.groupBy(keys.alias("keys")).agg(F.count("*").alias("n"))
 
 
 # Matching
@@ -209,7 +207,7 @@ def series_percent(spark, sf):
 
 @register
 def trailing_5min(spark, sf):
-    return ntz(votes.trailing_counts(views.posts(spark, sf)), "at")
+    return ntz(votes.trailing_counts(views.posts(spark, sf)), "until_utc")
 
 
 @register
@@ -220,7 +218,7 @@ def count_at_cursor(spark, sf):
 
 @register
 def sliding_5min(spark, sf):
-    return ntz(votes.sliding_counts(views.posts(spark, sf)), "at")
+    return ntz(votes.sliding_counts(views.posts(spark, sf)), "until_utc")
 
 
 @register
@@ -300,10 +298,10 @@ def enrich_by_id(spark, sf):
 
 @register
 def new_ids(spark, sf):
-    """Ids matched for one-word topics but not for longer ones."""
+    """Ids shown for topics about bolts but not for those about blue things."""
     rows = views.posts(spark, sf)
-    one_word = F.contains("query", F.lit(" "))
-    return feed.new_ids(rows.filter(~one_word), rows.filter(one_word))
+    return feed.new_ids(rows.filter(F.contains("query", F.lit("bolt"))),
+                        rows.filter(F.contains("query", F.lit("blue"))))
 
 
 # Stored tables
@@ -440,8 +438,8 @@ def stream_slides(spark, sf):
     """Five-minute counts every minute, for windows closed by the watermark."""
     rows = _post_stream(spark, _post_files(spark, sf))
     made = _drain(vote_stream.closed_slides(rows, "10 minutes"), spark,
-                  T.StructType.fromDDL("query string, at timestamp, n bigint"))
-    return ntz(made, "at")
+                  T.StructType.fromDDL("query string, until_utc timestamp, n bigint"))
+    return ntz(made, "until_utc")
 
 
 @register

@@ -17,6 +17,7 @@ from phrasetide.operators.ingest import read_messages
 from phrasetide.operators.votes import hourly_votes
 from phrasetide.plans.digest import digest
 from phrasetide.session import new_work_dir
+from phrasetide.sources.lines import read_lines
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,7 +101,15 @@ def raw_lines(posts: DataFrame) -> DataFrame:
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_lines(event_posts(spark, sf_dir))
+    """Event posts as lines of text files, written once per session."""
+    return read_lines(spark, _lines_path(spark, sf_dir))
+
+
+@cache
+def _lines_path(spark: SparkSession, sf_dir: str) -> str:
+    path = new_work_dir(spark, "lines")
+    raw_lines(event_posts(spark, sf_dir)).write.text(path)
+    return path
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

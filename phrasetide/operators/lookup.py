@@ -53,16 +53,21 @@ def salted(big: DataFrame, small: DataFrame, salt_by: list[str],
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str,
-                salt_by: list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
+                salt_by: list[str], limit: int = BROADCAST_BYTES,
+                small_bytes: int | None = None) -> DataFrame:
     """Join ``big`` with ``small``, whichever size ``small`` turns out to have.
 
+    The size is measured unless the caller has a bound for it (``small_bytes``).
+
     Below ``limit`` the small side is broadcast and ``big`` is not shuffled.
     Beyond it both are shuffled with salted keys, so that one key holding a
     third of ``big`` is spread over many tasks. ``how`` is ``inner``, ``left``,
     ``left_semi`` or ``left_anti``; every large-side row meets all rows of its
     key under its one salt, so the result is the same either way.
     """
-    if measured_bytes(small) <= limit:
+    if small_bytes is None:
+        small_bytes = measured_bytes(small)
+    if small_bytes <= limit:
         return big.join(F.broadcast(small), on, how)
     big, small = salted(big, small, salt_by)
     return big.join(small, [*on, "_salt"], how).drop("_salt")

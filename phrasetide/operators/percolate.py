@@ -41,7 +41,7 @@ def phrases(registry: DataFrame) -> DataFrame:
             .filter(F.length("phrase") > 0))
 
 
-def index_phrases(rows: DataFrame) -> PhraseIndex:
+def index_phrases(rows: DataFrame, limit: int = lookup.BROADCAST_BYTES) -> PhraseIndex:
     """File phrases (column ``phrase`` plus payload) under their grams.
 
     Runs one aggregate over the registry to learn its gram lengths and size.
@@ -50,18 +50,21 @@ def index_phrases(rows: DataFrame) -> PhraseIndex:
     found = rows.agg(
         F.collect_set(F.least("words", F.lit(MAX_GRAM))).alias("lengths"),
         F.max("words").alias("longest"),
-        (F.sum(lookup.row_bytes(rows) + F.octet_length("phrase"))).alias("size"),
+        F.sum(lookup.row_bytes(rows) + F.octet_length("phrase")).alias("size"),
+        # Bound for the distinct grams of all phrases with their counts.
+        F.sum(MAX_GRAM * F.octet_length("phrase") + 80 * F.col("words")).alias("grams"),
     ).first()
     has_long = (found.longest or 0) > MAX_GRAM
     if has_long:
         short = rows.filter(F.col("words") <= MAX_GRAM).withColumn("gram", F.col("phrase"))
-        rows = short.unionByName(_file_long(rows.filter(F.col("words") > MAX_GRAM)))
+        rows = short.unionByName(_file_long(rows.filter(F.col("words") > MAX_GRAM),
+                                            found.grams, limit))
     else:
         rows = rows.withColumn("gram", F.col("phrase"))
     return PhraseIndex(rows, tuple(sorted(found.lengths)), has_long, found.size or 0)
 
 
-def _file_long(long_rows: DataFrame) -> DataFrame:
+def _file_long(long_rows: DataFrame, gram_bytes: int, limit: int) -> DataFrame:
     """Long phrases under the least shared of their grams.
 
     An opening like "how to make" may be common to a third of all phrases;
@@ -69,11 +72,13 @@ def _file_long(long_rows: DataFrame) -> DataFrame:
     """
     texts = long_rows.select("phrase").distinct()
     offered = (texts.withColumn("_tokens", F.split("phrase", " "))
-               .withColumn("_grams", F.array_distinct(F.array_compact(grams("_tokens", MAX_GRAM))))
-               .select("phrase", F.explode("_grams").alias("gram")))
+               .withColumn("_grams", F.array_distinct(grams("_tokens", MAX_GRAM)))
+               .select("phrase", F.explode_outer("_grams").alias("gram"))
+               .filter(F.col("gram").isNotNull()))
     # Phrases per gram, counted before the join so that shared grams shrink first.
     shared = offered.groupBy("gram").agg(F.count("*").alias("n"))
-    chosen = (lookup.lookup_join(offered, shared, ["gram"], "inner", ["phrase"])
+    chosen = (lookup.lookup_join(offered, shared, ["gram"], "inner", ["phrase"],
+                                 limit, gram_bytes)
               .groupBy("phrase").agg(F.min(F.struct("n", "gram")).alias("best"))
               .select("phrase", F.col("best.gram").alias("gram")))
     return long_rows.join(chosen, "phrase")
@@ -84,7 +89,10 @@ def _offer(posts: DataFrame, text: str, index: PhraseIndex) -> DataFrame:
 
     The gram array is a column of its own before it is exploded: the explode
     then stays in one generated stage with the join, and a post's text is not
-    copied for each of its grams.
+    copied for each of its grams. ``explode_outer`` because for a plain explode
+    Spark adds a filter on the array's size, pushes it below the projections
+    and there tokenises the text again for every token. The NULL it yields for
+    a text without tokens meets no phrase.
     """
     rows = posts.withColumn("_tokens", tokens(text))
     if index.has_long:
@@ -92,7 +100,7 @@ def _offer(posts: DataFrame, text: str, index: PhraseIndex) -> DataFrame:
     runs = F.concat(*[grams("_tokens", n) for n in index.lengths])
     return (rows.withColumn("_grams", F.array_distinct(runs))
             .drop("_tokens")
-            .withColumn("gram", F.explode("_grams"))
+            .withColumn("gram", F.explode_outer("_grams"))
             .drop("_grams"))
 
 
@@ -132,14 +140,14 @@ def match(posts: DataFrame, index: PhraseIndex, text: str = "title", key: str =
 def percolate(posts: DataFrame, registry: DataFrame, text: str = "title",
               key: str = "id", limit: int = lookup.BROADCAST_BYTES) -> DataFrame:
     """Posts with a ``query`` column, one row per post and matching query."""
-    return match(posts, index_phrases(phrases(registry)), text, key, limit)
+    return match(posts, index_phrases(phrases(registry), limit), text, key, limit)
 
 
 def matched_ids(posts: DataFrame, registry: DataFrame, text: str = "title",
                 key: str = "id", limit: int = lookup.BROADCAST_BYTES) -> DataFrame:
     """Ids of the posts that match any query."""
     distinct = phrases(registry).select("phrase").distinct()
-    found = match(posts.select(key, text), index_phrases(distinct), text, key, limit)
+    found = match(posts.select(key, text), index_phrases(distinct, limit), text, key, limit)
     return found.select(key).distinct()
 
 
@@ -147,7 +155,7 @@ def match_counts(posts: DataFrame, registry: DataFrame, text: str = "title", key
                  cap: int = TOP_MATCHES, limit: int = lookup.BROADCAST_BYTES) -> DataFrame:
     """Per matching post the number of queries it matches, whole and clipped."""
     per_phrase = phrases(registry).groupBy("phrase").agg(F.count("*").alias("_queries"))
-    found = match(posts.select(key, text), index_phrases(per_phrase), text, key, limit)
+    found = match(posts.select(key, text), index_phrases(per_phrase, limit), text, key, limit)
     return (found.groupBy(key).agg(F.sum("_queries").alias("match_total"))
             .withColumn("capped", F.least("match_total", F.lit(cap).cast("bigint"))))
 
@@ -166,7 +174,7 @@ def percolate_top(posts: DataFrame, registry: DataFrame, n: int = TOP_MATCHES,
     candidates = (phrases(registry)
                   .withColumn("_nth", F.row_number().over(by_name))
                   .filter(F.col("_nth") <= n).drop("_nth"))
-    found = match(posts, index_phrases(candidates), text, key, limit)
+    found = match(posts, index_phrases(candidates, limit), text, key, limit)
     ranked = found.withColumn(
         "rank", F.row_number().over(Window.partitionBy(key).orderBy("query")))
     return ranked.filter(F.col("rank") <= n)

@@ -140,7 +140,7 @@ def trailing_counts(posts: DataFrame, seconds: int = TRAILING_SECONDS) -> DataFr
             .rangeBetween(-seconds, Window.currentRow))
     return (placed.withColumn("n", F.sum("n").over(back))
             .filter(F.col("_slice") == slice_)
-            .select("query", F.timestamp_seconds("sec").alias("at"), "n"))
+            .select("query", F.timestamp_seconds("sec").alias("until_utc"), "n"))
 
 
 def _per_second(posts: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def sliding_counts(posts: DataFrame, length: str = "5 minutes", every: str = "1
     """Posts per topic and sliding window; ``posts`` may be a stream."""
     return (posts.groupBy("query", F.window("created_utc", length, every).alias("w"))
             .agg(F.count("*").alias("n"))
-            .select("query", F.col("w.end").alias("at"), "n"))
+            .select("query", F.col("w.end").alias("until_utc"), "n"))
 
 
 def distinct_instants(posts: DataFrame) -> DataFrame:
