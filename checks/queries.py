@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def rank() -> Column:
+    return F.col("rank").cast("bigint").alias("rank")
+
+
 def register(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(use_utc(spark), sf_dir)
@@ -138,7 +142,7 @@ def percolate_counts(spark, sf):
 @register
 def percolate_top5(spark, sf):
     top = percolate.percolate_top(views.event_messages(spark, sf), views.part_registry(spark, sf))
-    return top.select("id", "query", "rank")
+    return top.select("id", "query", rank())
 
 
 @register
@@ -231,7 +235,7 @@ def distinct_instants(spark, sf):
 @register
 def feed_newest2(spark, sf):
     made = feed.newest(views.posts(spark, sf), views.part_registry(spark, sf))
-    return ntz(made.select("query", "doc_id", "created_utc", "rank"), "created_utc")
+    return ntz(made.select("query", "doc_id", "created_utc", rank()), "created_utc")
 
 
 @register
@@ -258,7 +262,7 @@ def feed_top10(spark, sf):
     rows = views.posts(spark, sf)
     seen = rows.filter(F.col("subreddit") == "purchase").select("doc_id")
     made = feed.top_feed(rows, views.word_topics(spark, sf), seen)
-    return ntz(made.select("rank", "doc_id", "query", "created_utc"), "created_utc")
+    return ntz(made.select(rank(), "doc_id", "query", "created_utc"), "created_utc")
 
 
 @register
@@ -291,7 +295,7 @@ def topic_list(spark, sf):
 def enrich_by_id(spark, sf):
     """Newest posts with title and votes taken from the documents of that id."""
     shown = feed.newest(views.posts(spark, sf)).select(
-        "query", "doc_id", "title", "url", "ups", "rank")
+        "query", "doc_id", "title", "url", "ups", rank())
     docs = views.document_posts(spark, sf).withColumnRenamed("id", "doc_id")
     return feed.enrich(shown, docs, ["title", "url", "ups", "gilded"])
 

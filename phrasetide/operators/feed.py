@@ -133,7 +133,7 @@ def render(feed: DataFrame) -> DataFrame:
     """
     arrival = Window.orderBy("created_utc", "doc_id")
     return feed.select(
-        (F.row_number().over(arrival) - 1).alias("ui_id"),
+        (F.row_number().over(arrival) - 1).cast("bigint").alias("ui_id"),
         "doc_id", "query",
         display_time("created_utc").alias("timestamp"),
         short_url("url").alias("link_text"),
