@@ -115,27 +115,27 @@ def percolate_shuffled(spark, sf):
 @register
 def percolate_documents(spark, sf):
     """Whole documents against words and whole benchmark texts."""
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     return percolate.percolate(docs, views.benchmark_registry(spark, sf),
                                text="text", key="doc_id").select("doc_id", "query")
 
 
 @register
 def percolate_documents_shuffled(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     return percolate.percolate(docs, views.benchmark_registry(spark, sf), text="text",
                                key="doc_id", limit=0).select("doc_id", "query")
 
 
 @register
 def percolate_any(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     return percolate.matched_ids(docs, views.benchmark_registry(spark, sf), "text", "doc_id")
 
 
 @register
 def percolate_counts(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     return percolate.match_counts(docs, views.benchmark_registry(spark, sf), "text", "doc_id")
 
 

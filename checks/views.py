@@ -17,7 +17,7 @@ from phrasetide.operators.ingest import read_messages
 from phrasetide.operators.votes import hourly_votes
 from phrasetide.plans.digest import digest
 from phrasetide.session import new_work_dir
-from phrasetide.sources.lines import read_lines
+from phrasetide.sources.files import read_lines, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def ntz(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One post per event; its title is made of three part names."""
     events = table(spark, sf_dir, "events")

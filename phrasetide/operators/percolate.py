@@ -56,32 +56,31 @@ def index_phrases(rows: DataFrame, limit: int = lookup.BROADCAST_BYTES) -> Phras
     ).first()
     has_long = (found.longest or 0) > MAX_GRAM
     if has_long:
-        short = rows.filter(F.col("words") <= MAX_GRAM).withColumn("gram", F.col("phrase"))
-        rows = short.unionByName(_file_long(rows.filter(F.col("words") > MAX_GRAM),
-                                            found.grams, limit))
+        # Short phrases are their own gram and find no entry to replace it.
+        filed = rows.join(_filed_under(rows, found.grams, limit), "phrase", "left")
+        rows = filed.withColumn("gram", F.coalesce("gram", "phrase"))
     else:
         rows = rows.withColumn("gram", F.col("phrase"))
     return PhraseIndex(rows, tuple(sorted(found.lengths)), has_long, found.size or 0)
 
 
-def _file_long(long_rows: DataFrame, gram_bytes: int, limit: int) -> DataFrame:
-    """Long phrases under the least shared of their grams.
+def _filed_under(rows: DataFrame, gram_bytes: int, limit: int) -> DataFrame:
+    """Long phrases with the ``gram`` that fewest of them share.
 
     An opening like "how to make" may be common to a third of all phrases;
     filing them there would hand every post with those words all of them.
     """
-    texts = long_rows.select("phrase").distinct()
+    texts = rows.filter(F.col("words") > MAX_GRAM).select("phrase").distinct()
     offered = (texts.withColumn("_tokens", F.split("phrase", " "))
                .withColumn("_grams", F.array_distinct(grams("_tokens", MAX_GRAM)))
                .select("phrase", F.explode_outer("_grams").alias("gram"))
                .filter(F.col("gram").isNotNull()))
     # Phrases per gram, counted before the join so that shared grams shrink first.
     shared = offered.groupBy("gram").agg(F.count("*").alias("n"))
-    chosen = (lookup.lookup_join(offered, shared, ["gram"], "inner", ["phrase"],
-                                 limit, gram_bytes)
-              .groupBy("phrase").agg(F.min(F.struct("n", "gram")).alias("best"))
-              .select("phrase", F.col("best.gram").alias("gram")))
-    return long_rows.join(chosen, "phrase")
+    return (lookup.lookup_join(offered, shared, ["gram"], "inner", ["phrase"],
+                               limit, gram_bytes)
+            .groupBy("phrase").agg(F.min(F.struct("n", "gram")).alias("best"))
+            .select("phrase", F.col("best.gram").alias("gram")))
 
 
 def _offer(posts: DataFrame, text: str, index: PhraseIndex) -> DataFrame:
@@ -109,13 +108,14 @@ def match(posts: DataFrame, index: PhraseIndex, text: str = "title", key: str =
     """Posts joined with the index rows whose phrase they contain.
 
     Yields the post columns and the index payload, one row per post and
-    matching index row. An index whose measured size is within ``limit`` is
-    broadcast, and posts are matched where they lie. A larger one is shuffled:
-    only ids and grams travel, salted by id because a common word sits in most
-    posts, and the found pairs are joined back to the posts by id, which must be
-    unique then.
+    matching index row. ``key`` must be unique; posts without one are left out,
+    as they could not be stored. An index whose measured size is within
+    ``limit`` is broadcast, and posts are matched where they lie. A larger one
+    is shuffled: only keys and grams travel, salted by key because a common
+    word sits in most posts, and the pairs found are joined back to the posts.
     """
     payload = [c for c in index.rows.columns if c not in ("gram", "phrase", "words")]
+    posts = posts.filter(F.col(key).isNotNull())
     if not index.lengths:
         types = {f.name: f.dataType for f in index.rows.schema}
         return posts.filter(F.lit(False)).withColumns(
@@ -129,8 +129,8 @@ def match(posts: DataFrame, index: PhraseIndex, text: str = "title", key: str =
     offered = _offer(posts.select(key, text), text, index).select(key, "gram")
     offered, filed = lookup.salted(offered, index.rows, [key])
     pairs = (offered.join(filed, ["gram", "_salt"])
-             .select(F.col(key).alias("_key"), "phrase", "words", *payload))
-    found = posts.join(pairs, posts[key].eqNullSafe(pairs["_key"]))
+             .select(key, "phrase", "words", *payload))
+    found = posts.join(pairs, key)
     if index.has_long:
         found = found.filter((F.col("words") <= MAX_GRAM)
                              | contains_phrase(phrase(text), "phrase"))
@@ -166,18 +166,22 @@ def percolate_top(posts: DataFrame, registry: DataFrame, n: int = TOP_MATCHES,
     """Posts with ``query`` and ``rank``: the first ``n`` queries by name.
 
     Queries that share a phrase match the same posts, so only ``n`` of them can
-    be among any post's first ``n``; the others need not take part. Posts that
-    already lie together by id (:func:`ingest.keep_one_per_id`) are ranked
-    without another shuffle.
+    be among any post's first ``n``; the others need not take part. Ranking
+    handles pairs of key and query only, and the posts are joined to the ``n``
+    that remain: a long post with many matches is not copied for each of them.
+    Posts that lie together by key (:func:`ingest.keep_one_per_id`) are ranked
+    and joined without another shuffle.
     """
     by_name = Window.partitionBy("phrase").orderBy("query")
     candidates = (phrases(registry)
                   .withColumn("_nth", F.row_number().over(by_name))
                   .filter(F.col("_nth") <= n).drop("_nth"))
-    found = match(posts, index_phrases(candidates, limit), text, key, limit)
-    ranked = found.withColumn(
-        "rank", F.row_number().over(Window.partitionBy(key).orderBy("query")))
-    return ranked.filter(F.col("rank") <= n)
+    index = index_phrases(candidates, limit)
+    pairs = match(posts.select(key, text), index, text, key, limit).select(key, "query")
+    by_query = Window.partitionBy(key).orderBy("query")
+    top = (pairs.withColumn("rank", F.row_number().over(by_query))
+           .filter(F.col("rank") <= n))
+    return posts.join(top, key).select(*posts.columns, "query", "rank")
 
 
 def nested_matches(posts: DataFrame, registry: DataFrame, n: int = TOP_MATCHES,

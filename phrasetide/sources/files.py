@@ -1,4 +1,4 @@
-"""Newline-delimited text files."""
+"""Files of newline-delimited text, and scans of few files."""
 
 from __future__ import annotations
 
@@ -16,3 +16,13 @@ def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = N
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.text(path).withColumnRenamed("value", "line")
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread the rows of a scan over all cores when it has fewer files than cores.
+
+    A Parquet row group is read by one task, so a table of one file would be
+    tokenised on one core. Larger tables are returned as they are, unshuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if len(scan.inputFiles()) < cores else scan

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from phrasetide.sources.lines import stream_lines
+from phrasetide.sources.files import stream_lines
 
 
 @dataclass(frozen=True)
