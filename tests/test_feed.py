@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from phrasetide.functions.text import highlight, short_url, split_topics
+from phrasetide.functions.times import display_time, instant
+from phrasetide.operators import feed
+
+
+def day(n, second=0):
+    return f"2024-01-{n:02d} 00:00:{second:02d}"
+
+
+def keys(df):
+    return [(r.query, r.doc_id) for r in df.collect()]
+
+
+def cursor(spark, **lasttime):
+    rows = [(k, v and datetime.fromisoformat(v)) for k, v in lasttime.items()]
+    return spark.createDataFrame(rows, "query string, lasttime timestamp")
+
+
+def test_cursor_is_strict(spark, posts):
+    rows = posts(("q", day(1), "a"), ("q", day(2), "b"), ("q", day(3), "c"))
+    at = datetime.fromisoformat(day(2))
+    assert keys(feed.since_of(rows, "q", at)) == [("q", "c")]
+    for limit in (10**9, 0):
+        assert keys(feed.since(rows, cursor(spark, q=day(2)), limit)) == [("q", "c")]
+
+
+def test_unknown_cursor_returns_the_newest_two(spark, posts):
+    rows = posts(("q", day(1), "a"), ("q", day(2), "b"), ("q", day(2), "c"), ("r", day(1), "d"),
+                 ("s", day(9), "e"))
+    assert keys(feed.newest_of(rows, "q")) == [("q", "b"), ("q", "c")]
+    for limit in (10**9, 0):
+        got = feed.poll(rows, cursor(spark, q=None, r=day(1)), limit=limit)
+        assert sorted(keys(got)) == [("q", "b"), ("q", "c")]
+
+
+def test_newest_limits_topics_and_ranks(posts, registry):
+    rows = posts(("q", day(1), "a"), ("q", day(2), "b"), ("r", day(1), "c"))
+    got = feed.newest(rows, registry("q"), 1).collect()
+    assert [(r.query, r.doc_id, r.rank) for r in got] == [("q", "b", 1)]
+
+
+def test_cursor_never_moves_back_and_keeps_silent_topics(spark, posts):
+    old = cursor(spark, q=day(5), r=None, s=day(1))
+    new = feed.advance_cursor(posts(("q", day(3), "a"), ("s", day(2), "b"), ("t", day(1), "c")), old)
+    got = {r.query: r.lasttime and r.lasttime.day for r in new.collect()}
+    assert got == {"q": 5, "r": None, "s": 2, "t": 1}
+    row = feed.with_instant(new).filter("query = 'q'").first()
+    assert row.instant == "2024-01-05T00:00:00Z"
+
+
+def test_post_of_two_topics_shows_once(posts):
+    rows = posts(("b", day(1), "x"), ("a", day(1), "x"), ("b", day(2), "y"))
+    assert sorted(keys(feed.merge_topics(rows))) == [("a", "x"), ("b", "y")]
+    assert keys(feed.top_feed(rows).orderBy("rank")) == [("b", "y"), ("a", "x")]
+
+
+def test_top_feed_limits_and_hides(spark, posts, registry):
+    rows = posts(*[("q", day(1, i), f"d{i:02d}") for i in range(20)], ("r", day(2), "other"),
+                 ("q", day(3), "blank", 1, 0, ""), ("q", day(3), "none", 1, 0, None))
+    seen = spark.createDataFrame([("d19",)], "doc_id string")
+    got = keys(feed.top_feed(rows, registry("q"), seen).orderBy("rank"))
+    assert got == [("q", f"d{i:02d}") for i in range(18, 8, -1)]
+
+
+def test_extend_feed_keeps_what_was_shown(posts):
+    shown = posts(("b", day(1), "x"))
+    got = feed.extend_feed(shown, posts(("a", day(1), "x"), ("a", day(2), "y"))).orderBy("rank")
+    assert keys(got) == [("a", "y"), ("b", "x")]
+
+
+def test_render(posts):
+    rows = posts(("york", day(2), "b", 4, 2, "new york, york"), ("york", day(1), "a", 1, 0, "old"))
+    got = feed.render(feed.top_feed(rows)).orderBy("ui_id").collect()
+    assert [(r.ui_id, r.doc_id) for r in got] == [(0, "a"), (1, "b")]
+    assert got[1].title_html == "new <span class='highlight'>york</span>, york"
+    assert got[1].timestamp == "02/01/24, 00:00:00" and got[1].link.endswith("/p/b")
+
+
+def test_display_functions(spark):
+    df = spark.createDataFrame([("THE", "the end", "x" * 28, "y" * 29, "a, b,,c")],
+                               "topic string, title string, u28 string, u29 string, list string")
+    row = df.select(highlight("title", "topic"), short_url("u28"), short_url("u29"),
+                    split_topics("list"), split_topics("list", trim=True)).first()
+    assert tuple(row) == ("the end", "x" * 28, "y" * 28 + "...", ["a", " b", "", "c"],
+                          ["a", "b", "", "c"])
+    ts = spark.sql("select timestamp '2024-03-05 13:04:05' as t")
+    assert tuple(ts.select(display_time("t"), display_time("t", True), instant("t")).first()) == \
+        ("05/03/24, 13:04:05", "05/03/24, 1:04:05 pm", "2024-03-05T13:04:05Z")
+
+
+def test_topics_of(spark):
+    lists = spark.createDataFrame([(1, "a, b"), (2, "")], "n int, list string")
+    got = sorted((r.n, r.pos, r.topic) for r in feed.topics_of(lists, "list").collect())
+    assert got == [(1, 0, "a"), (1, 1, " b"), (2, 0, "")]
+
+
+def test_enrich_overwrites_only_found_posts(spark, posts):
+    shown = posts(("q", day(1), "a", 1, 0, "old a"), ("q", day(1), "b", 1, 0, "old b"))
+    docs = spark.createDataFrame([("a", "new a", 9, 2), ("z", "new z", 9, 2)],
+                                 "doc_id string, title string, ups long, gilded long")
+    for limit in (10**9, 0):
+        got = feed.enrich(shown, docs, ["title", "ups", "gilded"], limit).orderBy("doc_id")
+        assert [(r.doc_id, r.title, r.ups, r.gilded) for r in got.collect()] == \
+            [("a", "new a", 9, 2), ("b", "old b", 1, None)]
+
+
+def test_new_ids(spark):
+    a = spark.createDataFrame([("a",), ("b",), ("b",)], "doc_id string")
+    b = spark.createDataFrame([("a",)], "doc_id string")
+    assert [r.doc_id for r in feed.new_ids(a, b).collect()] == ["b"]
+
+
+def test_unseen(spark, posts):
+    seen = posts(("q", day(1), "a")).select(F.col("doc_id"))
+    assert keys(feed.unseen(posts(("r", day(1), "a"), ("r", day(1), "b")), seen)) == [("r", "b")]
