@@ -9,6 +9,7 @@ from phrasetide import schemas
 from phrasetide.functions.text import absolute_link, has_text, highlight, short_url, split_topics
 from phrasetide.functions.times import display_time, instant
 from phrasetide.operators.lookup import BROADCAST_BYTES, lookup_join
+from phrasetide.operators.percolate import TOP_MATCHES
 
 FIRST_CALL = 2
 FEED_SIZE = 10
@@ -84,9 +85,10 @@ def with_instant(cursor: DataFrame) -> DataFrame:
     return cursor.withColumn("instant", instant("lasttime"))
 
 
-def unseen(posts: DataFrame, seen: DataFrame) -> DataFrame:
+def unseen(posts: DataFrame, seen: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Posts whose ``doc_id`` has not been shown yet."""
-    return posts.join(seen.select("doc_id").distinct(), "doc_id", "left_anti")
+    return lookup_join(posts, seen.select("doc_id").distinct(), ["doc_id"], "left_anti",
+                       ["query"], limit)
 
 
 def merge_topics(posts: DataFrame) -> DataFrame:
@@ -102,21 +104,40 @@ def top_feed(posts: DataFrame, topics: DataFrame | None = None, seen: DataFrame
              k: int = FEED_SIZE, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The ``k`` newest posts over all topics, each post once, with ``rank``.
 
-    The ids are found from ``(doc_id, created_utc)`` alone; full rows are read
-    only for those ``k`` ids, a side whose size is ``k`` rows by construction.
+    A first pass over two columns finds the time back to which posts matter;
+    only rows from then on are read whole and merged.
     """
     if topics is not None:
         posts = lookup_join(posts, topics.select("query").distinct(), ["query"],
                             "left_semi", ["doc_id"], limit)
     if seen is not None:
-        posts = unseen(posts, seen)
+        posts = unseen(posts, seen, limit)
     shown = posts.filter(has_text("title"))
-    ids = (shown.groupBy("doc_id").agg(F.max("created_utc").alias("created_utc"))
-           .orderBy(F.desc("created_utc"), "doc_id").limit(k).select("doc_id"))
-    rows = merge_topics(shown.join(F.broadcast(ids), "doc_id", "left_semi"))
+    reach = F.timestamp_micros(F.lit(_reach(shown, k)).cast("bigint"))
+    recent = shown.filter(F.col("created_utc") >= reach)
+    top = merge_topics(recent).orderBy(F.desc("created_utc"), "doc_id").limit(k)
     # At most k rows: an ungrouped window over them is one small task.
     newest_first = Window.orderBy(F.desc("created_utc"), "doc_id")
-    return rows.withColumn("rank", F.row_number().over(newest_first))
+    return top.withColumn("rank", F.row_number().over(newest_first))
+
+
+def _reach(shown: DataFrame, k: int) -> int | None:
+    """Epoch microseconds at or before the newest time of the ``k``-th newest post.
+
+    Posts match at most ``TOP_MATCHES`` topics each, so that many times ``k``
+    rows nearly always hold ``k`` posts, and taking the newest rows needs no
+    shuffle. When they do not, all posts are merged by id to find the time.
+    """
+    times = shown.select("doc_id", F.unix_micros("created_utc").alias("at"))
+    rows = k * TOP_MATCHES
+    head = times.orderBy(F.desc("at")).limit(rows)
+    found = head.agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("posts"),
+                     F.min("at").alias("reach")).first()
+    if found.posts >= k or found.rows < rows:
+        return found.reach
+    newest_times = (times.groupBy("doc_id").agg(F.max("at").alias("at"))
+                    .orderBy(F.desc("at")).limit(k))
+    return newest_times.agg(F.min("at")).first()[0]
 
 
 def extend_feed(feed: DataFrame, arrived: DataFrame, k: int = FEED_SIZE) -> DataFrame:

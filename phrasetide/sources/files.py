@@ -19,10 +19,10 @@ def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = N
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Spread the rows of a scan over all cores when it has fewer files than cores.
+    """Spread the rows of a plain scan over all cores when it has fewer tasks than cores.
 
     A Parquet row group is read by one task, so a table of one file would be
     tokenised on one core. Larger tables are returned as they are, unshuffled.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if len(scan.inputFiles()) < cores else scan
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -36,9 +36,18 @@ def newest_per_key(batches: DataFrame, key: Sequence[str]) -> DataFrame:
                          for c in batches.columns if c != "batch_id"])
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType,
-               key: Sequence[str]) -> DataFrame:
-    return newest_per_key(read_batches(spark, path, schema), key)
+def read_table(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str],
+               columns: Sequence[str] | None = None) -> DataFrame:
+    """The table's current rows: the key and ``columns`` (default all).
+
+    Columns not asked for are left out before rows are grouped by key, so they
+    are neither read nor shuffled.
+    """
+    batches = read_batches(spark, path, schema)
+    if columns is not None:
+        rest = [c for c in columns if c not in key]
+        batches = batches.select(*key, *rest, "batch_id")
+    return newest_per_key(batches, key)
 
 
 def compact(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str],

@@ -68,6 +68,18 @@ def test_top_feed_limits_and_hides(spark, posts, registry):
     assert got == [("q", f"d{i:02d}") for i in range(18, 8, -1)]
 
 
+def test_top_feed_past_a_post_with_very_many_rows(posts):
+    """One post holds more rows than are looked at first; the others still show."""
+    rows = posts(*[(f"q{i:03d}", day(9), "hot") for i in range(80)],
+                 *[("q", day(1, i), f"d{i}") for i in range(12)])
+    got = keys(feed.top_feed(rows).orderBy("rank"))
+    assert got == [("q000", "hot")] + [("q", f"d{i}") for i in range(11, 2, -1)]
+
+
+def test_top_feed_of_nothing(posts):
+    assert feed.top_feed(posts(("q", day(1), "a")).limit(0)).count() == 0
+
+
 def test_extend_feed_keeps_what_was_shown(posts):
     shown = posts(("b", day(1), "x"))
     got = feed.extend_feed(shown, posts(("a", day(1), "x"), ("a", day(2), "y"))).orderBy("rank")

@@ -75,10 +75,10 @@ def test_topic_filter_reaches_the_scan(post_table):
     assert "EqualTo(query,q)" in text and "TakeOrderedAndProject" in text
 
 
-def test_top_feed_finds_ids_from_two_columns(post_table):
+def test_top_feed_reads_recent_rows_only(post_table):
     text = plan(feed.top_feed(post_table))
     assert "TakeOrderedAndProject" in text
-    assert "ReadSchema: struct<created_utc:timestamp,doc_id:string,title:string>" in text
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(created_utc", text)
 
 
 def test_key_filters_reach_the_scan_of_a_keyed_table(spark, posts, tmp_path):
@@ -86,3 +86,10 @@ def test_key_filters_reach_the_scan_of_a_keyed_table(spark, posts, tmp_path):
     tables.write_batch(posts(("q", "2024-01-01", "a")), path, 0)
     rows = tables.read_table(spark, path, POST, POST_KEY).filter("query = 'q'")
     assert "EqualTo(query,q)" in plan(rows)
+
+
+def test_keyed_table_reads_the_columns_asked_for(spark, posts, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_batch(posts(("q", "2024-01-01", "a")), path, 0)
+    rows = tables.read_table(spark, path, POST, POST_KEY, ["ups"])
+    assert "title" not in plan(rows) and rows.columns == ["query", "created_utc", "doc_id", "ups"]
