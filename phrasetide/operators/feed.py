@@ -48,6 +48,11 @@ def since_of(posts: DataFrame, topic: str, lasttime) -> DataFrame:
             .orderBy(F.desc("created_utc"), "doc_id"))
 
 
+def oldest_first(rows: DataFrame) -> DataFrame:
+    """A response in the order its posts join the feed."""
+    return rows.orderBy("created_utc", "doc_id")
+
+
 def since(posts: DataFrame, cursor: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Posts strictly newer than their topic's cursor, for all topics at once."""
     known = cursor.filter(F.col("lasttime").isNotNull())

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A side is broadcast only when its measured payload is below this many bytes.
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 128 * 1024 * 1024
 
-# Pieces a hot key is split into when both sides have to be shuffled.
-SALTS = 32
+# Pieces every key is split into when both sides have to be shuffled. The small
+# side is sent this many times, so it is kept low; a piece that is still too
+# large for a task is split further by adaptive skew handling.
+SALTS = 8
 
 # Room for a row's header, null bits and fixed-width words.
 _ROW_BYTES = 64

@@ -104,37 +104,43 @@ def _offer(posts: DataFrame, text: str, index: PhraseIndex) -> DataFrame:
 
 
 def match(posts: DataFrame, index: PhraseIndex, text: str = "title", key: str = "id",
-          limit: int = lookup.BROADCAST_BYTES) -> DataFrame:
+          limit: int = lookup.BROADCAST_BYTES, keys_only: bool = False) -> DataFrame:
     """Posts joined with the index rows whose phrase they contain.
 
-    Yields the post columns and the index payload, one row per post and
-    matching index row. ``key`` must be unique; posts without one are left out,
-    as they could not be stored. An index whose measured size is within
-    ``limit`` is broadcast, and posts are matched where they lie. A larger one
-    is shuffled: only keys and grams travel, salted by key because a common
-    word sits in most posts, and the pairs found are joined back to the posts.
+    Yields the post columns (``keys_only``: the key alone) and the index
+    payload, one row per post and matching index row. ``key`` must be unique;
+    posts without one are left out, as they could not be stored. An index whose
+    measured size is within ``limit`` is broadcast, and posts are matched where
+    they lie. A larger one is shuffled: only keys and grams travel, salted by
+    key because a common word sits in most posts, and the pairs found are
+    joined back to the posts.
     """
     payload = [c for c in index.rows.columns if c not in ("gram", "phrase", "words")]
+    kept = [key] if keys_only else posts.columns
     posts = posts.filter(F.col(key).isNotNull())
     if not index.lengths:
         types = {f.name: f.dataType for f in index.rows.schema}
-        return posts.filter(F.lit(False)).withColumns(
-            {c: F.lit(None).cast(types[c]) for c in payload})
+        return posts.filter(F.lit(False)).select(
+            *kept, *[F.lit(None).cast(types[c]).alias(c) for c in payload])
     if index.size <= limit:
         found = _offer(posts, text, index).join(F.broadcast(index.rows), "gram")
         if index.has_long:
             found = found.filter((F.col("words") <= MAX_GRAM)
                                  | contains_phrase("_text", "phrase"))
-        return found.select(*posts.columns, *payload)
+        return found.select(*kept, *payload)
     offered = _offer(posts.select(key, text), text, index).select(key, "gram")
     offered, filed = lookup.salted(offered, index.rows, [key])
     pairs = (offered.join(filed, ["gram", "_salt"])
              .select(key, "phrase", "words", *payload))
+    if keys_only and not index.has_long:
+        return pairs.select(*kept, *payload)
+    if index.has_long:
+        # Reduced once per post here, not once per pair after the join.
+        posts = posts.withColumn("_text", phrase(text))
     found = posts.join(pairs, key)
     if index.has_long:
-        found = found.filter((F.col("words") <= MAX_GRAM)
-                             | contains_phrase(phrase(text), "phrase"))
-    return found.select(*posts.columns, *payload)
+        found = found.filter((F.col("words") <= MAX_GRAM) | contains_phrase("_text", "phrase"))
+    return found.select(*kept, *payload)
 
 
 def percolate(posts: DataFrame, registry: DataFrame, text: str = "title",
@@ -147,7 +153,7 @@ def matched_ids(posts: DataFrame, registry: DataFrame, text: str = "title",
                 key: str = "id", limit: int = lookup.BROADCAST_BYTES) -> DataFrame:
     """Ids of the posts that match any query."""
     distinct = phrases(registry).select("phrase").distinct()
-    found = match(posts.select(key, text), index_phrases(distinct, limit), text, key, limit)
+    found = match(posts, index_phrases(distinct, limit), text, key, limit, keys_only=True)
     return found.select(key).distinct()
 
 
@@ -155,7 +161,7 @@ def match_counts(posts: DataFrame, registry: DataFrame, text: str = "title", key
                  cap: int = TOP_MATCHES, limit: int = lookup.BROADCAST_BYTES) -> DataFrame:
     """Per matching post the number of queries it matches, whole and clipped."""
     per_phrase = phrases(registry).groupBy("phrase").agg(F.count("*").alias("_queries"))
-    found = match(posts.select(key, text), index_phrases(per_phrase, limit), text, key, limit)
+    found = match(posts, index_phrases(per_phrase, limit), text, key, limit, keys_only=True)
     return (found.groupBy(key).agg(F.sum("_queries").alias("match_total"))
             .withColumn("capped", F.least("match_total", F.lit(cap).cast("bigint"))))
 
@@ -177,7 +183,7 @@ def percolate_top(posts: DataFrame, registry: DataFrame, n: int = TOP_MATCHES,
                   .withColumn("_nth", F.row_number().over(by_name))
                   .filter(F.col("_nth") <= n).drop("_nth"))
     index = index_phrases(candidates, limit)
-    pairs = match(posts.select(key, text), index, text, key, limit).select(key, "query")
+    pairs = match(posts.select(key, text), index, text, key, limit, keys_only=True)
     by_query = Window.partitionBy(key).orderBy("query")
     top = (pairs.withColumn("rank", F.row_number().over(by_query))
            .filter(F.col("rank") <= n))

@@ -62,6 +62,7 @@ def test_empty_registry_matches_nothing(spark, registry, limit):
     assert p.percolate(titles(spark, "a b"), none, limit=limit).columns == ["id", "title", "query"]
     assert p.percolate(titles(spark, "a b"), none, limit=limit).count() == 0
     assert p.match_counts(titles(spark, "a b"), none, limit=limit).count() == 0
+    assert p.percolate_top(titles(spark, "a b"), none, limit=limit).count() == 0
 
 
 @BOTH
