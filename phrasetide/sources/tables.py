@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from phrasetide.operators.lookup import BROADCAST_BYTES, lookup_join
+
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -63,6 +65,8 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[
     write_batch(ordered, target, 0)
 
 
-def scan_posts(posts: DataFrame, columns: Sequence[str], registry: DataFrame) -> DataFrame:
-    """``columns`` of the posts whose query is registered."""
-    return posts.select(*columns).join(registry.select("query").distinct(), "query", "left_semi")
+def scan_posts(posts: DataFrame, columns: Sequence[str], registry: DataFrame,
+               limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``columns`` (``query`` among them) of the posts whose query is registered."""
+    return lookup_join(posts.select(*columns), registry.select("query").distinct(), ["query"],
+                       "left_semi", list(columns), limit)

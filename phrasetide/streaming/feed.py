@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from phrasetide import schemas
 from phrasetide.operators.feed import FEED_SIZE, advance_cursor, extend_feed, top_feed
+from phrasetide.operators.lookup import lookup_join
 from phrasetide.sources import tables
 from phrasetide.streaming.posts import start
 
@@ -25,7 +26,8 @@ def keep_feed(topics: DataFrame, feed_path: str, k: int = FEED_SIZE) -> Callable
     """
     def process(arrived: DataFrame, batch_id: int) -> None:
         spark = arrived.sparkSession
-        wanted = arrived.join(topics.select("query").distinct(), "query", "left_semi")
+        wanted = lookup_join(arrived, topics.select("query").distinct(), ["query"],
+                             "left_semi", ["doc_id"])
         if batch_id == 0:
             feed = top_feed(wanted, k=k)
         else:
