@@ -20,7 +20,7 @@ def number_rows(df: DataFrame, order: list[str], column: str = "n") -> DataFrame
     say, could cut the ranges elsewhere.
     """
     spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     # The id's upper bits are the partition, its lower 33 bits the row in it.
     placed = (df.repartitionByRange(*order).sortWithinPartitions(*order)
