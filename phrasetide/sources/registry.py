@@ -30,6 +30,15 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
         tables.read_batches(spark, path, schemas.REGISTRY).drop("batch_id"))
 
 
+def compact(spark: SparkSession, path: str, target: str) -> None:
+    """Write each query of the registry once to ``target``, as one batch.
+
+    A registry gains a small folder per registration and is read by every
+    micro-batch; later registrations go to ``target`` under higher batch ids.
+    """
+    tables.write_batch(read_registry(spark, path), target, 0)
+
+
 def registered_by(registry: DataFrame, at) -> DataFrame:
     """Queries known at ``at``: one registered later matches later posts only."""
     return registry.filter(F.col("registered_at") <= F.lit(at).cast("timestamp"))

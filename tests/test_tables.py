@@ -53,6 +53,9 @@ def test_registering_twice_keeps_the_first_time(spark, tmp_path):
     known = reg.read_registry(spark, path)
     assert sorted((r.query, r.registered_at.month) for r in known.collect()) == [("a", 1), ("b", 1)]
     assert reg.registered_by(known, "2023-01-01").count() == 0
+    target = str(tmp_path / "compact")
+    reg.compact(spark, path, target)
+    assert sorted(reg.read_registry(spark, target).collect()) == sorted(known.collect())
 
 
 def test_scan_of_registered_queries(posts, registry):
