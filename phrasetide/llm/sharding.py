@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from phrasetide.llm.common import written
+
 SLOTS = 8192
 
 
@@ -26,11 +28,12 @@ def text_size(text: str = "text") -> Column:
 
 def slot_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text",
                slots: int = SLOTS) -> DataFrame:
-    """Rows ``n`` and ``bytes`` of every slot, empty slots included."""
+    """Rows ``n`` and ``bytes`` of every slot, empty slots included; counted once."""
     used = (docs.select(slot_of(key, slots).alias("virtual_slot"), text_size(text).alias("bytes"))
             .groupBy("virtual_slot").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")))
     every = docs.sparkSession.range(slots).select(F.col("id").cast("int").alias("virtual_slot"))
-    return every.join(used, "virtual_slot", "left").fillna(0, ["n", "bytes"])
+    return written(every.join(used, "virtual_slot", "left").fillna(0, ["n", "bytes"]),
+                   "slot-bytes")
 
 
 def first_map(spark: SparkSession, shards: int, slots: int = SLOTS) -> DataFrame:
@@ -49,11 +52,12 @@ def rebalanced(current: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
     move only out of overfull shards.
     """
     known = current.join(sizes, "virtual_slot")
-    share = known.agg(F.sum("bytes") / shards).scalar()
+    share = sizes.agg(F.sum("bytes") / shards).scalar()
     largest_first = Window.partitionBy("shard").orderBy(F.desc("bytes"), "virtual_slot")
     marked = (known.withColumn("upto", F.sum("bytes").over(largest_first))
               .withColumn("stays", (F.col("shard") < shards)
                           & ((F.col("upto") <= share) | (F.col("bytes") == 0))))
+    marked = written(marked, "slots-marked")  # one row per slot, read four times
     numbers = known.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
     held = (numbers.join(marked.filter("stays").groupBy("shard").agg(F.sum("bytes").alias("b")),
                          "shard", "left")
