@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phrasetide.llm import exact_dedup, language, sharding
+from phrasetide.llm import bpe, exact_dedup, language, packing, sharding, token_files
 from phrasetide.llm.common import ship_code, table
 from phrasetide.llm.oracle import SQL as ORACLES
 from phrasetide.session import new_work_dir
@@ -58,3 +59,25 @@ def op8_mixture_language(spark, sf):
 def op9_quotient_filters(spark, sf):
     """For every document, which of its exact copies stays."""
     return exact_dedup.duplicate_groups(table(spark, sf, "documents"))
+
+
+@register
+def op3_arrow_sequences(spark, sf):
+    """Ids of all documents written as Arrow sequence files and read back."""
+    folder = new_work_dir(spark, "token-files")
+    token_files.write_tokens(table(spark, sf, "documents"), folder, path("byte_bpe_50k.json"))
+    made = token_files.read_documents(spark, folder)
+    return made.select("doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+                       F.crc32("ids").alias("ids_crc32"))
+
+
+@register
+def op4_window_packing(spark, sf):
+    """All documents packed into sequences of 2,048 ids, cut by dynamic programming."""
+    return packing.packed_pieces(table(spark, sf, "documents"), path("word_bpe_49k.json"))
+
+
+@register
+def op7_forced_boundaries(spark, sf):
+    """All documents encoded in fragments and decoded again."""
+    return bpe.round_trip(table(spark, sf, "documents"), path("byte_bpe_50k.json"))
