@@ -8,7 +8,9 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phrasetide.llm import bpe, exact_dedup, language, packing, sharding, token_files
+from phrasetide.llm import (
+    bpe, exact_dedup, language, merkle, minhash, packing, sharding, token_files,
+)
 from phrasetide.llm.common import ship_code, table
 from phrasetide.llm.oracle import SQL as ORACLES
 from phrasetide.session import new_work_dir
@@ -81,3 +83,15 @@ def op4_window_packing(spark, sf):
 def op7_forced_boundaries(spark, sf):
     """All documents encoded in fragments and decoded again."""
     return bpe.round_trip(table(spark, sf, "documents"), path("byte_bpe_50k.json"))
+
+
+@register
+def op1_merkle_tree(spark, sf):
+    """Merkle fingerprints of all documents and of their half edited texts."""
+    return merkle.half_edits(table(spark, sf, "documents"))
+
+
+@register
+def op10_bbit_minhash(spark, sf):
+    """The near-duplicate component of every document."""
+    return minhash.near_duplicates(table(spark, sf, "documents"))
