@@ -5,6 +5,18 @@ from __future__ import annotations
 # Digests and crc32 over bytes have no counterpart for op2, op3, op4 and op8 to
 # op10 in part; those are tested against brute force in tests/llm.
 SQL = {
+    "op6_chunked_records": """
+with hashed as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+         sha1(coalesce(html, '')) as payload_digest
+  from pages),
+ranked as (
+  select *, max(page_id) over (partition by payload_digest) as last_id from hashed)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 1000 and page_id < last_id then 'revisit'
+            else 'response' end as record_type,
+       case when payload_bytes >= 1000 and page_id < last_id then last_id end as refers_to
+from ranked""",
     "op9_quotient_filters": r"""
 with hashed as (
   select doc_id, length(coalesce(text, '')) as points,

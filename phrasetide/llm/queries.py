@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phrasetide.llm import (
-    bpe, exact_dedup, language, merkle, minhash, packing, sharding, token_files,
+    bpe, exact_dedup, language, merkle, minhash, packing, sharding, token_files, warc,
 )
 from phrasetide.llm.common import ship_code, table
 from phrasetide.llm.oracle import SQL as ORACLES
@@ -95,3 +95,14 @@ def op1_merkle_tree(spark, sf):
 def op10_bbit_minhash(spark, sf):
     """The near-duplicate component of every document."""
     return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@register
+def op6_chunked_records(spark, sf):
+    """All pages written as archives by chunks, and read back."""
+    folder = new_work_dir(spark, "archives")
+    pages = warc.with_references(table(spark, sf, "pages"))
+    warc.write_archives(warc.chunked(pages), folder)
+    made = warc.read_records(spark, folder)
+    return made.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+                       "record_type", "refers_to")
