@@ -5,6 +5,33 @@ from __future__ import annotations
 # Digests and crc32 over bytes have no counterpart for op2, op3, op4 and op8 to
 # op10 in part; those are tested against brute force in tests/llm.
 SQL = {
+    "op5_similar_lines": r"""
+with split as (
+  select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
+lines as (
+  select doc_id, i, l[i + 1] as line,
+         list_sort(list_distinct(regexp_extract_all(lower(l[i + 1]), '[^\x20\x09-\x0D]+'))) as w
+  from (select doc_id, l, unnest(range(len(l))) as i from split)),
+sets as (
+  select row_number() over (order by min((doc_id, i))) as id, w, len(w) as n
+  from (select doc_id, i, w from lines where len(w) > 0) group by w),
+words as (select id, n, unnest(w) as word from sets),
+alike as (
+  select distinct id from (
+    select a.id, b.id as earlier, any_value(a.n) as an, any_value(b.n) as bn, count(*) as common
+    from words a join words b on a.word = b.word and b.id < a.id
+      and 5 * a.n >= 4 * b.n and 5 * b.n >= 4 * a.n
+    group by a.id, b.id)
+  where 5 * common >= 4 * (an + bn - common)),
+judged as (
+  select l.doc_id, l.i, l.line, s.id is not null and (
+         s.id in (select id from alike)
+         or row_number() over (partition by s.id order by l.doc_id, l.i) > 1) as gone
+  from lines l left join sets s on s.w = l.w)
+select doc_id, count(*) as n_lines, cast(sum(gone::int) as bigint) as n_removed,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), ''))
+         as text_sha256
+from judged group by doc_id""",
     "op6_chunked_records": """
 with hashed as (
   select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,

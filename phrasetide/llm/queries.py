@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phrasetide.llm import (
-    bpe, exact_dedup, language, merkle, minhash, packing, sharding, token_files, warc,
+    bpe, exact_dedup, language, line_dedup, merkle, minhash, packing, sharding, token_files, warc,
 )
 from phrasetide.llm.common import ship_code, table
 from phrasetide.llm.oracle import SQL as ORACLES
@@ -106,3 +106,11 @@ def op6_chunked_records(spark, sf):
     made = warc.read_records(spark, folder)
     return made.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest",
                        "record_type", "refers_to")
+
+
+@register
+def op5_similar_lines(spark, sf):
+    """All documents without lines similar to an earlier line."""
+    made = line_dedup.without_repeated_lines(table(spark, sf, "documents"))
+    return made.select("doc_id", "n_lines", "n_removed",
+                       F.sha2("text", 256).alias("text_sha256"))
