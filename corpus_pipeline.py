@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from phrasetide.llm import exact_dedup, language
+from phrasetide.llm import exact_dedup, language, minhash, packing
 from phrasetide.llm.common import ship_code, table, written
 
 
@@ -18,7 +19,17 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_one(docs)
 
 
-STAGES = [("language", languages), ("exact", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies, by shingles of five words."""
+    return minhash.keep_one(docs, size=5)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents in sequences of 2,048 ids."""
+    return packing.packed_pieces(docs, path("word_bpe_49k.json"))
+
+
+STAGES = [("language", languages), ("exact", exact), ("near", near), ("pack", pack)]
 
 # Language models, hashing and tokenisers are beyond SQL; see tests/llm.
 ORACLE_SQL = None
