@@ -189,6 +189,23 @@ SQL: dict[str, str] = {
     "derive_downs": _with("select id, ups, downs from event_messages", "event_messages"),
     "rejected_lines": """
         select 'not a JSON object' as reason, count(*) as n from documents
+        union all
+        select case event_type when 'click' then 'not a time: created_utc'
+                    when 'signup' then 'up-votes missing or negative'
+                    else 'not a whole number: score' end as reason, count(*)
+        from events where event_type in ('click', 'signup', 'purchase') and floor(value) > 0
+        group by reason
+    """,
+    "rejected_values": """
+        select case event_type when 'click' then 'not a time: created_utc'
+                    when 'signup' then 'up-votes missing or negative'
+                    when 'purchase' then 'not a whole number: score'
+                    else 'accepted' end as reason, count(*) as n
+        from events where floor(value) > 0 group by reason
+    """,
+    "nested_line_files": """
+        select case when floor(value) = 0 then 11 else 12 end::bigint as keys, count(*) as n
+        from events group by all
     """,
     "dedup_messages": _with("""
         select id,
@@ -284,7 +301,8 @@ SQL: dict[str, str] = {
     "feed_newest2": _with("select query, doc_id, created_utc, rank from ranked where rank <= 2",
                           "ranked"),
     "feed_since": _with("""
-        select p.query, p.doc_id, p.created_utc
+        select p.query, p.doc_id, p.created_utc,
+               row_number() over (partition by p.query order by p.created_utc desc, p.doc_id) as rank
         from posts p join cursors c on c.query = p.query and p.created_utc > c.lasttime
     """, "posts", "cursors"),
     "feed_since_shuffled": _with("""
@@ -294,7 +312,7 @@ SQL: dict[str, str] = {
     "feed_poll": _with("select * from polled", "polled"),
     "feed_top10": _with(f"""
         select rank, doc_id, query, created_utc from ({top10(f'''
-            {WORD_POSTS} and doc_id not in (
+            {WORD_POSTS} and subreddit <> 'click' and doc_id not in (
                 select doc_id from posts where subreddit = 'purchase')''')})
     """, "posts", "word_topics"),
     "feed_render": _with(f"""
@@ -330,12 +348,18 @@ SQL: dict[str, str] = {
                     from part))
     """,
     "enrich_by_id": _with("""
-        select r.query, r.doc_id, r.rank, coalesce(d.title, r.title) as title,
-               coalesce(d.url, r.url) as url, coalesce(d.ups, r.ups) as ups,
+        select r.query, r.doc_id, r.rank,
+               case when d.id is null then r.title else d.title end as title,
+               case when d.id is null then r.url
+                    when cast(d.id as bigint) % 3 <> 0 then d.url end as url,
+               case when d.id is null then r.ups else d.ups end as ups,
                cast(d.gilded as bigint) as gilded
-        from ranked r left join document_posts d on d.id = r.doc_id
-        where r.rank <= 2
-    """, "ranked", "document_posts"),
+        from (select *, row_number() over (partition by query order by created_utc desc, doc_id)
+                     as rank
+              from posts where cast(doc_id as bigint) < 2 * (select count(*) from documents)
+              qualify rank <= 2) r
+        left join document_posts d on d.id = r.doc_id
+    """, "posts", "document_posts"),
     "new_ids": _with("""
         select doc_id from posts where contains(query, 'bolt')
         except
@@ -347,6 +371,48 @@ SQL: dict[str, str] = {
                       as registered_at
         from part_registry
     """, "part_registry"),
+    "registry_two_clients": _with("""
+        select query, case when query in (select p_name from part)
+                           then timestamp '2024-01-01' else timestamp '2024-01-02' end
+                      as registered_at
+        from part_registry
+    """, "part_registry"),
+    "votes_two_writers": _with("select * from votes", "votes"),
+    "replay_order": """
+        select n // 1250 as slice_id, count(*) as n, min(ts) as first_ts, max(ts) as last_ts
+        from (select ts, row_number() over (order by ts, event_id) as n from events)
+        group by slice_id
+    """,
+    "restart_new_checkpoint": _with(POSTS_ROUND, "posts"),
+    "stream_cancelled": _with(POSTS_ROUND, "posts"),
+    "stream_late_registry": _with("""
+        select query, created_utc, id as doc_id, subreddit, title, permalink, url, author, ups, downs
+        from event_matches
+        where over_18 = false and (ups % 2 = 1 or contains(query, ' '))
+        qualify row_number() over (partition by id order by query) <= 5
+    """, "event_matches"),
+    "batch_metrics": _with("""
+        select ups % 3 as batch_id, count(*) as messages, true as timed
+        from event_messages group by batch_id
+    """, "event_messages"),
+    "keyed_since": _with("""
+        select query, doc_id, created_utc, ups,
+               row_number() over (order by created_utc desc, doc_id) as rank
+        from upserted
+        where query = (select min(query) from word_topics)
+          and created_utc > (select lasttime from cursors
+                             where query = (select min(query) from word_topics))
+    """, "upserted", "word_topics", "cursors"),
+    "keyed_newest2": _with("""
+        select query, doc_id, created_utc, ups,
+               row_number() over (order by created_utc desc, doc_id) as rank
+        from upserted
+        where query = (select min(query) from word_topics)
+        qualify rank <= 2
+    """, "upserted", "word_topics"),
+    "keyed_topic_series": _with("""
+        select * from series where query = (select min(query) from word_topics)
+    """, "series", "word_topics"),
     "posts_upsert": _with("select * from upserted", "upserted"),
     "posts_compacted": _with("select * from upserted", "upserted"),
     "votes_upsert": _with("select * from votes", "votes"),
@@ -361,11 +427,16 @@ SQL: dict[str, str] = {
     """, "event_messages"),
     "stream_hourly": _with("""
         select query, time_utc, cast(sum(ups) as bigint) as ups, cast(sum(downs) as bigint) as downs
-        from (select *, cast(date_trunc('hour', created_utc) as timestamp) as time_utc from posts)
+        from (select *, cast(date_trunc('hour', created_utc) as timestamp) as time_utc from posts
+              where query in (select query from word_topics)
+                and (cast(doc_id as bigint) % 7 <> 0
+                     or floor(epoch(created_utc)) >= (
+                         select floor((min(floor(epoch(created_utc)))
+                                       + max(floor(epoch(created_utc)))) / 2) from posts)))
         where time_utc + interval 1 hour
             <= (select max(created_utc) from posts) - interval 2 hour
         group by query, time_utc
-    """, "posts"),
+    """, "posts", "word_topics"),
     "stream_slides": _with(f"""
         select query, until_utc, count(*) as n from ({SLIDES})
         where until_utc <= (select max(created_utc) from posts) - interval 10 minute
@@ -373,7 +444,8 @@ SQL: dict[str, str] = {
     """, "posts"),
     "stream_feed": _with(f"select doc_id, query, created_utc from ({top10(WORD_POSTS)})",
                          "posts", "word_topics"),
-    "stream_shown_once": _with("select distinct doc_id from posts", "posts"),
+    "stream_shown_once": _with("select doc_id, min(query) as query from posts group by doc_id",
+                               "posts"),
     "stream_cursor": _with("select query, max(created_utc) as lasttime from posts group by query",
                            "posts"),
 }

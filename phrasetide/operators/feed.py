@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from phrasetide import schemas
 from phrasetide.functions.text import absolute_link, has_text, highlight, short_url, split_topics
 from phrasetide.functions.times import display_time, instant
-from phrasetide.operators.lookup import BROADCAST_BYTES, lookup_join
+from phrasetide.operators.lookup import BROADCAST_BYTES, lookup_join, measured_bytes, row_bytes
 from phrasetide.operators.percolate import TOP_MATCHES
+from phrasetide.operators.votes import span_of
 
 FIRST_CALL = 2
 FEED_SIZE = 10
@@ -48,29 +49,55 @@ def since_of(posts: DataFrame, topic: str, lasttime) -> DataFrame:
             .orderBy(F.desc("created_utc"), "doc_id"))
 
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """Rows with their ``rank`` in the response of their topic, newest first."""
+    by_age = Window.partitionBy("query").orderBy(F.desc("created_utc"), "doc_id")
+    return rows.withColumn("rank", F.row_number().over(by_age))
+
+
 def oldest_first(rows: DataFrame) -> DataFrame:
     """A response in the order its posts join the feed."""
     return rows.orderBy("created_utc", "doc_id")
 
 
 def since(posts: DataFrame, cursor: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Posts strictly newer than their topic's cursor, for all topics at once."""
-    known = cursor.filter(F.col("lasttime").isNotNull())
-    return (lookup_join(posts, known, ["query"], "inner", ["doc_id"], limit)
+    """Posts strictly newer than their topic's cursor, for all topics at once.
+
+    The aggregate that measures the cursors also finds the oldest, and the scan
+    of the posts starts there.
+    """
+    known = cursor.filter(F.col("lasttime").isNotNull()).select("query", "lasttime")
+    size, oldest, _ = span_of(known)
+    if oldest is None:
+        return posts.limit(0)
+    recent = posts.filter(F.col("created_utc") >= F.timestamp_seconds(F.lit(oldest)))
+    return (lookup_join(recent, known, ["query"], "inner", ["doc_id"], limit, size)
             .filter(F.col("created_utc") > F.col("lasttime"))
             .select(*posts.columns))
 
 
 def poll(posts: DataFrame, cursor: DataFrame, n: int = FIRST_CALL,
          limit: int = BROADCAST_BYTES) -> DataFrame:
-    """What one read of every topic returns.
+    """What one read of every topic returns, in one pass over the posts.
 
     Topics with a cursor give the posts after it, topics without one
-    (``lasttime`` null) their ``n`` newest.
+    (``lasttime`` null) their ``n`` newest. Once no topic is new, the scan
+    starts at the oldest cursor.
     """
-    unknown = cursor.filter(F.col("lasttime").isNull())
-    first = newest(posts, unknown, n, limit).drop("rank")
-    return since(posts, cursor, limit).unionByName(first)
+    topics = cursor.select("query", "lasttime")
+    size = topics.agg(F.sum(row_bytes(topics)), F.min(F.unix_seconds("lasttime")),
+                      F.count_if(F.col("lasttime").isNull())).first()
+    if not size[2]:
+        return since(posts, cursor, limit)
+    rows = (lookup_join(posts, topics, ["query"], "inner", ["doc_id"], limit, size[0] or 0)
+            .filter(F.col("lasttime").isNull() | (F.col("created_utc") > F.col("lasttime"))))
+    # A known topic's rows are each ranked alone (a stored post's key is unique),
+    # so one rank limit holds for all and is applied before the shuffle too.
+    alone = F.when(F.col("lasttime").isNotNull(), F.struct("created_utc", "doc_id"))
+    by_age = Window.partitionBy("query", alone).orderBy(F.desc("created_utc"), "doc_id")
+    return (rows.withColumn("rank", F.row_number().over(by_age))
+            .filter(F.col("rank") <= n)
+            .select(*posts.columns))
 
 
 def advance_cursor(rows: DataFrame, cursor: DataFrame | None = None) -> DataFrame:
@@ -109,47 +136,75 @@ def top_feed(posts: DataFrame, topics: DataFrame | None = None, seen: DataFrame
              k: int = FEED_SIZE, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The ``k`` newest posts over all topics, each post once, with ``rank``.
 
-    A first pass over two columns finds the time back to which posts matter;
-    only rows from then on are read whole and merged.
+    The newest rows are taken first, of two columns and without a shuffle, and
+    only they are compared with ``seen``; when too few are left, the look goes
+    back further. Only rows as new as the ``k``-th post found are then read
+    whole and merged.
     """
     if topics is not None:
-        posts = lookup_join(posts, topics.select("query").distinct(), ["query"],
-                            "left_semi", ["doc_id"], limit)
-    if seen is not None:
-        posts = unseen(posts, seen, limit)
+        topics = topics.select("query").distinct()
+        size = measured_bytes(topics)
+        posts = lookup_join(posts, topics, ["query"], "left_semi", ["doc_id"], limit, size)
     shown = posts.filter(has_text("title"))
-    reach = F.timestamp_micros(F.lit(_reach(shown, k)).cast("bigint"))
+    if seen is not None:
+        seen = seen.select("doc_id")
+    reach = F.timestamp_micros(F.lit(_reach(shown, seen, k)).cast("bigint"))
     recent = shown.filter(F.col("created_utc") >= reach)
+    if seen is not None:
+        # Rows since the reach are few: the seen ids are narrowed to theirs.
+        ids = recent.select("doc_id").distinct()
+        known = lookup_join(seen, ids, ["doc_id"], "left_semi", ["doc_id"], limit).distinct()
+        recent = lookup_join(recent, known, ["doc_id"], "left_anti", ["query"], limit)
     top = merge_topics(recent).orderBy(F.desc("created_utc"), "doc_id").limit(k)
-    # At most k rows: an ungrouped window over them is one small task.
-    newest_first = Window.orderBy(F.desc("created_utc"), "doc_id")
-    return top.withColumn("rank", F.row_number().over(newest_first))
+    return _numbered(top)
 
 
-def _reach(shown: DataFrame, k: int) -> int | None:
-    """Epoch microseconds at or before the newest time of the ``k``-th newest post.
+def _reach(shown: DataFrame, seen: DataFrame | None, k: int) -> int | None:
+    """Epoch microseconds at or before the newest time of the ``k``-th newest unseen post.
 
     Posts match at most ``TOP_MATCHES`` topics each, so that many times ``k``
-    rows nearly always hold ``k`` posts, and taking the newest rows needs no
-    shuffle. When they do not, all posts are merged by id to find the time.
+    rows nearly always hold ``k`` posts. When they do not, a hundred times as
+    many are looked at, and then all posts are merged by id to find the time.
     """
     times = shown.select("doc_id", F.unix_micros("created_utc").alias("at"))
-    rows = k * TOP_MATCHES
-    head = times.orderBy(F.desc("at")).limit(rows)
-    found = head.agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("posts"),
-                     F.min("at").alias("reach")).first()
-    if found.posts >= k or found.rows < rows:
-        return found.reach
-    newest_times = (times.groupBy("doc_id").agg(F.max("at").alias("at"))
+    for rows in (k * TOP_MATCHES, 100 * k * TOP_MATCHES):
+        head = times.orderBy(F.desc("at")).limit(rows)
+        if seen is None:
+            marked = head.withColumn("_seen", F.lit(False))
+        else:  # the few ids of the head narrow the seen ones, not the other way round
+            ids = F.broadcast(head.select("doc_id").distinct())
+            known = seen.join(ids, "doc_id", "left_semi").distinct()
+            marked = head.join(known.withColumn("_seen", F.lit(True)), "doc_id", "left")
+        unseen_id = F.when(~F.coalesce("_seen", F.lit(False)), F.col("doc_id"))
+        found = marked.agg(F.count("*").alias("rows"), F.min("at").alias("oldest"),
+                           F.count_distinct(unseen_id).alias("posts")).first()
+        if found.posts >= k or found.rows < rows:
+            return found.oldest
+    left = times if seen is None else times.join(seen, "doc_id", "left_anti")
+    newest_times = (left.groupBy("doc_id").agg(F.max("at").alias("at"))
                     .orderBy(F.desc("at")).limit(k))
     return newest_times.agg(F.min("at")).first()[0]
 
 
+def newest_posts(rows: DataFrame, k: int = FEED_SIZE) -> DataFrame:
+    """The ``k`` newest posts of a micro-batch, each once: :func:`top_feed` in one pass."""
+    merged = merge_topics(rows.filter(has_text("title")))
+    return merged.orderBy(F.desc("created_utc"), "doc_id").limit(k)
+
+
 def extend_feed(feed: DataFrame, arrived: DataFrame, k: int = FEED_SIZE) -> DataFrame:
-    """The feed after new rows arrived; a post already shown stays as it was."""
+    """The feed after a micro-batch of rows; a post already shown stays as it was."""
     columns = list(schemas.POST_COLUMNS)
-    fresh = unseen(arrived, feed).select(*columns)
-    return top_feed(feed.select(*columns).unionByName(fresh), k=k)
+    shown = feed.select(*columns)
+    fresh = arrived.join(F.broadcast(shown.select("doc_id")), "doc_id", "left_anti")
+    newest_first = newest_posts(fresh.select(*columns), k).unionByName(shown)
+    return _numbered(newest_first.orderBy(F.desc("created_utc"), "doc_id").limit(k))
+
+
+def _numbered(top: DataFrame) -> DataFrame:
+    # At most a feed of rows: an ungrouped window over them is one small task.
+    return top.withColumn("rank", F.row_number().over(
+        Window.orderBy(F.desc("created_utc"), "doc_id")))
 
 
 def render(feed: DataFrame) -> DataFrame:
@@ -173,19 +228,20 @@ def enrich(feed: DataFrame, docs: DataFrame, columns: list[str],
            limit: int = BROADCAST_BYTES) -> DataFrame:
     """Feed rows with ``columns`` replaced by the looked-up post's, where found.
 
+    A post that is found replaces the values whatever it holds, nulls included.
     ``docs`` is narrowed to the feed's ids first, so the large table is scanned
-    but not shuffled while the feed is small.
+    but not shuffled while the feed is small; of several rows of one id the
+    smallest counts.
     """
     wanted = feed.select("doc_id").distinct()
-    details = (lookup_join(docs.select("doc_id", *columns), wanted, ["doc_id"],
-                           "left_semi", ["doc_id"], limit)
-               .withColumn("_found", F.lit(True)))
-    joined = feed.alias("f").join(details.alias("d"), "doc_id", "left")
-    replaced = [F.coalesce(f"d.{c}", f"f.{c}").alias(c) if c in feed.columns
-                else F.col(f"d.{c}").alias(c) for c in columns]
-    kept = [F.col("doc_id") if c == "doc_id" else F.col(f"f.{c}")
-            for c in feed.columns if c not in columns]
-    return joined.select(*kept, *replaced)
+    found = lookup_join(docs.select("doc_id", *columns), wanted, ["doc_id"],
+                        "left_semi", ["doc_id"], limit)
+    details = (found.groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("_new")))
+    joined = feed.join(details, "doc_id", "left")
+    replaced = {c: F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}"))
+                .otherwise(F.col(c) if c in feed.columns else F.lit(None)) for c in columns}
+    kept = [c for c in feed.columns if c not in columns]
+    return joined.select(*kept, *[value.alias(c) for c, value in replaced.items()])
 
 
 def new_ids(current: DataFrame, fetched: DataFrame, key: str = "doc_id") -> DataFrame:

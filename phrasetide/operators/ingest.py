@@ -11,15 +11,15 @@ from phrasetide.functions.numbers import synthetic_downs
 from phrasetide.functions.times import from_epoch
 
 
-def _keys() -> Column:
+def _keys(column: str) -> Column:
     # NULL for broken JSON and for anything that is not an object.
-    return F.json_object_keys("line")
+    return F.json_object_keys(column)
 
 
-def _complete() -> Column:
+def _complete(column: str) -> Column:
     """Every required key is there, whatever its value (null counts as there)."""
     wanted = F.array(*[F.lit(key) for key in schemas.REQUIRED_KEYS])
-    return F.size(F.array_except(wanted, _keys())) == 0
+    return F.size(F.array_except(wanted, _keys(column))) == 0
 
 
 def _over_18(raw: str) -> Column:
@@ -29,11 +29,54 @@ def _over_18(raw: str) -> Column:
     return F.when(kind != "STRING", number != 0)
 
 
-def _parsed(lines: DataFrame) -> DataFrame:
-    return (lines
-            .select(F.from_json("line", schemas.RAW_MESSAGE).alias("m"))
-            .select("m.*")
-            .withColumn("over_18", _over_18("over_18")))
+def _whole(text: Column) -> Column:
+    """The whole number that a JSON number spells (3 and 3.0 alike), else null."""
+    number = text.try_cast("decimal(38,6)")
+    return F.when(number == F.floor(number), number.cast("bigint"))
+
+
+def _fault(message: Column) -> Column:
+    """What is wrong with the values of a parsed object; null if nothing is."""
+    ups = _whole(message["ups"])
+    found = F.when(ups.isNull() | (ups < 0), F.lit("up-votes missing or negative"))
+    for name in schemas.WHOLE:
+        if name != "ups":
+            found = found.when(message[name].isNotNull() & _whole(message[name]).isNull(),
+                               F.lit(f"not a whole number: {name}"))
+    at = message["created_utc"]
+    return found.when(at.isNotNull() & at.try_cast("decimal(20,6)").isNull(),
+                      F.lit("not a time: created_utc"))
+
+
+def _judged(rows: DataFrame, column: str, required: Column) -> DataFrame:
+    """Rows with the parsed object ``m`` and the ``reason`` against it, if any.
+
+    Objects that are not ``required`` are left out; broken JSON stays.
+    """
+    return (rows.filter(_keys(column).isNull() | required)
+            .withColumn("m", F.from_json(column, schemas.RAW_MESSAGE))
+            .withColumn("reason", F.when(_keys(column).isNull(), F.lit("not a JSON object"))
+                        .otherwise(_fault(F.col("m")))))
+
+
+def _accepted(judged: DataFrame, column: str, on_bad: str) -> DataFrame:
+    """Messages of the rows without a reason; others stop the job or are left out."""
+    if on_bad == "quarantine":
+        good = judged.filter(F.col("reason").isNull())
+    elif on_bad == "fail":
+        stop = F.raise_error(F.concat("reason", F.lit(": "), F.coalesce(column, F.lit("null"))))
+        good = judged.filter(F.when(F.col("reason").isNull(), F.lit(True))
+                             .otherwise(stop.cast("boolean")))
+    else:
+        raise ValueError(f"on_bad must be 'fail' or 'quarantine', not {on_bad!r}")
+    whole = {f.name: _whole(F.col(f.name)) for f in schemas.MESSAGE
+             if isinstance(f.dataType, T.LongType)}
+    return (good.select("m.*").withColumns({**whole, "over_18": _over_18("over_18")})
+            .select(*schemas.MESSAGE.fieldNames()))
+
+
+def _rejected(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.col("reason").isNotNull()).drop("m")
 
 
 def _clean(messages: DataFrame) -> DataFrame:
@@ -48,29 +91,17 @@ def _clean(messages: DataFrame) -> DataFrame:
 def read_messages(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
     """Messages of a ``line`` column holding one JSON object per row.
 
-    Lines lacking a required key are skipped. Broken JSON and up-votes that are
-    not a whole number >= 0 stop the job, or with ``on_bad="quarantine"`` are
-    left out here and returned by :func:`rejected_lines`.
+    Lines lacking a required key are skipped. Broken JSON, up-votes that are not
+    a whole number >= 0, other counts that are not whole and times that are no
+    number stop the job, or with ``on_bad="quarantine"`` are left out here and
+    returned by :func:`rejected_lines`.
     """
-    if on_bad == "quarantine":
-        return _clean(_parsed(lines.filter(_complete())).filter(F.col("ups") >= 0))
-    if on_bad != "fail":
-        raise ValueError(f"on_bad must be 'fail' or 'quarantine', not {on_bad!r}")
-    broken = F.raise_error(F.concat(F.lit("not a JSON object: "), "line")).cast("boolean")
-    usable = lines.filter(F.when(_keys().isNull(), broken).otherwise(_complete()))
-    bad_ups = F.raise_error(F.concat(F.lit("up-votes missing or negative in post "),
-                                     F.coalesce("id", F.lit("null")))).cast("bigint")
-    return _clean(_parsed(usable).withColumn(
-        "ups", F.when(F.col("ups") >= 0, F.col("ups")).otherwise(bad_ups)))
+    return _clean(_accepted(_judged(lines, "line", _complete("line")), "line", on_bad))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """The lines ``read_messages(lines, "quarantine")`` set aside, with a reason."""
-    ups = F.from_json("line", "ups bigint")["ups"]
-    reason = (F.when(_keys().isNull(), F.lit("not a JSON object"))
-              .when(_complete() & F.coalesce(ups < 0, F.lit(True)),
-                    F.lit("up-votes missing or negative")))
-    return lines.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    return _rejected(_judged(lines, "line", _complete("line")))
 
 
 def to_values(messages: DataFrame) -> DataFrame:
@@ -79,13 +110,15 @@ def to_values(messages: DataFrame) -> DataFrame:
         F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def from_values(values: DataFrame) -> DataFrame:
-    """Messages of topic values; empty objects are dropped."""
-    return (values
-            .filter(F.size(F.json_object_keys("value")) > 0)
-            .select(F.from_json("value", schemas.RAW_MESSAGE).alias("m"))
-            .select("m.*")
-            .withColumn("over_18", _over_18("over_18")))
+def from_values(values: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """Messages of topic values, judged as lines are; empty objects are dropped."""
+    filled = F.size(_keys("value")) > 0
+    return _accepted(_judged(values, "value", filled), "value", on_bad)
+
+
+def rejected_values(values: DataFrame) -> DataFrame:
+    """The values ``from_values(values, "quarantine")`` set aside, with a reason."""
+    return _rejected(_judged(values, "value", F.size(_keys("value")) > 0))
 
 
 def keep_one_per_id(messages: DataFrame, key: str = "id",

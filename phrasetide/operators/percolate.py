@@ -16,10 +16,14 @@ from pyspark.sql import functions as F
 
 from phrasetide.functions.text import contains_phrase, grams, phrase, tokens
 from phrasetide.operators import lookup
+from phrasetide.session import new_work_dir
 
 MAX_GRAM = 3
 TOP_MATCHES = 5
 
+# A gram in more posts than this isn't shuffled to one task with them.
+HEAVY_POSTS = 1_000_000
+
 
 @dataclass(frozen=True)
 class PhraseIndex:
@@ -103,6 +107,31 @@ def _offer(posts: DataFrame, text: str, index: PhraseIndex) -> DataFrame:
             .drop("_grams"))
 
 
+def _known_grams(offered: DataFrame, index: PhraseIndex) -> DataFrame:
+    """The offered grams that some phrase may be filed under.
+
+    Eight bytes per gram are broadcast, and grams outside them don't enter the
+    shuffle. A registry with too many grams even for that goes without.
+    """
+    known = index.rows.select(F.xxhash64("gram").alias("_hash")).distinct()
+    if lookup.measured_bytes(known) > lookup.BROADCAST_BYTES:
+        return offered
+    return (offered.withColumn("_hash", F.xxhash64("gram"))
+            .join(F.broadcast(known), "_hash", "left_semi").drop("_hash"))
+
+
+def _heavy_grams(offered: DataFrame) -> DataFrame:
+    """Grams offered by more than ``HEAVY_POSTS`` posts, found once and written.
+
+    There are at most the offered rows divided by ``HEAVY_POSTS`` of them. Their
+    index rows are brought to the posts, not the posts to one task each.
+    """
+    path = new_work_dir(offered.sparkSession, "heavy-grams")
+    (offered.groupBy("gram").agg(F.count("*").alias("n"))
+     .filter(F.col("n") > HEAVY_POSTS).select("gram").write.parquet(path))
+    return offered.sparkSession.read.schema("gram string").parquet(path)
+
+
 def match(posts: DataFrame, index: PhraseIndex, text: str = "title", key: str = "id",
           limit: int = lookup.BROADCAST_BYTES, keys_only: bool = False) -> DataFrame:
     """Posts joined with the index rows whose phrase they contain.
@@ -111,9 +140,9 @@ def match(posts: DataFrame, index: PhraseIndex, text: str = "title", key: str =
     payload, one row per post and matching index row. ``key`` must be unique;
     posts without one are left out, as they could not be stored. An index whose
     measured size is within ``limit`` is broadcast, and posts are matched where
-    they lie. A larger one is shuffled: only keys and grams travel, salted by
-    key because a common word sits in most posts, and the pairs found are
-    joined back to the posts.
+    they lie. A larger one is shuffled: only keys and those grams travel that
+    some phrase is filed under, but for the grams in very many posts, whose few
+    index rows come to the posts. The pairs found are joined back to the posts.
     """
     payload = [c for c in index.rows.columns if c not in ("gram", "phrase", "words")]
     kept = [key] if keys_only else posts.columns
@@ -128,10 +157,13 @@ def match(posts: DataFrame, index: PhraseIndex, text: str = "title", key: str =
             found = found.filter((F.col("words") <= MAX_GRAM)
                                  | contains_phrase("_text", "phrase"))
         return found.select(*kept, *payload)
-    offered = _offer(posts.select(key, text), text, index).select(key, "gram")
-    offered, filed = lookup.salted(offered, index.rows, [key])
-    pairs = (offered.join(filed, ["gram", "_salt"])
-             .select(key, "phrase", "words", *payload))
+    offered = _known_grams(_offer(posts.select(key, text), text, index).select(key, "gram"),
+                           index)
+    heavy = _heavy_grams(offered)
+    light = offered.join(F.broadcast(heavy), "gram", "left_anti").join(index.rows, "gram")
+    common = lookup.lookup_join(
+        offered, index.rows.join(F.broadcast(heavy), "gram", "left_semi"), ["gram"], "inner", [key])
+    pairs = (light.unionByName(common).select(key, "phrase", "words", *payload))
     if keys_only and not index.has_long:
         return pairs.select(*kept, *payload)
     if index.has_long:
@@ -195,14 +227,14 @@ def nested_matches(posts: DataFrame, registry: DataFrame, n: int = TOP_MATCHES,
     """The percolate response per post: ``(id, total, matches)``.
 
     ``matches`` holds the first ``n`` queries as structs with ``_id``, so each
-    array is at most ``n`` long however many queries match.
+    array is at most ``n`` long however many queries match, and ``total``, which
+    is clipped likewise, is its length.
     """
     top = (percolate_top(posts.select(key, text), registry, n, text, key)
            .groupBy(key)
            .agg(F.sort_array(F.collect_list(F.struct(F.col("query").alias("_id"))))
                 .alias("matches")))
-    totals = match_counts(posts, registry, text, key, cap=n)
-    return totals.select(key, F.col("capped").alias("total")).join(top, key)
+    return top.select(key, F.size("matches").cast("bigint").alias("total"), "matches")
 
 
 def expand_matches(nested: DataFrame, key: str = "id") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from phrasetide.functions.numbers import percent_change, percent_label
 from phrasetide.functions.times import to_millis
-from phrasetide.operators.lookup import BROADCAST_BYTES, lookup_join
+from phrasetide.operators.lookup import BROADCAST_BYTES, lookup_join, row_bytes
 
 # Fixed value: posts before this hour are not totalled.
 FIRST_HOUR = "2007-01-01 00:00:00"
@@ -39,25 +39,38 @@ def to_votes(summed: DataFrame) -> DataFrame:
     return summed.select("query", F.col("w.start").alias("time_utc"), "ups", "downs")
 
 
-def hourly_votes(posts: DataFrame, registry: DataFrame | None = None,
-                 bounds: str = "half_open", first_hour: str | None = FIRST_HOUR) -> DataFrame:
-    """Vote totals per query and hour, hours without posts left out.
+def counted_posts(posts: DataFrame, bounds: str = "half_open",
+                  first_hour: str | None = FIRST_HOUR) -> DataFrame:
+    """The posts that hourly totals count; ``posts`` may be a stream.
 
-    One pass over all hours. ``bounds="open"`` counts a post that falls exactly
-    on an hour nowhere, ``"half_open"`` in the hour it starts. Totals are
-    limited to registered queries after summing, when a hot query has shrunk to
-    one row per hour.
+    ``bounds="open"`` counts a post that falls exactly on an hour nowhere,
+    ``"half_open"`` in the hour it starts.
     """
     if bounds == "open":
         posts = inside_hour(posts)
     elif bounds != "half_open":
         raise ValueError(f"bounds must be 'open' or 'half_open', not {bounds!r}")
-    totals = to_votes(sum_votes(since_first_hour(posts, first_hour)))
+    return since_first_hour(posts, first_hour)
+
+
+def of_registered(totals: DataFrame, registry: DataFrame | None) -> DataFrame:
+    """Totals of registered queries; applied after summing, when each is small."""
     if registry is None:
         return totals
     return totals.join(registry.select("query").distinct(), "query", "left_semi")
 
 
+def hourly_votes(posts: DataFrame, registry: DataFrame | None = None,
+                 bounds: str = "half_open", first_hour: str | None = FIRST_HOUR) -> DataFrame:
+    """Vote totals per query and hour, hours without posts left out.
+
+    One pass over all hours, see :func:`counted_posts`. Totals are limited to
+    registered queries when a hot query has shrunk to one row per hour.
+    """
+    totals = to_votes(sum_votes(counted_posts(posts, bounds, first_hour)))
+    return of_registered(totals, registry)
+
+
 def series(votes: DataFrame, topic: str | None = None) -> DataFrame:
     """Series rows ``(query, ts_ms, ups, total)``, of one topic or of all."""
     if topic is not None:
@@ -114,17 +127,28 @@ def count_at(posts: DataFrame, cursor: DataFrame, seconds: int = TRAILING_SECOND
              limit: int = BROADCAST_BYTES) -> DataFrame:
     """Posts per topic in the ``seconds`` that end at the topic's cursor.
 
-    With a cursor table small enough to broadcast, older posts are dropped where
-    they are read and only counts are shuffled.
+    One aggregate over the cursors gives their size and the times they span,
+    which the scan of the posts is limited to. With cursors small enough to
+    broadcast only counts are shuffled.
     """
     known = cursor.filter(F.col("lasttime").isNotNull()).select("query", "lasttime")
+    size, oldest, newest = span_of(known)
     at, end = F.unix_seconds("created_utc"), F.unix_seconds("lasttime")
-    near = (lookup_join(posts.select("query", "created_utc", "doc_id"), known, ["query"],
-                        "inner", ["doc_id"], limit)
+    rows = posts.select("query", "created_utc", "doc_id").filter(
+        (F.col("created_utc") >= F.timestamp_seconds(F.lit((oldest or 0) - seconds)))
+        & (F.col("created_utc") < F.timestamp_seconds(F.lit((newest or 0) + 1))))
+    near = (lookup_join(rows, known, ["query"], "inner", ["doc_id"], limit, size)
             .filter(at.between(end - seconds, end)))
     return near.groupBy("query", "lasttime").agg(F.count("*").alias("n"))
 
 
+def span_of(known: DataFrame) -> tuple[int, int | None, int | None]:
+    """Size of cursors, and the first and last second among them."""
+    at = F.unix_seconds("lasttime")
+    found = known.agg(F.sum(row_bytes(known)), F.min(at), F.max(at)).first()
+    return found[0] or 0, found[1], found[2]
+
+
 def trailing_counts(posts: DataFrame, seconds: int = TRAILING_SECONDS) -> DataFrame:
     """Posts per topic in the ``seconds`` up to each second it has a post in.
 

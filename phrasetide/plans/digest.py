@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from phrasetide.operators.ingest import keep_one_per_id, read_messages, safe_only, to_posts
 from phrasetide.operators.lookup import BROADCAST_BYTES
@@ -16,8 +17,11 @@ def digest(messages: DataFrame, registry: DataFrame, n: int = TOP_MATCHES,
     Duplicates are merged and over-18 posts dropped before the matching. While
     the registry can be broadcast, the shuffle by id of the merge is the only
     one: matching happens in place and ranking finds posts together by id.
+    Messages without an id, which can't be stored, go before the merge; left to
+    the matching, they would make its two readings of the posts differ, and the
+    input be read and shuffled twice.
     """
-    posts = safe_only(keep_one_per_id(messages))
+    posts = safe_only(keep_one_per_id(messages.filter(F.col("id").isNotNull())))
     return to_posts(percolate_top(posts, registry, n, limit=limit))
 
 

@@ -36,9 +36,13 @@ MESSAGE = T.StructType([
     T.StructField("score", T.LongType()),
 ])
 
-# over_18 is read as a variant so that false and 0 can be told from "false".
+# Numbers that must be whole; up-votes must be there as well.
+WHOLE = ("ups", "gilded", "score")
+
+# over_18 is read as a variant so that false and 0 can be told from "false", and
+# numbers as text so that 3.0 can be told from 3.5.
 RAW_MESSAGE = T.StructType([
-    T.StructField(f.name, T.VariantType() if f.name == "over_18" else f.dataType)
+    T.StructField(f.name, T.VariantType() if f.name == "over_18" else T.StringType())
     for f in MESSAGE
 ])
 

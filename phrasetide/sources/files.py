@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Every line of every file under ``path`` as column ``line``."""
-    return spark.read.text(path).withColumnRenamed("value", "line")
+    """Every line of every file under ``path``, subfolders included, as ``line``."""
+    return (spark.read.option("recursiveFileLookup", "true").text(path)
+            .withColumnRenamed("value", "line"))
 
 
 def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Lines of files as they arrive, ``files_per_batch`` files at a time."""
-    reader = spark.readStream
+    """Lines of files as they arrive, also in subfolders, ``files_per_batch`` files at a time."""
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.text(path).withColumnRenamed("value", "line")

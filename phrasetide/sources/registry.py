@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +17,12 @@ def registrations(topics: DataFrame, at, column: str = "topic") -> DataFrame:
             .withColumn("registered_at", F.lit(at).cast("timestamp")))
 
 
-def register(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Add registrations; repeating a batch or a query changes nothing."""
-    tables.write_batch(rows, path, batch_id)
+def register(rows: DataFrame, path: str) -> None:
+    """Add registrations; each call is a batch of its own, whoever makes it.
+
+    Repeating a call or a query changes nothing, as the first time counts.
+    """
+    tables.write_batch(rows, path, 0, run=f"client-{uuid.uuid4().hex}")
 
 
 def first_registrations(rows: DataFrame) -> DataFrame:
@@ -27,16 +32,19 @@ def first_registrations(rows: DataFrame) -> DataFrame:
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return first_registrations(
-        tables.read_batches(spark, path, schemas.REGISTRY).drop("batch_id"))
+        tables.read_batches(spark, path, schemas.REGISTRY).select("query", "registered_at"))
 
 
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Write each query of the registry once to ``target``, as one batch.
+def compact(spark: SparkSession, path: str) -> None:
+    """Rewrite the registry as one folder, each query once, in place.
 
     A registry gains a small folder per registration and is read by every
-    micro-batch; later registrations go to ``target`` under higher batch ids.
+    micro-batch. Registrations made meanwhile stay, and a running stream goes on
+    with the same path.
     """
-    tables.write_batch(read_registry(spark, path), target, 0)
+    covered = tables.live_entries(spark, path)
+    if covered:
+        tables.replace_all(read_registry(spark, path), path, covered)
 
 
 def registered_by(registry: DataFrame, at) -> DataFrame:

@@ -1,8 +1,10 @@
-"""Paced replay: messages cut into slices that a stream reads one per batch."""
+"""Paced replay: messages cut into slices that are published one after the other."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import time
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from phrasetide.session import shared_dir
@@ -51,17 +53,42 @@ def slices(messages: DataFrame, order: list[str], per_slice: int = SLICE_MESSAGE
 
 
 def write_slices(sliced: DataFrame, path: str) -> None:
-    """Write messages as topic values, one text file per slice.
+    """Store messages as topic values with their ``slice_id``, in order.
 
-    Read with ``FolderTopic(path, files_per_batch=1)``, each slice becomes one
-    micro-batch and the trigger interval is the pause. On Kafka the same pacing
-    is ``KafkaTopic(offsets_per_batch=...)``.
+    A file holds a run of slices, sorted, so that one slice is read from few
+    row groups; there is no folder or file per slice.
     """
     message = F.struct(*[c for c in sliced.columns if c != "slice_id"])
-    value = F.to_json(message, {"ignoreNullFields": "false"}).alias("value")
+    value = F.to_json(message, {
+        "ignoreNullFields": "false",  # and times to the microsecond
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value")
     (sliced.select("slice_id", value)
      .repartitionByRange("slice_id").sortWithinPartitions("slice_id")
-     .write.mode("overwrite").partitionBy("slice_id").text(path))
+     .write.parquet(path))
+
+
+def read_slice(spark: SparkSession, path: str, slice_id: int) -> DataFrame:
+    """The values of one slice."""
+    stored = spark.read.schema("slice_id bigint, value string").parquet(path)
+    return stored.filter(F.col("slice_id") == slice_id).select("value")
+
+
+def replay(spark: SparkSession, path: str, topic, pause: float = 1.0, first: int = 0) -> int:
+    """Publish the stored slices one after the other, ``pause`` seconds apart.
+
+    A slice is published whole before the next one starts, so a stream that
+    reads ``topic`` meets them in order; on a folder topic each is one file,
+    and with ``files_per_batch=1`` one micro-batch. Returns the number after the
+    last one, from which a later replay can go on.
+    """
+    stored = spark.read.schema("slice_id bigint, value string").parquet(path)
+    last = stored.agg(F.max("slice_id")).first()[0]
+    for slice_id in range(first, -1 if last is None else last + 1):
+        topic.publish(read_slice(spark, path, slice_id).coalesce(1))
+        if slice_id < last:
+            time.sleep(pause)
+    return first if last is None else max(first, last + 1)
 
 
 def slice_sizes(sliced: DataFrame) -> DataFrame:

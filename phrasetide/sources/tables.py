@@ -1,68 +1,219 @@
 """Keyed tables on plain Parquet.
 
-Every batch is written to its own ``batch_id=N`` folder and overwrites it when
-the batch is run again, so a replayed batch leaves the table unchanged. A
-reader takes, for each key, the row of the newest batch.
+Every write goes to a folder of its own that is never changed, and one line in
+the table's manifest makes it part of the table. A batch is known by its run
+(one stream checkpoint, one job, one client) and its number in it: writing it
+again replaces that batch alone, wherever other runs stand. A reader takes, for
+each key, the row of the newest batch; a batch keeps the place of its first
+writing. Compaction adds a folder that covers those it was made from, so
+batches written meanwhile stay, and readers of the old folders go on.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from phrasetide.operators.lookup import BROADCAST_BYTES, lookup_join
 
+# Buckets of topics in a compacted folder.
+BUCKETS = 8
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+_MANIFEST = ("run string, batch_id bigint, place bigint, copy string, at bigint, "
+             "covers array<string>, bucketed boolean")
+_FOLDER = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType()),
+           T.StructField("place", T.LongType()), T.StructField("copy", T.StringType())]
+
+
+@dataclass(frozen=True)
+class Entry:
+    """One folder of the table."""
+
+    run: str
+    batch_id: int
+    place: int
+    copy: str
+    at: int
+    covers: tuple[str, ...] = field(default=())
+    bucketed: bool = False
+
+    def folder(self, path: str) -> str:
+        return (f"{path}/data/run={self.run}/batch_id={self.batch_id}"
+                f"/place={self.place}/copy={self.copy}")
+
+
+def _entries(spark: SparkSession, path: str) -> list[Entry]:
+    """All lines of the manifest: one per write, so as many as batches, not rows."""
+    rows = spark.read.schema(_MANIFEST).json(f"{path}/manifest").collect()
+    return [Entry(r.run, r.batch_id, r.place, r.copy, r.at, tuple(r.covers or ()),
+                  bool(r.bucketed)) for r in rows]
+
+
+def live_entries(spark: SparkSession, path: str) -> list[Entry]:
+    """The folders that make up the table now, oldest place first."""
+    newest: dict[tuple[str, int], Entry] = {}
+    entries = _entries(spark, path)
+    covered = {copy for entry in entries for copy in entry.covers}
+    for entry in sorted(entries, key=lambda e: e.at):
+        newest[entry.run, entry.batch_id] = entry
+    return sorted((e for e in newest.values() if e.copy not in covered),
+                  key=lambda e: (e.place, e.at))
+
+
+def _add(spark: SparkSession, path: str, entry: Entry) -> None:
+    line = (entry.run, entry.batch_id, entry.place, entry.copy, entry.at,
+            list(entry.covers), entry.bucketed)
+    spark.createDataFrame([line], _MANIFEST).coalesce(1).write.mode("append").json(
+        f"{path}/manifest")
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int, run: str = "main") -> None:
+    """Store ``rows`` as batch ``batch_id`` of ``run``, in place of an earlier writing of it."""
+    spark = rows.sparkSession
+    # A manifest without lines, where there is no table yet.
+    spark.createDataFrame([], _MANIFEST).write.mode("ignore").json(f"{path}/manifest")
+    known = _entries(spark, path)
+    now = max([time.time_ns() // 1000, *(e.at + 1 for e in known)])
+    own = [e.place for e in known if (e.run, e.batch_id) == (run, batch_id)]
+    entry = Entry(run, batch_id, min(own, default=now), uuid.uuid4().hex, now)
+    rows.write.parquet(entry.folder(path))
+    _add(spark, path, entry)
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType,
+          entries: Sequence[Entry], layout: Sequence[T.StructField] = ()) -> DataFrame:
+    full = T.StructType([*schema, *layout, *_FOLDER])
+    if not entries:
+        return spark.createDataFrame([], full)
+    return (spark.read.schema(full).option("basePath", f"{path}/data")
+            .parquet(*[e.folder(path) for e in entries]))
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All batches, replaced rows included, with their ``batch_id``."""
-    full = T.StructType([*schema, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(full).parquet(path)
+    """All rows, replaced ones included, with their ``run``, ``batch_id`` and ``place``."""
+    return _read(spark, path, schema, live_entries(spark, path)).drop("copy")
 
 
 def newest_per_key(batches: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The row of the newest batch for each key.
+    """The row of the newest batch (largest ``place``) for each key.
 
     Filters on key columns of the result reach the Parquet scan, since they are
     the grouping columns here. A key twice in one batch keeps its largest row.
     """
-    rest = [c for c in batches.columns if c not in key and c != "batch_id"]
-    best = batches.groupBy(*key).agg(F.max(F.struct("batch_id", *rest)).alias("k"))
+    rest = [c for c in batches.columns if c not in key and c != "place"]
+    best = batches.groupBy(*key).agg(F.max(F.struct("place", *rest)).alias("k"))
     return best.select(*[F.col(c) if c in key else F.col(f"k.{c}")
-                         for c in batches.columns if c != "batch_id"])
+                         for c in batches.columns if c != "place"])
+
+
+def bucket_of(topic: str | Column) -> Column:
+    return F.pmod(F.xxhash64(topic), F.lit(BUCKETS)).cast("int")
+
+
+_LAYOUT = [T.StructField("bucket", T.IntegerType()), T.StructField("day", T.DateType())]
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str],
-               columns: Sequence[str] | None = None) -> DataFrame:
+               columns: Sequence[str] | None = None, topics: Sequence[str] | None = None,
+               after=None, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The table's current rows: the key and ``columns`` (default all).
 
-    Columns not asked for are left out before rows are grouped by key, so they
-    are neither read nor shuffled.
+    ``topics`` (first key column) and ``after`` (second key column, a time,
+    exclusive) narrow the read; in a compacted folder they leave whole buckets
+    and days unread. Rows of a compacted folder have one version each: they are
+    read without a shuffle, but for the keys written since, which are few and
+    broadcast (beyond ``limit`` shuffled). Only rows written since are merged.
+    Columns not asked for are neither read nor shuffled.
     """
-    batches = read_batches(spark, path, schema)
-    if columns is not None:
-        rest = [c for c in columns if c not in key]
-        batches = batches.select(*key, *rest, "batch_id")
-    return newest_per_key(batches, key)
+    wanted = [f.name for f in schema
+              if columns is None or f.name in key or f.name in columns]
+    entries = live_entries(spark, path)
+    base = entries[0] if entries and entries[0].bucketed else None
+    later = entries[1:] if base else entries
+
+    def narrowed(rows: DataFrame, bucketed: bool) -> DataFrame:
+        if topics is not None:
+            if bucketed:
+                numbers = F.transform(F.array(*map(F.lit, topics)), bucket_of)
+                found = rows.sparkSession.range(1).select(numbers).first()[0]
+                rows = rows.filter(F.col("bucket").isin(found))
+            rows = rows.filter(F.col(key[0]).isin(list(topics)))
+        if after is not None:
+            at = F.lit(after).cast("timestamp")
+            if bucketed:
+                rows = rows.filter(F.col("day") >= at.cast("date"))
+            rows = rows.filter(F.col(key[1]) > at)
+        return rows
+
+    recent = narrowed(_read(spark, path, schema, later), False).select(*wanted, "place")
+    if base is None:
+        return newest_per_key(recent, key)
+    old = narrowed(_read(spark, path, schema, [base], _LAYOUT), True).select(*wanted)
+    if not later:
+        return old
+    replaced = lookup_join(old, recent.select(*key).distinct(), list(key), "left_anti",
+                           list(key), limit)
+    return replaced.unionByName(newest_per_key(recent, key))
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str]) -> None:
+    """Rewrite the current rows as one folder by bucket of topic and day, in place.
+
+    Micro-batches leave many small files. The new folder takes over from those it
+    was read from; batches written in the meantime come after it. A topic with a
+    third of all rows is spread over its days and, within them, over tasks.
+    """
+    covered = live_entries(spark, path)
+    if not covered:
+        return
+    topic, at = key[0], key[1]
+    rows = read_table(spark, path, schema, key).withColumns(
+        {"bucket": bucket_of(topic), "day": F.to_date(at)})
+    # The copy's name goes in first: an unfinished folder is in no manifest.
+    now = max([time.time_ns() // 1000, *(e.at + 1 for e in _entries(spark, path))])
+    entry = Entry(f"compact-{uuid.uuid4().hex}", 0, max(e.place for e in covered),
+                  uuid.uuid4().hex, now, tuple(e.copy for e in covered), True)
+    (rows.repartitionByRange("bucket", "day", *key).sortWithinPartitions("bucket", "day", *key)
+     .write.partitionBy("bucket", "day").parquet(entry.folder(path)))
+    _add(spark, path, entry)
+
+
+def replace_all(rows: DataFrame, path: str, covered: Sequence[Entry]) -> None:
+    """Store ``rows`` in place of the folders ``covered``, which they were made from."""
+    spark = rows.sparkSession
+    now = max([time.time_ns() // 1000, *(e.at + 1 for e in _entries(spark, path))])
+    entry = Entry(f"compact-{uuid.uuid4().hex}", 0, max(e.place for e in covered),
+                  uuid.uuid4().hex, now, tuple(e.copy for e in covered))
+    rows.write.parquet(entry.folder(path))
+    _add(spark, path, entry)
 
 
-def compact(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str],
-            target: str) -> None:
-    """Write the table's current rows to ``target`` as one batch, ordered by key.
+# Snapshots that a stream keeps of a small table, in turn.
+SNAPSHOTS = 3
 
-    Micro-batches leave many small files. In the rewritten table each file holds
-    a range of keys, so a reader of one topic skips the other files. Ranges are
-    cut over the whole key: one topic with a third of all rows gets many files.
+
+def snapshot_path(path: str, batch_id: int) -> str:
+    return f"{path}/slot={batch_id % SNAPSHOTS}"
+
+
+def write_snapshot(rows: DataFrame, path: str, batch_id: int) -> None:
+    """The whole of a small table as of ``batch_id``; the third last makes room.
+
+    A batch that is run again starts from its predecessor's snapshot, which is
+    still there, and writes the same.
     """
-    rows = read_table(spark, path, schema, key)
-    ordered = rows.repartitionByRange(*key).sortWithinPartitions(*key)
-    write_batch(ordered, target, 0)
+    rows.write.mode("overwrite").parquet(snapshot_path(path, batch_id))
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType,
+                  batch_id: int) -> DataFrame:
+    return spark.read.schema(schema).parquet(snapshot_path(path, batch_id))
 
 
 def scan_posts(posts: DataFrame, columns: Sequence[str], registry: DataFrame,

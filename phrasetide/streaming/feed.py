@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from phrasetide import schemas
-from phrasetide.operators.feed import FEED_SIZE, advance_cursor, extend_feed, top_feed
-from phrasetide.operators.lookup import lookup_join
+from phrasetide.operators.feed import FEED_SIZE, advance_cursor, extend_feed, newest_posts
+from phrasetide.operators.lookup import lookup_join, measured_bytes
 from phrasetide.sources import tables
 from phrasetide.streaming.posts import start
 
@@ -21,25 +22,28 @@ def keep_feed(topics: DataFrame, feed_path: str, k: int = FEED_SIZE) -> Callable
     """Batch function: merge a batch's posts of ``topics`` into the feed.
 
     Ranking needs a bounded input, so it runs per batch over the previous feed
-    (at most ``k`` rows) and the batch. Each batch's feed is its own snapshot;
-    a repeated batch starts from the same predecessor and gives the same feed.
+    (at most ``k`` rows) and the batch. Snapshots of the last few batches are
+    kept; a repeated batch starts from the same predecessor and gives the same
+    feed. The topics are measured once, not per batch.
     """
+    wanted = topics.select("query").distinct().cache()
+    size = measured_bytes(wanted)
+
     def process(arrived: DataFrame, batch_id: int) -> None:
         spark = arrived.sparkSession
-        wanted = lookup_join(arrived, topics.select("query").distinct(), ["query"],
-                             "left_semi", ["doc_id"])
+        rows = lookup_join(arrived, wanted, ["query"], "left_semi", ["doc_id"], small_bytes=size)
         if batch_id == 0:
-            feed = top_feed(wanted, k=k)
+            feed = newest_posts(rows, k)
         else:
-            feed = extend_feed(read_feed(spark, feed_path, batch_id - 1), wanted, k)
-        tables.write_batch(feed.select(*schemas.POST_COLUMNS), feed_path, batch_id)
+            feed = extend_feed(read_feed(spark, feed_path, batch_id - 1), rows, k)
+        tables.write_snapshot(feed.select(*schemas.POST_COLUMNS), feed_path, batch_id)
 
     return process
 
 
 def read_feed(spark, feed_path: str, batch_id: int) -> DataFrame:
     """The feed as of ``batch_id``."""
-    return spark.read.schema(schemas.POST).parquet(f"{feed_path}/batch_id={batch_id}")
+    return tables.read_snapshot(spark, feed_path, schemas.POST, batch_id)
 
 
 def start_feed(posts: DataFrame, topics: DataFrame, feed_path: str, checkpoint: str,
@@ -53,15 +57,28 @@ def keep_cursor(cursor_path: str) -> Callable[[DataFrame, int], None]:
         spark = arrived.sparkSession
         old = None
         if batch_id > 0:
-            old = spark.read.schema(schemas.CURSOR).parquet(f"{cursor_path}/batch_id={batch_id - 1}")
-        tables.write_batch(advance_cursor(arrived, old), cursor_path, batch_id)
+            old = tables.read_snapshot(spark, cursor_path, schemas.CURSOR, batch_id - 1)
+        tables.write_snapshot(advance_cursor(arrived, old), cursor_path, batch_id)
 
     return process
 
 
+def read_cursor(spark, cursor_path: str, batch_id: int) -> DataFrame:
+    """The cursors as of ``batch_id``."""
+    return tables.read_snapshot(spark, cursor_path, schemas.CURSOR, batch_id)
+
+
 def shown_once(posts: DataFrame, delay: str) -> DataFrame:
-    """Each ``doc_id`` once over the whole stream, as the accumulated feed shows it.
+    """Each post once, under its smallest query, over the whole stream.
 
-    Ids are remembered until the watermark has passed them by ``delay``.
+    To be run in update mode into a table keyed by ``doc_id``: a post is given
+    when it first arrives, and again when a smaller query does. Copies of a post
+    carry its time, so its state is freed once the watermark has passed that by
+    ``delay``.
     """
-    return posts.withWatermark("created_utc", delay).dropDuplicatesWithinWatermark(["doc_id"])
+    rest = [c for c in schemas.POST_COLUMNS if c not in ("doc_id", "created_utc", "query")]
+    kept = (posts.withWatermark("created_utc", delay)
+            .groupBy("doc_id", F.window("created_utc", "1 second").alias("w"))
+            .agg(F.min(F.struct("query", "created_utc", *rest)).alias("k")))
+    return kept.select(*[F.col(c) if c == "doc_id" else F.col(f"k.{c}")
+                         for c in schemas.POST_COLUMNS])

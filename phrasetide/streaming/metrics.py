@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import json
+import threading
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS = T.StructType([
     T.StructField("batch_id", T.LongType()),
@@ -26,18 +27,46 @@ def counted(messages: DataFrame, name: str = "messages") -> tuple[DataFrame, Obs
     return messages.observe(seen, F.count(F.lit(1)).alias("messages")), seen
 
 
-def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Messages and times of the latest batches Spark still remembers.
+class ProgressLog(StreamingQueryListener):
+    """Reports of every batch of the queries that run while it listens.
 
-    Spark keeps ``spark.sql.streaming.numRecentProgressUpdates`` of them; for a
-    whole run use :func:`counted` or the batches in the table itself.
+    Spark itself remembers the latest hundred of a query only. A report is one
+    small row; a log is read with :meth:`table` and freed with :meth:`close`.
     """
-    rows = []
-    for report in query.recentProgress:
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.rows, self.ended = spark, [], threading.Condition()
+        self.finished: set[str] = set()
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        report = event.progress
         times = {k: int(v) for k, v in report.durationMs.items()}
-        rows.append((report.batchId, report.numInputRows, times.get("triggerExecution"),
-                     json.dumps(times, sort_keys=True)))
-    return spark.createDataFrame(rows, PROGRESS)
+        self.rows.append((str(report.runId), report.batchId, report.numInputRows,
+                          times.get("triggerExecution"), json.dumps(times, sort_keys=True)))
+
+    def onQueryTerminated(self, event) -> None:
+        with self.ended:
+            self.finished.add(str(event.runId))
+            self.ended.notify_all()
+
+    def table(self, query: StreamingQuery, timeout: float = 30) -> DataFrame:
+        """All batches of ``query``; of one that has ended, once its last report is in."""
+        run = str(query.runId)
+        if not query.isActive:
+            with self.ended:
+                if not self.ended.wait_for(lambda: run in self.finished, timeout):
+                    raise TimeoutError(f"no end of run {run} reported")
+        return self.spark.createDataFrame([r[1:] for r in self.rows if r[0] == run], PROGRESS)
+
+    def close(self) -> None:
+        self.spark.streams.removeListener(self)
 
 
 def batch_sizes(batches: DataFrame) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from functools import cache
 
-from pyspark.sql import DataFrame
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from phrasetide import schemas
@@ -16,12 +19,14 @@ BATCH_INTERVAL = "2 seconds"
 
 
 def start(stream, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,
-          interval: str | None = BATCH_INTERVAL, name: str | None = None) -> StreamingQuery:
+          interval: str | None = BATCH_INTERVAL, name: str | None = None,
+          mode: str = "append") -> StreamingQuery:
     """Run ``batch_fn`` on every micro-batch; ``interval=None`` drains and ends.
 
     Offsets are kept in ``checkpoint``, so a restart goes on where it stopped.
     """
-    writer = stream.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint)
+    writer = (stream.writeStream.foreachBatch(batch_fn).outputMode(mode)
+              .option("checkpointLocation", checkpoint))
     if name:
         writer = writer.queryName(name)
     if interval is None:
@@ -29,24 +34,42 @@ def start(stream, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,
     return writer.trigger(processingTime=interval).start()
 
 
-def store_matches(registry_path: str, posts_path: str) -> Callable[[DataFrame, int], None]:
+@cache
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the run that ``checkpoint`` belongs to, the same after a restart."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def store(path: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """Batch function: store each batch in a table, as one of this checkpoint's run."""
+    def process(rows: DataFrame, batch_id: int) -> None:
+        tables.write_batch(rows, path, batch_id, run_of(rows.sparkSession, checkpoint))
+
+    return process
+
+
+def store_matches(registry_path: str, posts_path: str,
+                  checkpoint: str) -> Callable[[DataFrame, int], None]:
     """Batch function: match one batch of messages and store the posts.
 
     The registry is read in every batch, so a query registered now takes part
     from the next batch on. Duplicates are merged within the batch; across
     batches the stored key takes care of them.
     """
+    keep = store(posts_path, checkpoint)
+
     def process(messages: DataFrame, batch_id: int) -> None:
         known = registry.read_registry(messages.sparkSession, registry_path)
-        tables.write_batch(digest(messages, known), posts_path, batch_id)
+        keep(digest(messages, known), batch_id)
 
     return process
 
 
 def start_posts(values: DataFrame, registry_path: str, posts_path: str, checkpoint: str,
-                interval: str | None = BATCH_INTERVAL) -> StreamingQuery:
+                interval: str | None = BATCH_INTERVAL, on_bad: str = "fail") -> StreamingQuery:
     """Store the matches of a stream of message values."""
-    return start(from_values(values), store_matches(registry_path, posts_path),
+    return start(from_values(values, on_bad),
+                 store_matches(registry_path, posts_path, checkpoint),
                  checkpoint, interval, "posts")
 
 
@@ -62,7 +85,18 @@ def read_posts(spark, posts_path: str) -> DataFrame:
     return tables.read_table(spark, posts_path, schemas.POST, schemas.POST_KEY)
 
 
-def cancel(query: StreamingQuery) -> None:
-    """Stop a query. Its checkpoint and tables stay: starting it again resumes;
-    starting with a new checkpoint and new tables begins afresh."""
+def stop(query: StreamingQuery) -> None:
+    """End a query. Its checkpoint and tables stay: starting it again resumes."""
+    query.stop()
+
+
+def cancel(query: StreamingQuery, *paths: str) -> None:
+    """End a query and delete ``paths``: its checkpoint and the tables it filled.
+
+    Starting it again begins afresh. Paths that aren't there are passed over.
+    """
     query.stop()
+    for path in paths:
+        system, folder = fs.FileSystem.from_uri(path)
+        if system.get_file_info(folder).type == fs.FileType.Directory:
+            system.delete_dir(folder)

@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from phrasetide.operators.votes import inside_hour, sliding_counts, sum_votes, to_votes
-from phrasetide.sources import tables
-from phrasetide.streaming.posts import BATCH_INTERVAL, start
+from phrasetide.operators.votes import (
+    FIRST_HOUR, counted_posts, of_registered, sliding_counts, sum_votes, to_votes,
+)
+from phrasetide.streaming.posts import BATCH_INTERVAL, start, store
 
 
-def closed_hours(posts: DataFrame, delay: str, bounds: str = "half_open") -> DataFrame:
+def closed_hours(posts: DataFrame, delay: str, bounds: str = "half_open",
+                 registry: DataFrame | None = None,
+                 first_hour: str | None = FIRST_HOUR) -> DataFrame:
     """Totals of hours that have ended ``delay`` before the newest post.
 
-    Each hour is emitted once (append mode); posts arriving later than that
-    are not counted. State holds the open hours only.
+    Posts count by the rules of the batch job (:func:`votes.hourly_votes`). Each
+    hour is emitted once (append mode); posts arriving later than that are not
+    counted. State holds the open hours only.
     """
-    if bounds == "open":
-        posts = inside_hour(posts)
-    return to_votes(sum_votes(posts.withWatermark("created_utc", delay)))
+    wanted = counted_posts(posts, bounds, first_hour)
+    return of_registered(to_votes(sum_votes(wanted.withWatermark("created_utc", delay))), registry)
 
 
 def closed_slides(posts: DataFrame, delay: str, length: str = "5 minutes",
@@ -28,8 +31,9 @@ def closed_slides(posts: DataFrame, delay: str, length: str = "5 minutes",
 
 
 def start_votes(posts: DataFrame, votes_path: str, checkpoint: str, delay: str,
-                interval: str | None = BATCH_INTERVAL) -> StreamingQuery:
+                interval: str | None = BATCH_INTERVAL, bounds: str = "half_open",
+                registry: DataFrame | None = None,
+                first_hour: str | None = FIRST_HOUR) -> StreamingQuery:
     """Keep the votes table filled with closed hours."""
-    return start(closed_hours(posts, delay),
-                 lambda rows, batch_id: tables.write_batch(rows, votes_path, batch_id),
-                 checkpoint, interval, "votes")
+    return start(closed_hours(posts, delay, bounds, registry, first_hour),
+                 store(votes_path, checkpoint), checkpoint, interval, "votes")

@@ -10,6 +10,7 @@ from phrasetide.operators import feed, ingest, percolate, votes
 from phrasetide.plans.digest import digest
 from phrasetide.schemas import MESSAGE, POST, POST_KEY
 from phrasetide.sources import tables
+from phrasetide.sources.files import read_lines
 
 
 def plan(df) -> str:
@@ -44,18 +45,55 @@ def test_small_registry_matches_without_a_shuffle_of_posts(message_table, regist
     assert "Generate explode(_grams" in posts_side and "size(array_distinct" not in text
 
 
-def test_large_registry_is_a_salted_equi_join(message_table, registry):
+def test_large_registry_is_an_equi_join_of_known_grams(message_table, registry):
     text = plan(percolate.percolate(message_table, registry("york"), limit=0))
-    assert re.search(r"(SortMergeJoin|HashJoin) \[gram#\d+, _salt#\d+\]", text)
+    assert re.search(r"(SortMergeJoin|HashJoin) \[gram#\d+\], \[gram#\d+\]", text)
+    assert "_salt" not in text[:text.index("Union")]
+    # Before its shuffle every gram meets the hashes of those that phrases are filed under.
+    assert re.search(r"BroadcastHashJoin \[_hash#\d+L?\], \[_hash#\d+L?\], LeftSemi", text)
 
 
-def test_digest_shuffles_posts_once(message_table, registry):
-    made = digest(message_table, registry("york", "bridge"))
+def test_only_grams_of_the_index_are_shuffled(spark, lines, line, registry):
+    posts = ingest.read_messages(lines(*[line(id=str(i), title=f"old york bridge {i}")
+                                         for i in range(50)]))
+    index = percolate.index_phrases(percolate.phrases(registry("york", "bridge 7")), limit=0)
+    offered = percolate._offer(posts.select("id", "title"), "title", index).select("id", "gram")
+    assert offered.count() >= 50 * 7
+    assert percolate._known_grams(offered, index).count() == 51
+
+
+@pytest.mark.parametrize("heavy", [0, 10])
+def test_heavy_grams_give_the_same_matches(lines, line, registry, monkeypatch, heavy):
+    posts = ingest.read_messages(lines(*[line(id=str(i), title=f"old york bridge {i}")
+                                         for i in range(20)]))
+    queries = registry("york", "bridge 7", "old york", "none")
+    want = sorted((r.id, r.query) for r in percolate.percolate(posts, queries).collect())
+    monkeypatch.setattr(percolate, "HEAVY_POSTS", heavy)
+    got = percolate.percolate(posts, queries, limit=0).collect()
+    assert sorted((r.id, r.query) for r in got) == want and len(want) == 41
+
+
+@pytest.fixture
+def sources(spark, lines, line, message_table, tmp_path):
+    """The same posts as a table, as text lines and as topic values."""
+    path = str(tmp_path / "lines")
+    lines(line(), line(id="b2")).withColumnRenamed("line", "value").write.text(path)
+    ingest.to_values(message_table).write.text(str(tmp_path / "values"))
+    return {"table": lambda: message_table,
+            "lines": lambda: ingest.read_messages(read_lines(spark, path)),
+            "values": lambda: ingest.from_values(spark.read.text(str(tmp_path / "values")))}
+
+
+@pytest.mark.parametrize("source", ["table", "lines", "values"])
+def test_digest_reads_and_shuffles_posts_once(sources, registry, source):
+    made = digest(sources[source](), registry("york", "bridge"))
+    assert made.count() > 0
     made.collect()
     final = plan(made).split("== Initial Plan ==")[0]
     by_id = [line for line in final.splitlines() if "Exchange hashpartitioning(id" in line]
     # The second use, for joining the posts back, reads the same shuffle again.
     assert sorted("ReusedExchange" in line for line in by_id) == [False, True]
+    assert len(re.findall(r"FileScan (?:text|parquet)", final)) == 1
 
 
 def test_votes_prune_columns_and_sum_before_the_shuffle(post_table):
@@ -81,6 +119,32 @@ def test_top_feed_reads_recent_rows_only(post_table):
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(created_utc", text)
 
 
+@pytest.mark.parametrize("made", [feed.since, feed.poll, votes.count_at])
+def test_oldest_cursor_bounds_the_scan(spark, post_table, tmp_path, made):
+    path = str(tmp_path / "cursor")
+    spark.sql("select 'q' as query, timestamp '2024-01-01' as lasttime").write.parquet(path)
+    text = plan(made(post_table, spark.read.parquet(path)))
+    scans = [line for line in text.splitlines() if "PushedFilters" in line]
+    assert any(re.search(r"GreaterThan(OrEqual)?\(created_utc", line) for line in scans)
+
+
+def test_poll_scans_the_posts_once(spark, post_table, tmp_path):
+    path = str(tmp_path / "cursor")
+    spark.sql("select 'q' as query, timestamp '2024-01-01' as lasttime "
+              "union all select 'r', null").write.parquet(path)
+    assert plan(feed.poll(post_table, spark.read.parquet(path))).count("title:string") == 1
+
+
+def test_a_compacted_table_is_read_by_partitions_without_a_shuffle(spark, posts, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_batch(posts(("q", "2024-01-01", "a"), ("r", "2024-01-05", "b")), path, 0)
+    tables.compact(spark, path, POST, POST_KEY)
+    rows = tables.read_table(spark, path, POST, POST_KEY, topics=["q"], after="2024-01-02")
+    text = plan(rows)
+    assert "Exchange" not in text and "Aggregate" not in text
+    assert re.search(r"PartitionFilters: \[.*bucket#\d+.*day#\d+ >=", text)
+
+
 def test_key_filters_reach_the_scan_of_a_keyed_table(spark, posts, tmp_path):
     path = str(tmp_path / "t")
     tables.write_batch(posts(("q", "2024-01-01", "a")), path, 0)

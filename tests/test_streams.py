@@ -27,9 +27,9 @@ def messages(lines, line, *items):
         line(id=i, title=t, created_utc=1704103200 + n) for n, (i, t) in enumerate(items)]))
 
 
-def register(spark, path, batch, *queries):
+def register(spark, path, *queries):
     topics = spark.createDataFrame([(q,) for q in queries], "topic string")
-    reg.register(reg.registrations(topics, "2024-01-01"), path, batch)
+    reg.register(reg.registrations(topics, "2024-01-01"), path)
 
 
 def drain(spark, topic, paths):
@@ -44,27 +44,31 @@ def stored(spark, paths):
 
 
 def test_stream_equals_batch_and_replay_is_harmless(spark, lines, line, paths):
-    register(spark, paths("registry"), 0, "a", "b", "a b")
+    register(spark, paths("registry"), "a", "b", "a b")
     topic = FolderTopic(paths("topic"), files_per_batch=1)
     made = messages(lines, line, *[(f"m{i}", t) for i, t in enumerate(
         ["a b", "b a", "c", "a a", "B!", "x a b y"])])
     topic.publish(ingest.to_values(made).repartition(3))
+    log = metrics.ProgressLog(spark)
     query = drain(spark, topic, paths)
+    reports = log.table(query).collect()
+    log.close()
     known = reg.read_registry(spark, paths("registry"))
     want = sorted(digest(made, known).collect())
     assert sorted(stored(spark, paths).collect()) == want
-    assert sum(r.messages for r in metrics.progress(spark, query).collect()) == 6
-    # The last batch is run again after a crash: same folder, same rows.
-    post_stream.store_matches(paths("registry"), paths("posts"))(made, 2)
+    assert sum(r.messages for r in reports) == 6 and all(r.duration_ms > 0 for r in reports)
+    # The last batch is run again after a crash: in its own place, same rows.
+    post_stream.store_matches(paths("registry"), paths("posts"), paths("checkpoint"))(made, 2)
+    assert len(tables.live_entries(spark, paths("posts"))) == 3
     assert sorted(stored(spark, paths).collect()) == want
 
 
 def test_registry_is_read_in_every_batch(spark, lines, line, paths):
     topic = FolderTopic(paths("topic"))
-    register(spark, paths("registry"), 0, "a")
+    register(spark, paths("registry"), "a")
     topic.publish(ingest.to_values(messages(lines, line, ("m1", "a b"))))
     drain(spark, topic, paths)
-    register(spark, paths("registry"), 1, "b")
+    register(spark, paths("registry"), "b")
     topic.publish(ingest.to_values(messages(lines, line, ("m2", "a b"))))
     drain(spark, topic, paths)
     got = sorted((r.doc_id, r.query) for r in stored(spark, paths).collect())
@@ -73,7 +77,7 @@ def test_registry_is_read_in_every_batch(spark, lines, line, paths):
 
 def test_empty_messages_and_batch_duplicates(spark, lines, line, paths):
     topic = FolderTopic(paths("topic"))
-    register(spark, paths("registry"), 0, "a")
+    register(spark, paths("registry"), "a")
     twice = ingest.to_values(messages(lines, line, ("m1", "a"), ("m1", "a")))
     topic.publish(twice.unionByName(spark.createDataFrame([("{}",)], "value string")).coalesce(1))
     drain(spark, topic, paths)
@@ -90,10 +94,11 @@ def post_stream_of(spark, path):
 
 
 def collect_stream(spark, df, paths, schema):
-    query = post_stream.start(df, lambda b, i: tables.write_batch(b, paths("out"), i),
+    query = post_stream.start(df, post_stream.store(paths("out"), paths("ck")),
                               paths("ck"), interval=None)
     query.awaitTermination()
-    return tables.read_batches(spark, paths("out"), schema).drop("batch_id").collect()
+    return (tables.read_batches(spark, paths("out"), schema)
+            .select(*schema.fieldNames()).collect())
 
 
 def test_closed_hours_drop_late_posts(spark, posts, paths):
@@ -108,6 +113,17 @@ def test_closed_hours_drop_late_posts(spark, posts, paths):
     assert sorted((r.time_utc.hour, r.ups) for r in got) == [(0, 1), (1, 2), (5, 12)]
 
 
+def test_closed_hours_follow_first_hour_and_registry(spark, posts, registry, paths):
+    post_files(posts, paths("in"),
+               [("q", "2006-12-31 23:10:00", "old", 1, 0), ("q", "2024-01-01 01:00:00", "b", 2, 0),
+                ("x", "2024-01-01 01:00:00", "b", 2, 0)],
+               [("q", "2024-01-03 00:00:01", "end", 1, 0)])
+    rows = vote_stream.closed_hours(post_stream_of(spark, paths("in")), "1 hour",
+                                    registry=registry("q"))
+    got = collect_stream(spark, rows, paths, schemas.VOTES)
+    assert [(r.query, r.time_utc.year, r.ups) for r in got] == [("q", 2024, 2)]
+
+
 def test_closed_hours_with_open_bounds(spark, posts, paths):
     post_files(posts, paths("in"),
                [("q", "2024-01-01 01:00:00", "b", 2, 0), ("q", "2024-01-01 01:00:01", "c", 4, 0)],
@@ -116,7 +132,7 @@ def test_closed_hours_with_open_bounds(spark, posts, paths):
     assert [r.ups for r in collect_stream(spark, rows, paths, schemas.VOTES)] == [4]
 
 
-def test_feed_over_batches(spark, posts, registry, paths):
+def test_feed_over_batches(spark, posts, registry, paths, tmp_path):
     post_files(posts, paths("in"),
                [("b", "2024-01-01 00:00:01", "x"), ("z", "2024-01-09 00:00:00", "other topic")],
                [("a", "2024-01-01 00:00:01", "x"), ("a", "2024-01-01 00:00:03", "y")],
@@ -127,6 +143,11 @@ def test_feed_over_batches(spark, posts, registry, paths):
     got = [{(r.query, r.doc_id) for r in feed_stream.read_feed(spark, paths("feed"), i).collect()}
            for i in range(3)]
     assert got == [{("b", "x")}, {("b", "x"), ("a", "y")}, {("a", "y"), ("a", "w")}]
+    post_files(posts, paths("in"), [("a", "2024-01-01 00:00:09", "v")])
+    query = feed_stream.start_feed(post_stream_of(spark, paths("in")), registry("a", "b"),
+                                   paths("feed"), paths("ck"), interval=None, k=2)
+    query.awaitTermination()
+    assert len([f for f in (tmp_path / "feed").iterdir() if f.is_dir()]) == tables.SNAPSHOTS
 
 
 def test_cursor_over_batches(spark, posts, paths):
@@ -135,16 +156,42 @@ def test_cursor_over_batches(spark, posts, paths):
     query = post_stream.start(post_stream_of(spark, paths("in")),
                               feed_stream.keep_cursor(paths("cur")), paths("ck"), interval=None)
     query.awaitTermination()
-    got = spark.read.schema(schemas.CURSOR).parquet(paths("cur") + "/batch_id=1").collect()
+    got = feed_stream.read_cursor(spark, paths("cur"), 1).collect()
     assert {r.query: r.lasttime.day for r in got} == {"q": 5, "r": 1}
 
 
-def test_shown_once_over_batches(spark, posts, paths):
-    post_files(posts, paths("in"), [("a", "2024-01-01", "x")],
-               [("b", "2024-01-01", "x"), ("b", "2024-01-01", "y")])
+def test_shown_once_over_batches_under_the_smallest_query(spark, posts, paths):
+    post_files(posts, paths("in"), [("b", "2024-01-01", "x")],
+               [("a", "2024-01-01", "x"), ("b", "2024-01-01", "y")], [("c", "2024-01-01", "x")])
     once = feed_stream.shown_once(post_stream_of(spark, paths("in")), "1 day")
-    got = collect_stream(spark, once, paths, schemas.POST)
-    assert sorted(r.doc_id for r in got) == ["x", "y"]
+    query = post_stream.start(once, post_stream.store(paths("out"), paths("ck")), paths("ck"),
+                              interval=None, mode="update")
+    query.awaitTermination()
+    got = tables.read_table(spark, paths("out"), schemas.POST, ["doc_id"]).collect()
+    assert sorted((r.doc_id, r.query) for r in got) == [("x", "a"), ("y", "b")]
+
+
+def test_new_checkpoint_keeps_what_is_stored(spark, lines, line, paths):
+    register(spark, paths("registry"), "a")
+    for name in ("one", "two"):
+        topic = FolderTopic(paths(name))
+        topic.publish(ingest.to_values(messages(lines, line, (name, "a"))))
+        post_stream.start_posts(topic.stream(spark), paths("registry"), paths("posts"),
+                                paths(f"ck-{name}"), interval=None).awaitTermination()
+    assert sorted(r.doc_id for r in stored(spark, paths).collect()) == ["one", "two"]
+
+
+def test_cancel_clears_and_stop_keeps(spark, lines, line, paths):
+    register(spark, paths("registry"), "a")
+    topic = FolderTopic(paths("topic"))
+    topic.publish(ingest.to_values(messages(lines, line, ("m", "a"))))
+    post_stream.stop(drain(spark, topic, paths))
+    assert stored(spark, paths).count() == 1
+    post_stream.cancel(drain(spark, topic, paths), paths("posts"), paths("checkpoint"),
+                       paths("not there"))
+    drain(spark, topic, paths)
+    assert [e.batch_id for e in tables.live_entries(spark, paths("posts"))] == [0]
+    assert [r.doc_id for r in stored(spark, paths).collect()] == ["m"]
 
 
 def test_repeats_across_batches_can_be_dropped(spark, posts, paths):
@@ -161,13 +208,13 @@ def test_stop_keeps_results_and_restart_resumes(spark, posts, paths):
     keep = feed_stream.keep_cursor(paths("cur"))
     query = post_stream.start(stream, keep, paths("ck"), interval="100 milliseconds")
     query.processAllAvailable()
-    post_stream.cancel(query)
+    post_stream.stop(query)
     assert not query.isActive
     post_files(posts, paths("in"), [("a", "2024-01-02", "y")])
     again = post_stream.start(stream, keep, paths("ck"), interval=None)
     again.awaitTermination()
     assert again.lastProgress["batchId"] == 1
-    assert spark.read.parquet(paths("cur") + "/batch_id=1").first().lasttime.day == 2
+    assert feed_stream.read_cursor(spark, paths("cur"), 1).first().lasttime.day == 2
 
 
 def test_observed_count(spark, lines, line):

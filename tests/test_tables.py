@@ -1,9 +1,11 @@
 from __future__ import annotations
 
-import os
+import json
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from phrasetide import schemas
 from phrasetide.plans.hourly import total_votes
@@ -12,6 +14,7 @@ from phrasetide.sources import registry as reg
 from phrasetide.sources import replay, tables
 from phrasetide.sources.files import read_lines, spread
 from phrasetide.sources.topic import FolderTopic, KafkaTopic
+from phrasetide.streaming.posts import start, store
 
 
 def read_posts(spark, path):
@@ -36,26 +39,70 @@ def test_same_second_posts_are_both_kept(spark, posts, tmp_path):
     assert read_posts(spark, path).count() == 2
 
 
-def test_compacted_table_reads_the_same(spark, posts, tmp_path):
-    path, target = str(tmp_path / "t"), str(tmp_path / "c")
+def test_compaction_in_place_keeps_what_is_written_meanwhile(spark, posts, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
     for batch in range(3):
         tables.write_batch(posts(*[("q", "2024-01-01", f"d{i}", batch, 0) for i in range(batch, 5)]),
                            path, batch)
-    tables.compact(spark, path, schemas.POST, schemas.POST_KEY, target)
-    assert sorted(read_posts(spark, path).collect()) == sorted(read_posts(spark, target).collect())
+    before = sorted(read_posts(spark, path).collect())
+    read = tables.read_table
+
+    def meanwhile(*args, **kw):
+        rows = read(*args, **kw)
+        monkeypatch.setattr(tables, "read_table", read)
+        tables.write_batch(posts(("q", "2024-01-02", "new")), path, 0, run="other")
+        return rows
+
+    monkeypatch.setattr(tables, "read_table", meanwhile)
+    tables.compact(spark, path, schemas.POST, schemas.POST_KEY)
+    got = sorted(read_posts(spark, path).collect())
+    assert [r for r in got if r.doc_id != "new"] == before and len(got) == len(before) + 1
+    tables.write_batch(posts(("q", "2024-01-01", "d0", 9, 0)), path, 1, run="other")
+    assert {r.doc_id: r.ups for r in read_posts(spark, path).collect()}["d0"] == 9
+    assert len(tables.live_entries(spark, path)) == 3
+
+
+def test_runs_with_the_same_numbers_do_not_replace_each_other(spark, posts, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_batch(posts(("q", "2024-01-01", "a")), path, 0, run="one")
+    tables.write_batch(posts(("q", "2024-01-01", "b")), path, 0, run="two")
+    assert sorted(r.doc_id for r in read_posts(spark, path).collect()) == ["a", "b"]
+
+
+def test_a_reader_goes_on_while_its_batch_is_written_again(spark, posts, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_batch(posts(("q", "2024-01-01", "a")), path, 0)
+    reader = read_posts(spark, path)
+    tables.write_batch(posts(("q", "2024-01-01", "a", 5, 0)), path, 0)
+    assert [r.ups for r in reader.collect()] == [1]
+    assert [r.ups for r in read_posts(spark, path).collect()] == [5]
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_reading_by_topic_and_time(spark, posts, tmp_path, compacted):
+    path = str(tmp_path / "t")
+    tables.write_batch(posts(("q", "2024-01-01", "a"), ("q", "2024-01-03", "b"),
+                             ("r", "2024-01-03", "c")), path, 0)
+    if compacted:
+        tables.compact(spark, path, schemas.POST, schemas.POST_KEY)
+    tables.write_batch(posts(("q", "2024-01-04", "d"), ("q", "2024-01-03", "b", 7, 0)), path, 1)
+    rows = tables.read_table(spark, path, schemas.POST, schemas.POST_KEY, topics=["q"],
+                             after="2024-01-02")
+    assert sorted((r.doc_id, r.ups) for r in rows.collect()) == [("b", 7), ("d", 1)]
 
 
 def test_registering_twice_keeps_the_first_time(spark, tmp_path):
     path = str(tmp_path / "r")
     topics = spark.createDataFrame([("a",), ("a",), ("b",)], "topic string")
-    reg.register(reg.registrations(topics, "2024-01-01"), path, 0)
-    reg.register(reg.registrations(topics.limit(1), "2024-02-01"), path, 1)
+    reg.register(reg.registrations(topics, "2024-01-01"), path)
+    reg.register(reg.registrations(topics.limit(1), "2024-02-01"), path)
     known = reg.read_registry(spark, path)
     assert sorted((r.query, r.registered_at.month) for r in known.collect()) == [("a", 1), ("b", 1)]
     assert reg.registered_by(known, "2023-01-01").count() == 0
-    target = str(tmp_path / "compact")
-    reg.compact(spark, path, target)
-    assert sorted(reg.read_registry(spark, target).collect()) == sorted(known.collect())
+    before = sorted(known.collect())
+    reg.compact(spark, path)
+    assert sorted(reg.read_registry(spark, path).collect()) == before
+    assert len(tables.live_entries(spark, path)) == 1
 
 
 def test_scan_of_registered_queries(posts, registry):
@@ -69,7 +116,7 @@ def test_votes_job(spark, posts, tmp_path):
     tables.write_batch(posts(("q", "2024-01-01 00:10:00", "a", 2, 1),
                              ("x", "2024-01-01 00:10:00", "a", 2, 1)), at, 0)
     reg.register(reg.registrations(spark.createDataFrame([("q",)], "topic string"), "2024-01-01"),
-                 known, 0)
+                 known)
     for _ in range(2):
         total_votes(spark, at, known, out, 0)
     got = tables.read_table(spark, out, schemas.VOTES, schemas.VOTE_KEY).collect()
@@ -89,12 +136,24 @@ def test_first_slice_is_one_short(spark):
     assert got == [(0, 1249), (1, 1250), (2, 501)]
 
 
-def test_slices_become_one_file_each(spark, tmp_path):
-    path = str(tmp_path / "slices")
+def test_slices_are_replayed_in_order(spark, tmp_path):
+    path, topic = str(tmp_path / "slices"), FolderTopic(str(tmp_path / "topic"), files_per_batch=1)
     replay.write_slices(replay.slices(spark.range(30), ["id"], 10), path)
-    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".txt")]
-    assert len(files) == 4
-    assert read_lines(spark, path).count() == 30
+    assert replay.replay(spark, path, topic, pause=0) == 4
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
+    query = start(topic.stream(spark), store(out, checkpoint), checkpoint, interval=None)
+    query.awaitTermination()
+    rows = tables.read_batches(spark, out, StructType.fromDDL("value string")).collect()
+    got = [sorted(json.loads(r.value)["id"] for r in rows if r.batch_id == n) for n in range(4)]
+    assert got == [[*range(9)], [*range(9, 19)], [*range(19, 29)], [29]]
+    assert replay.replay(spark, path, topic, pause=0, first=4) == 4
+
+
+def test_lines_of_subfolders_are_read(spark, tmp_path):
+    for n, folder in enumerate(("", "a", "a/b")):
+        (tmp_path / "in" / folder).mkdir(exist_ok=True)
+        (tmp_path / "in" / folder / "f.txt").write_text(f"line {n}\n")
+    assert read_lines(spark, str(tmp_path / "in")).count() == 3
 
 
 def test_topics(spark, tmp_path):
