@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from phrasetide.llm import merkle
+from tests.llm.conftest import TEXTS
+
+
+@given(st.text(alphabet="ab ,.!\n", max_size=400))
+@settings(max_examples=100, deadline=None)
+def test_phrases_join_to_the_paragraph(text):
+    for line in text.encode().split(b"\n"):
+        assert b"".join(merkle.phrases(line)) == line
+
+
+def test_equal_roots_for_equal_texts_only():
+    roots = {str(merkle.Tree(t or "")).split("/")[0] for t in TEXTS}
+    assert len(roots) == len({t or "" for t in TEXTS})
+    assert str(merkle.Tree("x")) == str(merkle.Tree("x"))
+
+
+def test_differing_branches_locate_an_edit():
+    lines = [f"This is paragraph {i}, with a phrase." for i in range(60)]
+    before = str(merkle.Tree("\n".join(lines)))
+    lines[17] = "Something else."
+    after = str(merkle.Tree("\n".join(lines)))
+    assert merkle.differing(before, after) == [17] and merkle.differing(before, before) == []
+    assert 0.9 < merkle.likeness(before, after) < 1 == merkle.likeness(before, before)
+
+
+def test_likeness_bounds():
+    a, b, none = (str(merkle.Tree(t)) for t in ("one, two.", "three, four.", ""))
+    assert merkle.likeness(a, b) == merkle.likeness(a, none) == 0
+    assert merkle.likeness(none, none) == 1
+
+
+def edited(texts):
+    for i, text in enumerate(texts):
+        half, after = len(text) // 2, texts[(i + 1) % len(texts)]
+        yield text[:len(text) - half] + after[:half]
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_half_edits_equal_brute_force(spark, docs, parts):
+    spark.conf.set("spark.sql.shuffle.partitions", 3)
+    texts = [t or "" for t in TEXTS]
+    made = sorted(merkle.half_edits(docs(*[(7 * i, t) for i, t in enumerate(TEXTS)], parts=parts))
+                  .collect())
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert [r.doc_id for r in made] == [7 * i for i in range(len(texts))]
+    for row, text, new, after in zip(made, texts, edited(texts), texts[1:] + texts[:1]):
+        assert row.n_chars == len(text)
+        assert row.edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
+        assert row.fingerprint == str(merkle.Tree(text))
+        assert row.edited_fingerprint == str(merkle.Tree(new))
+        assert row.near_edited == merkle.likeness(row.fingerprint, row.edited_fingerprint)
+        assert row.near_next == merkle.likeness(row.fingerprint, str(merkle.Tree(after)))
+
+
+def test_one_document_follows_itself(docs):
+    row = merkle.half_edits(docs("abcd")).first()
+    assert row.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and row.near_next == 1
+
+
+def test_repeated_rows_and_missing_ids(docs):
+    made = merkle.half_edits(docs((1, "b"), (1, "a"), (1, "a"), (None, "n"), (2, None))).collect()
+    assert sorted((r.doc_id is not None, r.doc_id, r.n_chars) for r in made) == [
+        (False, None, 1), (True, 1, 1), (True, 1, 1), (True, 1, 1), (True, 2, 0)]
+
+
+def test_empty_table(empty):
+    assert merkle.half_edits(empty).count() == merkle.fingerprints(empty).count() == 0
+
+
+def test_other_columns_do_not_matter(clashing):
+    assert merkle.half_edits(clashing("a", "b")).count() == 2
+    assert merkle.fingerprints(clashing("a", "a")).select("fingerprint").distinct().count() == 1
