@@ -209,9 +209,11 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     candidates = written(rows.join(repeated.select("print"), "print"), "candidates")
     stays = (candidates.groupBy("text_sha256")
              .agg(F.max(F.struct("points", (-F.col("doc_id")).alias("minus_id"))).alias("best")))
-    groups = (_verified(docs, candidates).join(stays, "text_sha256")
-              .select(F.col("text_sha256").alias("digest"), "group_size",
-                      (-F.col("best.minus_id")).alias("best_id")))
+    # Written, so that the join below is of two plain shuffles, whose hot keys
+    # adaptive execution splits.
+    groups = written(_verified(docs, candidates).join(stays, "text_sha256")
+                     .select(F.col("text_sha256").alias("digest"), "group_size",
+                             (-F.col("best.minus_id")).alias("best_id")), "groups")
     keep_id = F.coalesce("best_id", "doc_id")
     return (rows.join(groups, F.col("text_sha256") == F.col("digest"), "left")
             .select("doc_id", keep_id.alias("keep_id"),
