@@ -9,21 +9,62 @@ import json
 import os
 import sys
 import time
+from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks import views  # noqa: E402
 from checks.queries import QUERIES  # noqa: E402
-from phrasetide.session import build_session  # noqa: E402
+from phrasetide import schemas  # noqa: E402
+from phrasetide.operators import ingest  # noqa: E402
+from phrasetide.session import build_session, new_work_dir  # noqa: E402
+from phrasetide.sources import registry  # noqa: E402
+from phrasetide.sources.topic import FolderTopic  # noqa: E402
+from phrasetide.streaming.feed import start_feed  # noqa: E402
+from phrasetide.streaming.metrics import ProgressLog  # noqa: E402
+from phrasetide.streaming.posts import start_posts  # noqa: E402
 
 HEADLINE = (
     "ingest_messages", "dedup_messages", "percolate_matches", "percolate_documents",
     "percolate_counts", "percolate_shuffled", "posts_table", "posts_table_documents",
     "hourly_votes", "series_percent", "trailing_5min", "feed_newest2", "feed_since",
-    "feed_poll", "feed_top10", "posts_upsert", "replay_slices", "stream_posts", "stream_hourly",
+    "feed_poll", "feed_top10", "posts_upsert", "keyed_since", "replay_slices", "stream_posts",
+    "stream_hourly",
 )
 
 
+# Messages in each micro-batch whose delay is taken, and how many of them.
+BATCH_MESSAGES, BATCHES = 2000, 6
+
+
+def delays(spark, sf_dir: str) -> dict[str, float]:
+    """Seconds that a micro-batch takes, in the middle of a run (median)."""
+    paths = {n: new_work_dir(spark, n) for n in (
+        "values", "registry", "posts", "posts-ck", "files", "feed", "feed-ck")}
+    messages = views.event_messages(spark, sf_dir).limit(BATCH_MESSAGES * BATCHES)
+    topic = FolderTopic(paths["values"], files_per_batch=1)
+    topic.publish(ingest.to_values(messages).repartition(BATCHES))
+    topics = views.part_registry(spark, sf_dir).withColumnRenamed("query", "topic")
+    registry.register(registry.registrations(topics, "2024-01-01 00:00:00"), paths["registry"])
+    log = ProgressLog(spark)
+    posts = start_posts(topic.stream(spark), paths["registry"], paths["posts"],
+                        paths["posts-ck"], interval=None)
+    posts.awaitTermination()
+    views.posts(spark, sf_dir).limit(BATCH_MESSAGES * BATCHES).repartition(BATCHES).write.parquet(
+        paths["files"])
+    rows = (spark.readStream.schema(schemas.POST).option("maxFilesPerTrigger", 1)
+            .parquet(paths["files"]))
+    feed = start_feed(rows, views.word_topics(spark, sf_dir), paths["feed"], paths["feed-ck"],
+                      interval=None)
+    feed.awaitTermination()
+    found = {}
+    for name, query in (("posts", posts), ("feed", feed)):
+        times = [r.duration_ms for r in log.table(query).orderBy("batch_id").collect()]
+        found[f"{name}_batch_sec"] = median(times[1:] or times) / 1000
+    log.close()
+    return found
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -48,6 +89,8 @@ def main() -> None:
     }
     if seconds.get("stream_posts"):
         out["stream_records_per_sec"] = round(events / seconds["stream_posts"])
+    if len(sys.argv) == 1:
+        out |= delays(spark, sf_dir)
     print(json.dumps(out))
 
 

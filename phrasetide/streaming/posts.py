@@ -52,15 +52,25 @@ def store_matches(registry_path: str, posts_path: str,
                   checkpoint: str) -> Callable[[DataFrame, int], None]:
     """Batch function: match one batch of messages and store the posts.
 
-    The registry is read in every batch, so a query registered now takes part
-    from the next batch on. Duplicates are merged within the batch; across
-    batches the stored key takes care of them.
+    The registry's manifest is read in every batch, so a query registered now
+    takes part from the next batch on; the registry itself is read again only
+    when it has changed. Duplicates are merged within the batch; across batches
+    the stored key takes care of them.
     """
     keep = store(posts_path, checkpoint)
+    held: dict[tuple[str, ...], DataFrame] = {}
+
+    def known(spark: SparkSession) -> DataFrame:
+        version = tuple(e.copy for e in tables.live_entries(spark, registry_path))
+        if version not in held:
+            for old in held.values():
+                old.unpersist()
+            held.clear()
+            held[version] = registry.read_registry(spark, registry_path).persist()
+        return held[version]
 
     def process(messages: DataFrame, batch_id: int) -> None:
-        known = registry.read_registry(messages.sparkSession, registry_path)
-        keep(digest(messages, known), batch_id)
+        keep(digest(messages, known(messages.sparkSession)), batch_id)
 
     return process
 
