@@ -23,7 +23,7 @@ from phrasetide.llm.common import texts_of
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Fragments remembered per Python worker; twice as many at most.
-MEMORY = 300_000
+MEMORY = 200_000
 
 # White space beyond ASCII, and separators that libraries see differently: a
 # text with one of these is encoded whole.

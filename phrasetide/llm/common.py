@@ -17,6 +17,10 @@ from phrasetide.session import new_work_dir
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 
+# Rows go to Python in batches of about this size, whatever their number: both a
+# worker and the executor's Arrow buffers hold a few batches at a time.
+BATCH_BYTES = "8m"
+
 # A side of a join is broadcast only when its measured payload is below this.
 SMALL_BYTES = 8 * 1024 * 1024
 
@@ -25,9 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session is told to send rows to Python by ``BATCH_BYTES``."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def texts_of(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` of ``docs``, a null text as the empty one."""
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

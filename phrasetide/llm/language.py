@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from phrasetide.llm.common import small_batches
+
 # Hash classes of trigrams; the model has this many numbers per language.
 GRAMS = 1 << 15
 # Documents per language that the model is fitted on, at most (about).
@@ -86,7 +88,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     many whole ones, chosen by a hash of their ids; rarer ones from all. What
     comes to the driver is bounded by languages times trigram classes.
     """
-    known = docs.select("doc_id", "lang", "text").filter(is_training() & F.col("lang").isNotNull())
+    known = small_batches(docs).select("doc_id", "lang", "text").filter(is_training() & F.col("lang").isNotNull())
     sizes = {r["lang"]: r["n"] for r in
              known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if len(sizes) > MAX_LANGUAGES:
@@ -178,7 +180,7 @@ def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
     score 0, and so is every text under a model without languages. ``score`` is
     the proportion of the predicted language, ``mixture`` lists all that stay.
     """
-    rows = docs.select(F.struct(*[docs[c] for c in carry]).alias("row"),
+    rows = small_batches(docs).select(F.struct(*[docs[c] for c in carry]).alias("row"),
                        F.coalesce(docs["text"], F.lit("")).alias("text"),
                        F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, " \

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phrasetide.llm.common import written
+from phrasetide.llm.common import small_batches, written
 
 CHUNK = 64 * 1024
 # Payloads below this many bytes are stored every time.
@@ -66,7 +66,7 @@ def chunked(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     stored = F.when(F.col("refers_to").isNull(), F.col("payload")).otherwise(F.lit(b""))
     count = F.greatest(F.lit(1), F.ceil(F.octet_length(stored) / chunk)).cast("int")
     numbers = F.sequence(F.lit(0), count - 1)
-    return (pages.withColumn("chunks", count)
+    return (small_batches(pages).withColumn("chunks", count)
             .withColumn("stored", stored)
             .withColumn("chunk_no", F.explode(numbers))
             .select(F.col("page_id").alias("record_id"), "chunk_no",
