@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from functools import cache
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -34,16 +33,23 @@ def start(stream, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,
     return writer.trigger(processingTime=interval).start()
 
 
-@cache
 def run_of(spark: SparkSession, checkpoint: str) -> str:
     """The id of the run that ``checkpoint`` belongs to, the same after a restart."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def store(path: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
-    """Batch function: store each batch in a table, as one of this checkpoint's run."""
+    """Batch function: store each batch in a table, as one of this checkpoint's run.
+
+    To be made anew for each start: a checkpoint that was deleted meanwhile is
+    another run, though its path is the same.
+    """
+    runs: list[str] = []
+
     def process(rows: DataFrame, batch_id: int) -> None:
-        tables.write_batch(rows, path, batch_id, run_of(rows.sparkSession, checkpoint))
+        if not runs:
+            runs.append(run_of(rows.sparkSession, checkpoint))
+        tables.write_batch(rows, path, batch_id, runs[0])
 
     return process
 

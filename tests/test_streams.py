@@ -181,6 +181,16 @@ def test_new_checkpoint_keeps_what_is_stored(spark, lines, line, paths):
     assert sorted(r.doc_id for r in stored(spark, paths).collect()) == ["one", "two"]
 
 
+def test_a_cleared_checkpoint_is_another_run(spark, lines, line, paths):
+    register(spark, paths("registry"), "a")
+    topic = FolderTopic(paths("topic"))
+    topic.publish(ingest.to_values(messages(lines, line, ("m", "a"))))
+    post_stream.cancel(drain(spark, topic, paths), paths("checkpoint"), paths("topic"))
+    topic.publish(ingest.to_values(messages(lines, line, ("n", "a"))))
+    drain(spark, topic, paths)
+    assert sorted(r.doc_id for r in stored(spark, paths).collect()) == ["m", "n"]
+
+
 def test_cancel_clears_and_stop_keeps(spark, lines, line, paths):
     register(spark, paths("registry"), "a")
     topic = FolderTopic(paths("topic"))
