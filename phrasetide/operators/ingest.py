@@ -64,14 +64,18 @@ def _accepted(judged: DataFrame, column: str, on_bad: str) -> DataFrame:
     if on_bad == "quarantine":
         good = judged.filter(F.col("reason").isNull())
     elif on_bad == "fail":
-        stop = F.raise_error(F.concat("reason", F.lit(": "), F.coalesce(column, F.lit("null"))))
-        good = judged.filter(F.when(F.col("reason").isNull(), F.lit(True))
-                             .otherwise(stop.cast("boolean")))
+        good = judged
     else:
         raise ValueError(f"on_bad must be 'fail' or 'quarantine', not {on_bad!r}")
     whole = {f.name: _whole(F.col(f.name)) for f in schemas.MESSAGE
              if isinstance(f.dataType, T.LongType)}
-    return (good.select("m.*").withColumns({**whole, "over_18": _over_18("over_18")})
+    if on_bad == "fail":
+        # On a column, not in a filter: there the object would be parsed once more.
+        stop = F.raise_error(F.concat("reason", F.lit(": "), F.coalesce("_raw", F.lit("null"))))
+        whole["ups"] = F.when(F.col("reason").isNull(), whole["ups"]).otherwise(
+            stop.cast("bigint"))
+    return (good.select("reason", F.col(column).alias("_raw"), "m.*")
+            .withColumns({**whole, "over_18": _over_18("over_18")})
             .select(*schemas.MESSAGE.fieldNames()))
 
 
