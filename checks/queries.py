@@ -79,7 +79,9 @@ def rejected_lines(spark, sf):
 @register
 def rejected_values(spark, sf):
     """Spoilt topic values: how many are messages, and why the others are not."""
-    values = _spoilt(ingest.to_values(views.event_messages(spark, sf)), "value")
+    path = new_work_dir(spark, "values")
+    _spoilt(ingest.to_values(views.event_messages(spark, sf)), "value").write.text(path)
+    values = spark.read.text(path)
     good = ingest.from_values(values, "quarantine").select(F.lit("accepted").alias("reason"))
     return (good.unionByName(ingest.rejected_values(values).select("reason"))
             .groupBy("reason").agg(F.count("*").alias("n")))
