@@ -62,9 +62,12 @@ def word_hashes(text: str) -> np.ndarray:
     starts = np.flatnonzero(first)
     sizes = np.diff(np.append(starts, len(places)))
     at = np.arange(len(places)) - np.repeat(starts, sizes)
-    # Words beyond 4,096 bytes take the places in turn, shifted by the turn.
+    # Words beyond 4,096 bytes take the places in turn, shifted by the turn; only
+    # bytes beyond are mixed, so a word's hash depends on that word alone.
     values = _BYTE[raw[places]] * _PLACE[at & 4095] + (at >> 12).astype(np.uint64)
-    values = mixed(values) if at.max() >> 12 else values
+    if sizes.max() > 4096:
+        beyond = at > 4095
+        values[beyond] = mixed(values[beyond])
     return mixed(np.add.reduceat(values, starts) + sizes.astype(np.uint64))
 
 

@@ -149,6 +149,24 @@ def test_long_words_differ_by_every_byte():
     assert len(found) == 21
 
 
+@pytest.mark.parametrize("long_word", ["x" * 4096, "x" * 4097, "ab" * 10_000, "語" * 1366])
+def test_shared_shingles_beside_a_long_word(long_word):
+    words = [f"w{i % 211}v{i}" for i in range(300)]
+    texts = [" ".join(words), " ".join([*words[:100], long_word, *words[100:]]),
+             " ".join([long_word, *words[50:]]), f"{long_word}y " + " ".join(words[:250])]
+    for a in texts:
+        for b in texts:
+            want = len(shingle_set(a, 4) & shingle_set(b, 4))
+            assert len(np.intersect1d(minhash.shingles(a), minhash.shingles(b))) == want > 0
+
+
+def test_a_copy_with_a_long_word_is_linked(docs):
+    text = " ".join(f"w{i}" for i in range(300))
+    rows = [(1, text), (2, f"{text} {'QUJD' * 1500}"), (3, "other words that are not alike")]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs(*rows)).collect()}
+    assert got == near_brute(rows)[1] == {1: 1, 2: 1, 3: 3}
+
+
 def test_estimates_are_close():
     rng = np.random.default_rng(3)
     for share in (0.5, 0.8, 0.95):
