@@ -30,7 +30,7 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _PREFIX = "urn:page:"
 
-RECORDS = ("record_id long, chunk_no int, chunk binary, chunks int, url string, "
+RECORDS = ("record_id long, copy long, chunk_no int, chunk binary, chunks int, url string, "
            "payload_bytes long, payload_sha1 string, refers_to long")
 
 
@@ -39,7 +39,9 @@ def with_references(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
 
     Of pages with equal payloads of at least ``least`` bytes all but the one with
     the largest ``page_id`` refer to that one. Digests are grouped with map-side
-    aggregation, and only pages that repeat are joined; a null page is empty.
+    aggregation, and only pages that repeat are joined; a null page is empty. Rows
+    that share a ``page_id`` refer each by its own payload. A row without an id is
+    never a reference nor referred to.
     """
     body = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select("page_id", "url", body.alias("payload")).select(
@@ -53,23 +55,27 @@ def with_references(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
     revisits = written(narrow.join(shared, F.col("payload_sha1") == F.col("shared_sha1"))
                        .filter("page_id < last_id")
                        .select(F.col("page_id").alias("revisit_id"),
-                               F.col("last_id").alias("refers_to")), "revisits")
-    return rows.join(revisits, F.col("page_id") == F.col("revisit_id"), "left").drop("revisit_id")
+                               F.col("payload_sha1").alias("revisit_sha1"),
+                               F.col("last_id").alias("refers_to")).distinct(), "revisits")
+    return (rows.join(revisits, (F.col("page_id") == F.col("revisit_id"))
+                      & (F.col("payload_sha1") == F.col("revisit_sha1")), "left")
+            .drop("revisit_id", "revisit_sha1"))
 
 
 def chunked(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """The record table of ``with_references`` rows: one row per chunk of a payload.
 
     An empty payload is one empty chunk; so is that of a revisit, which isn't
-    stored again.
+    stored again. ``copy`` tells rows apart that are equal in all columns.
     """
     stored = F.when(F.col("refers_to").isNull(), F.col("payload")).otherwise(F.lit(b""))
     count = F.greatest(F.lit(1), F.ceil(F.octet_length(stored) / chunk)).cast("int")
     numbers = F.sequence(F.lit(0), count - 1)
     return (small_batches(pages).withColumn("chunks", count)
             .withColumn("stored", stored)
+            .withColumn("copy", F.monotonically_increasing_id())
             .withColumn("chunk_no", F.explode(numbers))
-            .select(F.col("page_id").alias("record_id"), "chunk_no",
+            .select(F.col("page_id").alias("record_id"), "copy", "chunk_no",
                     F.substring("stored", F.col("chunk_no") * chunk + 1, F.lit(chunk))
                     .alias("chunk"),
                     "chunks", "url", "payload_bytes", "payload_sha1", "refers_to"))
@@ -79,6 +85,10 @@ def _digest(sha1_hex: str) -> str:
     return "sha1:" + base64.b32encode(bytes.fromhex(sha1_hex)).decode()
 
 
+def _urn(page_id: int | None) -> str:
+    return f"<{_PREFIX}{'' if page_id is None else page_id}>"
+
+
 def _head(row: dict) -> bytes:
     """Record header and, in its block, the header of the response."""
     http = ("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -86,13 +96,13 @@ def _head(row: dict) -> bytes:
     revisit = row["refers_to"] is not None
     url = "".join(c if 32 < ord(c) else "%%%02X" % ord(c) for c in row["url"] or "")
     fields = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
-              f"WARC-Record-ID: <{_PREFIX}{row['record_id']}>", f"WARC-Date: {DATE}",
+              f"WARC-Record-ID: {_urn(row['record_id'])}", f"WARC-Date: {DATE}",
               f"WARC-Target-URI: {url}",
               "Content-Type: application/http; msgtype=response",
               f"WARC-Payload-Digest: {_digest(row['payload_sha1'])}"]
     if revisit:
         fields += [f"WARC-Profile: {PROFILE}",
-                   f"WARC-Refers-To: <{_PREFIX}{row['refers_to']}>"]
+                   f"WARC-Refers-To: {_urn(row['refers_to'])}"]
     length = len(http) + (0 if revisit else row["payload_bytes"])
     fields.append(f"Content-Length: {length}")
     return "\r\n".join(fields).encode() + b"\r\n\r\n" + http
@@ -133,13 +143,15 @@ def _writer(folder: str, level: int):
 def write_archives(records: DataFrame, folder: str, level: int = 1) -> None:
     """Write the record table as archives under ``folder``, and the list of them.
 
-    Records are dealt by their id, so copies of a payload don't meet; each task
-    streams its chunks in order into one archive. A task that is run again
-    writes the same archive under the same name. ``folder`` must be reachable
-    from all executors. Rows that repeat an id are records of one id each.
+    Records are dealt by their id and payload, so copies of a payload under other
+    ids don't meet; each task streams its chunks in order into one archive. A task
+    that is run again writes the same archive under the same name. ``folder`` must
+    be reachable from all executors. Rows that repeat an id are records of one id
+    each; those without one have the record id ``<urn:page:>`` and are read back
+    with a null id.
     """
-    (records.repartition("record_id")
-     .sortWithinPartitions("record_id", "url", "payload_sha1", "chunk_no")
+    (records.repartition("record_id", "payload_sha1")
+     .sortWithinPartitions("record_id", "url", "payload_sha1", "copy", "chunk_no")
      .mapInArrow(_writer(folder, level), MANIFEST)
      .write.parquet(f"{folder}/manifest"))
 
@@ -204,7 +216,8 @@ _TYPES = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.bool_
 
 
 def _page(reference: str | None) -> int | None:
-    return int(reference.strip("<>").removeprefix(_PREFIX)) if reference else None
+    page_id = (reference or "").strip("<>").removeprefix(_PREFIX)
+    return int(page_id) if page_id else None
 
 
 def _records(source: _Source) -> Iterator[tuple]:
@@ -275,14 +288,16 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     last = (read_chunks(spark, folder).filter("last")
             .select("record_id", "record_type", "refers_to", "upto_bytes", "payload_sha1"))
     records = written(last, "records")
-    referred = written(records.select("refers_to").filter("refers_to is not null").distinct(),
+    referred = written(records.filter("refers_to is not null")
+                       .select(F.col("refers_to").alias("referred_id"),
+                               F.col("payload_sha1").alias("referred_sha1")).distinct(),
                        "referred")
+    referred_to = F.col("payload_sha1") == F.col("referred_sha1")
     sizes = written(records.filter("record_type = 'response'")
-                    .join(referred.withColumnRenamed("refers_to", "referred_id"),
-                          F.col("record_id") == F.col("referred_id"))
-                    .groupBy("referred_id").agg(F.first("upto_bytes").alias("full_bytes")),
-                    "referred-sizes")
-    return (records.join(sizes, F.col("refers_to") == F.col("referred_id"), "left")
+                    .join(referred, (F.col("record_id") == F.col("referred_id")) & referred_to)
+                    .groupBy("referred_id", "referred_sha1")
+                    .agg(F.first("upto_bytes").alias("full_bytes")), "referred-sizes")
+    return (records.join(sizes, (F.col("refers_to") == F.col("referred_id")) & referred_to, "left")
             .select("record_id", "record_type",
                     F.coalesce("full_bytes", "upto_bytes").alias("payload_bytes"),
                     F.col("payload_sha1").alias("payload_digest"), "refers_to"))

@@ -83,3 +83,23 @@ def test_odd_tables(spark, pages):
     assert warc.read_records(spark, folder).count() == 0
     extra = pages({1: "a", 2: "a"}).withColumn("chunk", F.lit(1)).withColumn("payload", F.lit(2))
     assert warc.read_records(spark, stored(spark, extra)).count() == 2
+
+
+def test_repeated_and_missing_ids(spark):
+    x, y, z = "x" * 1500, "y" * 1200, "z" * 1000
+    rows = [(1, x), (1, y), (2, x), (2, z), (3, y), (3, y), (3, y), (4, y), (5, BIG), (5, BIG),
+            (None, "n"), (None, x), (None, BIG), (None, None)]
+    frame = spark.createDataFrame([(i, "u", h) for i, h in rows],
+                                  "page_id long, url string, html string").repartition(3)
+    folder = stored(spark, frame)
+    want = []
+    for page, html in rows:
+        raw = (html or "").encode()
+        same = [p for p, h in rows if h == html and p is not None]
+        to = max(same) if page is not None and len(raw) >= 1000 and max(same) != page else None
+        want.append((page, "revisit" if to else "response", len(raw),
+                     hashlib.sha1(raw).hexdigest(), to))
+    got = [tuple(r) for r in warc.read_records(spark, folder).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    text = b"".join(gzip.decompress(f.read_bytes()) for f in Path(folder).glob("*.warc.gz"))
+    assert all(h.encode() in text for h in (x, y, z, BIG))
