@@ -14,7 +14,9 @@ forest of its confirmed links.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +28,11 @@ from phrasetide.llm.components import components
 
 SHINGLE = 4
 PERCENT = 80  # links: 100 * intersection >= PERCENT * union
-# 128 minima; 24 bands of 4 miss a pair of similarity 0.8 once in 300,000 times.
-HASHES, BANDS, ROWS = 128, 24, 4
+HASHES = 128
 BITS = 2
-# Equal bit fields a candidate needs: a pair of similarity 0.8 has 108.8 on
-# average with a deviation of 4.04, so 92 lets one in 50,000 go.
-LEAST_EQUAL = 92
+# How often, at most, the bands and the cut of estimates each miss a pair whose
+# similarity is just PERCENT.
+BANDS_MISS, CUT_MISS = 1 / 300_000, 1 / 100_000
 # Members of a bucket, and shingles of a family, that one task takes together.
 BUCKET_ROWS = 20_000
 FAMILY_SHINGLES = 2_000_000
@@ -50,6 +51,30 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+@cache
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows of each: as many rows as ``BANDS_MISS`` lets the minima have."""
+    for rows in range(HASHES, 0, -1):
+        met = (percent / 100) ** rows
+        bands = 1 if met >= 1 else math.log(BANDS_MISS) / math.log1p(-met) if met else math.inf
+        if bands * rows <= HASHES and math.ceil(bands) * rows <= HASHES:
+            return math.ceil(bands), rows
+    raise ValueError(f"{HASHES} minima don't find pairs of {percent} percent")
+
+
+@cache
+def least_equal(percent: int) -> int:
+    """Equal bit fields a candidate needs: fewer come once in ``1 / CUT_MISS`` at most."""
+    chance = 1 / (1 << BITS)
+    equal = percent / 100 * (1 - chance) + chance
+    below = 0.0
+    for n in range(HASHES):
+        below += math.comb(HASHES, n) * equal ** n * (1 - equal) ** (HASHES - n)
+        if below > CUT_MISS:
+            return n
+    return HASHES
+
+
 def word_hashes(text: str) -> np.ndarray:
     """A 64-bit hash per word of the text, A-Z as a-z."""
     raw = np.frombuffer(text.encode().lower(), np.uint8)
@@ -94,9 +119,10 @@ def minima(prints: np.ndarray) -> np.ndarray:
     return least
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for row in least[:BANDS * ROWS].reshape(BANDS, ROWS).T.astype(np.uint64):
+def band_keys(least: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    bands, size = banding(percent)
+    keys = np.arange(1, bands + 1, dtype=np.uint64)
+    for row in least[:bands * size].reshape(bands, size).T.astype(np.uint64):
         keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + row)
     return keys.view(np.int64)
 
@@ -124,7 +150,7 @@ def estimated(equal: np.ndarray | int) -> np.ndarray | float:
 SIGNATURE = ("doc_id long, n_shingles long, digest binary, bands array<long>, bits binary")
 
 
-def _signatures(size: int):
+def _signatures(size: int, percent: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, digests, bands, bits = [], [], [], []
@@ -133,11 +159,11 @@ def _signatures(size: int):
                 least = minima(prints)
                 sizes.append(len(prints))
                 digests.append(hashlib.sha256(prints.tobytes()).digest()[:16])
-                bands.append(band_keys(least))
+                bands.append(band_keys(least, percent))
                 bits.append(packed_bits(least))
             flat = np.concatenate(bands) if bands else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(
-                np.arange(len(sizes) + 1, dtype=np.int32) * BANDS, pa.array(flat))
+                np.arange(len(sizes) + 1, dtype=np.int32) * banding(percent)[0], pa.array(flat))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()),
                  pa.array(digests, pa.binary()), lists, pa.array(bits, pa.binary())],
@@ -145,9 +171,9 @@ def _signatures(size: int):
     return sign
 
 
-def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+def signatures(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per document: size and digest of its set, band keys and packed low bits."""
-    return texts_of(docs).mapInArrow(_signatures(size), SIGNATURE)
+    return texts_of(docs).mapInArrow(_signatures(size, percent), SIGNATURE)
 
 
 def _sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -187,7 +213,8 @@ def _fixed(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 def _alike(bits: np.ndarray, sizes: np.ndarray, x, others, percent: int) -> np.ndarray:
     small, large = np.minimum(sizes[x], sizes[others]), np.maximum(sizes[x], sizes[others])
-    return (equal_fields(bits[x], bits[others]) >= LEAST_EQUAL) & (100 * small >= percent * large)
+    equal = equal_fields(bits[x], bits[others])
+    return (equal >= least_equal(percent)) & (100 * small >= percent * large)
 
 
 def _forest(bits: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
@@ -369,7 +396,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     its smallest ``doc_id``, which stays. Equal sets are always linked. Rows
     sharing one id are taken as linked. An empty table gives an empty result.
     """
-    signed = written(signatures(docs, size), "signatures")
+    signed = written(signatures(docs, size, percent), "signatures")
     classes = written(signed.filter("n_shingles > 0").groupBy("digest")
                       .agg(F.min("doc_id").alias("first_id")), "classes")
     kept = classes.select(F.col("first_id"), F.col("digest").alias("first_digest"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import defaultdict
@@ -167,6 +168,22 @@ def test_a_copy_with_a_long_word_is_linked(docs):
     assert got == near_brute(rows)[1] == {1: 1, 2: 1, 3: 3}
 
 
+def test_cut_and_bands_follow_the_percent(docs):
+    lost = [math.comb(128, n) * 0.85 ** n * 0.15 ** (128 - n)
+            for n in range(minhash.least_equal(80))]
+    assert minhash.banding(80) == (24, 4) and 5e-6 < sum(lost) <= 1e-5
+    for percent in (20, 50, 80, 95, 100):
+        bands, rows = minhash.banding(percent)
+        assert bands * rows <= minhash.HASHES
+        assert (1 - (percent / 100) ** rows) ** bands <= minhash.BANDS_MISS
+    words = [[f"p{p}w{i}" for i in range(200)] for p in range(12)]
+    rows = [(2 * p, " ".join(w)) for p, w in enumerate(words)]
+    rows += [(2 * p + 1, " ".join([*w[:140], *(f"n{p}v{i}" for i in range(60))]))
+             for p, w in enumerate(words)]
+    got = minhash.near_duplicates(docs(*rows), percent=50).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i // 2 * 2 for i, _ in rows}
+
+
 def test_estimates_are_close():
     rng = np.random.default_rng(3)
     for share in (0.5, 0.8, 0.95):
