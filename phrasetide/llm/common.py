@@ -67,45 +67,79 @@ def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFra
     return docs.join(ids, docs[key] == ids["dropped_key"], "left_anti")
 
 
+def up_to(key: Column, borders: list[int]) -> Column:
+    """How many of the sorted ``borders`` are at most ``key``; 0 for a null key.
+
+    A binary search over a literal array that is folded once: whole numbers are
+    compared as such, so no key of 64 bits is rounded or overflows.
+    """
+    if not borders:
+        return F.lit(0)
+    table = F.split(F.lit(",".join(map(str, borders))), ",").cast("array<bigint>")
+    steps = [1 << n for n in reversed(range(len(borders).bit_length()))]
+    return F.aggregate(
+        F.array(*map(F.lit, steps)), F.lit(0),
+        lambda at, step: F.when(F.get(table, at + step - 1) <= key, at + step).otherwise(at))
+
+
 class Buckets:
     """Consecutive ranges of an integer key, each to be handled by one task.
 
-    The span of the key is cut into equal cells, cells are counted, and runs of
-    cells make buckets of about equal row counts. Only cell counts come to the
-    driver: at most ``cells`` rows, whatever the table's size. Rows without a
-    key lie in the first bucket.
+    The span of the keys is cut into cells and the rows of each are counted;
+    cells that hold over half a bucket are cut again between their least and
+    largest key, until they hold less or one key. Runs of cells make buckets of
+    about equal row counts, so neither a far key nor a dense source fills one.
+    Only cells come to the driver: ``CELLS`` or eight per bucket at a time,
+    whatever the table's size. With ``weight`` its sums are counted, not rows.
+
+    ``count`` says how many buckets there are, each with rows, and ``first``
+    gives the least key of each. Rows without a key lie in the first one, before
+    all others: its ``first`` is then None.
     """
 
-    def __init__(self, df: DataFrame, key: str, count: int, cells_per_bucket: int = 64):
-        self.key, self.count = key, max(1, count)
-        cells = min(65536, self.count * cells_per_bucket)
-        low, high = df.agg(F.min(key), F.max(key)).first()
-        self.low = low or 0
-        self.width = max(1, -(-((high or 0) - self.low + 1) // cells))
-        found = (df.groupBy(self._cell().alias("cell"))
-                 .agg(F.count("*").alias("n"), F.min(key).alias("first"))
-                 .orderBy("cell").collect())
-        total = sum(r["n"] for r in found)
-        self.of_cell = [0] * (((high or 0) - self.low) // self.width + 1)
-        self.first: dict[int, int | None] = {}  # bucket -> its least key
-        done = bucket = 0
-        filled = iter(found)
-        row = next(filled, None)
-        for cell in range(len(self.of_cell)):
-            self.of_cell[cell] = bucket = min(self.count - 1, done * self.count // max(total, 1))
-            if row is not None and row["cell"] == cell:
-                self.first.setdefault(bucket, row["first"])
-                done += row["n"]
-                row = next(filled, None)
-
-    def _cell(self) -> Column:
-        return F.coalesce(F.floor((F.col(self.key) - self.low) / self.width), F.lit(0)).cast("int")
+    CELLS = 16384
+
+    def __init__(self, df: DataFrame, key: str, count: int, weight: Column | None = None):
+        rows = df.select(F.col(key).cast("bigint").alias("key"),
+                         (F.lit(1) if weight is None else weight).cast("bigint").alias("weight"))
+        low, high, keys, every = rows.agg(F.min("key"), F.max("key"), F.count("key"),
+                                          F.count("*")).first()
+        cells = self._cells(rows, low, high, count) if keys else []
+        total, done, bucket = sum(n for _, _, n in cells), 0, -1
+        self.borders: list[int] = []
+        for first, _, n in cells:
+            if (at := done * count // max(total, 1)) > bucket:
+                bucket = at
+                self.borders.append(first)
+            done += n
+        self.key, self.count = key, max(1, len(self.borders))
+        self.first: dict[int, int | None] = dict(enumerate(self.borders))
+        if every > keys:
+            self.first[0] = None
+
+    def _cells(self, rows: DataFrame, low: int, high: int, count: int) -> list[tuple]:
+        """Least key, largest key and weight of every cell that has rows."""
+        most, done, heavy = None, [], [(low, high)]
+        while heavy:
+            each = max(2, max(self.CELLS, 4 * count) // len(heavy))
+            starts, ends = [], []
+            for low, high in heavy:
+                width = -(-(high - low + 1) // each)
+                starts += range(low, high + 1, width)
+                ends += [*range(low + width - 1, high, width), high]
+            at = up_to(F.col("key"), starts) - 1
+            last = F.split(F.lit(",".join(map(str, ends))), ",").cast("array<bigint>")
+            found = (rows.withColumn("cell", at).filter(F.col("key") <= F.get(last, "cell"))
+                     .groupBy("cell").agg(F.min("key"), F.max("key"), F.sum("weight")).collect())
+            if most is None:
+                most = sum(n for *_, n in found) // (2 * count)
+            heavy = sorted((low, high) for _, low, high, n in found if n > most and low < high)
+            done += [(low, high, n) for _, low, high, n in found if n <= most or low == high]
+        return sorted(done)
 
     def column(self) -> Column:
         """The bucket of a row."""
-        # A literal array, folded once: one look-up per row.
-        of_cell = F.split(F.lit(",".join(map(str, self.of_cell))), ",").cast("array<int>")
-        return F.get(of_cell, self._cell())
+        return up_to(F.col(self.key), self.borders[1:])
 
 
 @cache

@@ -201,6 +201,8 @@ def half_edits(docs: DataFrame) -> DataFrame:
     copy = F.struct(F.get(F.split(F.lit(",".join(map(str, to))), ",").cast("array<int>"),
                           F.col("bucket")).alias("bucket"), F.lit(True).alias("border"))
     first = F.col("doc_id").isin(firsts) if firsts else F.lit(False)
+    if ranges.first.get(0, 0) is None:
+        first = F.col("doc_id").isNull() | first
     return (rows.withColumn("bucket", ranges.column())
             .select("doc_id", "text", F.explode(F.when(first, F.array(own, copy))
                                                 .otherwise(F.array(own))).alias("place"))
