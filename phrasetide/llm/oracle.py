@@ -55,4 +55,66 @@ grouped as (
   from hashed)
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(body) as text_sha256
 from grouped""",
+    "op12_threshold_resampling": r"""
+with crc_table as (
+  select list(crc order by byte) as t from (
+    select byte, list_reduce(list_prepend(byte, range(8)), lambda c, n:
+             case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as crc
+    from (select unnest(range(256)) as byte))),
+words as (
+  select doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from (select doc_id, text from documents
+        union all select null, text from benchmark)),
+features as (select doc_id, unnest(w) as word from words),
+coded as (
+  select word, xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(range(octet_length(encode(word))), lambda i:
+             ('0x' || substr(hex(encode(word)), cast(2 * i + 1 as bigint), 2))::bigint)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 10000 as bucket
+  from (select distinct word from features), crc_table),
+counts as (
+  select bucket, count(doc_id) as s, count(*) - count(doc_id) as t
+  from features join coded using (word) group by bucket),
+totals as (select sum(s) as s_all, sum(t) as t_all from counts),
+gains as (
+  select bucket, cast(floor(1000 * ln((t + 1)::double * (s_all + 10000)
+           / ((s + 1)::double * (t_all + 10000)))) as bigint) as gain
+  from counts, totals),
+weights as (
+  select doc_id, sum(gain) as weight
+  from features join coded using (word) join gains using (bucket)
+  where doc_id is not null group by doc_id),
+scored as (
+  select doc_id, cast(len(w) as bigint) as n_features,
+         cast(coalesce(weight, 0) as bigint) as weight,
+         cast(coalesce(weight, 0) + floor(-1000 * ln(-ln(
+           (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::bigint + 0.5) / 4294967296)))
+           as bigint) as score
+  from words left join weights using (doc_id) where doc_id is not null),
+apt as (
+  select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n
+  from scored where n_features >= 20)
+select doc_id, n_features, weight, score, case when place <= 10 * n // 100 then place end as rank
+from scored left join apt using (doc_id)""",
+    "op13_window_repeats": r"""
+with split as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+windows as (
+  select doc_id, n, md5(array_to_string(list_slice(w, n, n + 12), ' ')) as grams
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as n from split)),
+firsts as (select grams, min(doc_id) as first from windows group by grams),
+gone as (
+  select distinct doc_id, unnest(range(n, n + 13)) as place
+  from windows join firsts using (grams) where first < doc_id),
+words as (
+  select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as place from split),
+kept as (
+  select doc_id, string_agg(word, ' ' order by place) as text, count(*) as left_over
+  from words anti join gone using (doc_id, place) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words,
+       cast(len(w) - coalesce(left_over, 0) as bigint) as n_removed,
+       sha256(coalesce(text, '')) as kept_sha256
+from split left join kept using (doc_id)""",
 }

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phrasetide.llm import (
-    bpe, exact_dedup, language, line_dedup, merkle, minhash, packing, sharding, token_files, warc,
+    alignment, bpe, exact_dedup, language, line_dedup, merkle, minhash, packing, resampling,
+    sharding, substring, token_files, warc,
 )
 from phrasetide.llm.common import ship_code, table
 from phrasetide.llm.oracle import SQL as ORACLES
@@ -114,3 +115,27 @@ def op5_similar_lines(spark, sf):
     made = line_dedup.without_repeated_lines(table(spark, sf, "documents"))
     return made.select("doc_id", "n_lines", "n_removed",
                        F.sha2("text", 256).alias("text_sha256"))
+
+
+@register
+def op13_window_repeats(spark, sf):
+    """All documents without passages of 13 words that an earlier document has."""
+    made = substring.without_repeats(table(spark, sf, "documents"))
+    return made.select("doc_id", "n_words", "n_removed",
+                       F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register
+def op12_threshold_resampling(spark, sf):
+    """All documents scored by likeness to the benchmark texts, a tenth of them drawn."""
+    made = resampling.resampled(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return made.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@register
+def op11_distinct_alignment(spark, sf):
+    """The tokens of two vocabularies aligned in every document."""
+    made = alignment.aligned(table(spark, sf, "documents"), path("byte_bpe_50k.json"),
+                             path("piece_bpe_32k.model"))
+    return made.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                       "groups_sha256")

@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from phrasetide.llm import substring
+from tests.llm.conftest import TEXTS
+
+WORDS = "[^\\x20\\x09-\\x0D]+"
+
+
+def brute_force(rows, size):
+    """Words, spans of removed words and kept text of every (doc_id, text)."""
+    key = lambda i: -1e30 if i is None else i
+    split = [(key(i), (t or "").encode().split()) for i, t in rows]
+    least = {}
+    for i, words in split:
+        for at in range(len(words) - size + 1):
+            window = tuple(words[at:at + size])
+            least[window] = min(least.get(window, i), i)
+    made = []
+    for i, words in split:
+        gone = [False] * len(words)
+        for at in range(len(words) - size + 1):
+            if least[tuple(words[at:at + size])] < i:
+                gone[at:at + size] = [True] * size
+        spans, start = [], None
+        for at, flag in enumerate([*gone, False]):
+            if flag and start is None:
+                start = at
+            elif not flag and start is not None:
+                spans.append((start, at))
+                start = None
+        kept = b" ".join(w for w, g in zip(words, gone) if not g).decode()
+        made.append((len(words), sum(gone), spans, kept))
+    return made
+
+
+def check(made, rows, size):
+    key = lambda i: -1 << 70 if i is None else i
+    got = sorted(((key(r.doc_id), r.n_words, r.n_removed, [tuple(s) for s in r.removed], r.text)
+                  for r in made.collect()))
+    want = sorted((key(i), *w) for (i, _), w in zip(rows, brute_force(rows, size)))
+    assert got == want
+
+
+def corpus(n, seed=1, ids=None):
+    """Texts of few words, so that passages repeat within and between them."""
+    draw = random.Random(seed)
+    passages = [[draw.choice("abcdefgh") for _ in range(draw.randint(5, 30))] for _ in range(12)]
+    rows = []
+    for i in range(n):
+        words = []
+        for _ in range(draw.randint(0, 5)):
+            words += draw.choice(passages) if draw.random() < 0.6 else \
+                [draw.choice("uvwxyz") + str(draw.randint(0, 99)) for _ in range(20)]
+        rows.append((ids[i] if ids else i, draw.choice([" ", "\n", " \t"]).join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("size", [1, 3, 13])
+@pytest.mark.parametrize("batch_bytes", [200, 4000, 1 << 23])
+def test_equals_brute_force(docs, size, batch_bytes):
+    rows = corpus(120, seed=size) + [(500 + i, t) for i, t in enumerate(TEXTS)]
+    check(substring.without_repeats(docs(*rows), size, batch_bytes), rows, size)
+
+
+def test_wide_repeated_and_null_ids(docs):
+    ids = [None, None, 5, 5, 5, -(1 << 63), (1 << 63) - 1, *range(100, 153)]
+    rows = corpus(60, seed=9, ids=ids)
+    check(substring.without_repeats(docs(*rows), 5, 500), rows, 5)
+
+
+def test_large_group_of_copies_and_a_shared_passage(docs):
+    copy = " ".join(f"c{i}" for i in range(40))
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [(i, copy if i % 3 == 0 else f"own{i} {passage} end{i}") for i in range(600)]
+    check(substring.without_repeats(docs(*rows), 13, 2000), rows, 13)
+
+
+def test_clashing_columns_and_empty_tables(clashing, docs, empty):
+    text = " ".join(f"w{i}" for i in range(20))
+    check(substring.without_repeats(clashing((1, text), (2, text))), [(1, text), (2, text)], 13)
+    assert substring.without_repeats(empty).count() == 0
+    none = [(1, None), (2, "")]
+    check(substring.without_repeats(docs(*none)), none, 13)
+
+
+def test_rolling_hash_depends_on_the_window_alone():
+    draw = np.random.default_rng(1)
+    values = draw.integers(0, 1 << 63, 200_000, dtype=np.uint64)
+    values[150_000:150_040] = values[10:50]
+    made = substring.rolling(values, 13, substring.BASES[0])
+    assert len(made) == len(values) - 12
+    assert (made[150_000:150_028] == made[10:38]).all()
+    assert len(np.unique(made)) == len(made) - 28
+    direct = [sum(int(v) * pow(substring.BASES[0], j, 1 << 64) for j, v in enumerate(values[i:i + 13]))
+              % (1 << 64) for i in (0, 7, 199_987)]
+    assert made[[0, 7, 199_987]].tolist() == substring._mixed(np.array(direct, np.uint64)).tolist()
+
+
+def test_windows_pack_and_meet_by_both_hashes():
+    keys = np.sort(np.random.default_rng(2).integers(0, 1 << 63, 500, dtype=np.uint64))
+    keys[7] = keys[8] = keys[6]
+    checks = np.arange(500).astype(np.uint16)
+    k, c = substring.unpack(substring.pack(keys, checks))
+    assert (k == keys).all() and (c == checks).all()
+    found = substring._known(keys, np.where(np.arange(500) % 2, checks, 9999).astype(np.uint16),
+                             (keys, checks))
+    assert found.tolist() == [bool(i % 2) for i in range(500)]
+    order, new = substring.in_order(np.array([3, 1, 3, 3], np.uint64), np.array([2, 0, 1, 2], np.uint16))
+    assert order.tolist() == [1, 2, 0, 3] and new.tolist() == [True, True, True, False]
