@@ -10,7 +10,7 @@ compared byte by byte.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +98,34 @@ def summed(prints: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return prints[at], np.add.reduceat(counts, at) if len(at) else counts
 
 
+class Runs:
+    """What is sorted by itself, merged in pairs of like size.
+
+    A run is merged with the one before it once it is half as large, so with n
+    runs every element is touched about log n times and the runs held are at
+    most twice the result. ``touched`` counts the elements merged.
+    """
+
+    def __init__(self, size: Callable, merge: Callable):
+        self.size, self.merge, self.runs, self.touched = size, merge, [], 0
+
+    def add(self, run) -> None:
+        self.runs.append(run)
+        while len(self.runs) > 1 and self.size(self.runs[-2]) <= 2 * self.size(self.runs[-1]):
+            self._merge()
+
+    def _merge(self) -> None:
+        last, before = self.runs.pop(), self.runs.pop()
+        self.touched += self.size(before) + self.size(last)
+        self.runs.append(self.merge(before, last))
+
+    def result(self):
+        """All runs as one, or None if there was none."""
+        while len(self.runs) > 1:
+            self._merge()
+        return self.runs[0] if self.runs else None
+
+
 def normalised(text: bytes | None) -> bytes:
     return (text or b"").translate(None, SPACE_BYTES)
 
@@ -123,11 +151,12 @@ def hashed(docs: DataFrame) -> DataFrame:
 def _filters(slice_bits: int):
     """Fingerprints of a partition to one filter per slice."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prints, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        runs = Runs(lambda run: len(run[0]),
+                    lambda a, b: summed(*map(np.concatenate, zip(a, b))))
         for batch in batches:
             new = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            prints, counts = summed(np.concatenate([prints, new]),
-                                    np.concatenate([counts, np.ones(len(new), np.int64)]))
+            runs.add(summed(new, np.ones(len(new), np.int64)))
+        prints, counts = runs.result() or (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         slices = (prints >> np.uint64(64 - slice_bits)).astype(np.int64)
         cuts = np.flatnonzero(np.diff(slices, prepend=-1))
         for lo, hi in zip(cuts, [*cuts[1:], len(prints)]):
@@ -147,18 +176,20 @@ def _repeated(merged: QuotientFilter) -> pa.RecordBatch:
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Filters in order of their slices to the fingerprints counted more than once."""
-    at, merged = None, None
+    at, runs = None, filter_runs()
     for batch in batches:
         for number, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-            part = QuotientFilter.from_bytes(data.as_buffer().to_pybytes())
-            if number == at:
-                merged = merged.merged(part)
-                continue
-            if merged is not None:
-                yield _repeated(merged)
-            at, merged = number, part
-    if merged is not None:
-        yield _repeated(merged)
+            if number != at and at is not None:
+                yield _repeated(runs.result())
+                runs = filter_runs()
+            at = number
+            runs.add(QuotientFilter.from_bytes(data.as_buffer().to_pybytes()))
+    if at is not None:
+        yield _repeated(runs.result())
+
+
+def filter_runs() -> Runs:
+    return Runs(lambda part: len(part.remainders), QuotientFilter.merged)
 
 
 def repeated_prints(prints: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -184,7 +215,7 @@ def _verified(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     ids = candidates.select(F.col("doc_id").alias("id"))
     if candidates.count() * 16 <= SMALL_BYTES:
         ids = F.broadcast(ids)
-    texts = texts_of(docs).join(ids, F.col("doc_id") == F.col("id"), "left_semi")
+    texts = texts_of(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     by_text = (texts.select(F.regexp_replace("text", SPACE_CLASS, "").alias("body"))
                .groupBy("body").agg(F.count("*").alias("n"))
                .withColumn("text_sha256", F.sha2("body", 256)))
@@ -201,7 +232,9 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     Texts are equal when identical without ASCII white space. The row with most
     code points stays, of those the one with the smallest ``doc_id``. A null
     text counts as empty, and all empty texts are one group. ``doc_id`` is taken
-    as unique: rows that share the staying row's id and text stay together.
+    as unique: rows that share the staying row's id and text stay together. Rows
+    without id stay only if no row of their group has one and as many code
+    points; ``keep_id`` is null then.
     Other columns aren't read. An empty table gives an empty result.
     """
     rows = written(hashed(docs), "hashed")
@@ -214,11 +247,11 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     groups = written(_verified(docs, candidates).join(stays, "text_sha256")
                      .select(F.col("text_sha256").alias("digest"), "group_size",
                              (-F.col("best.minus_id")).alias("best_id")), "groups")
-    keep_id = F.coalesce("best_id", "doc_id")
+    keep_id = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("best_id"))
     return (rows.join(groups, F.col("text_sha256") == F.col("digest"), "left")
             .select("doc_id", keep_id.alias("keep_id"),
                     F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
-                    F.coalesce(keep_id == F.col("doc_id"), F.lit(True)).alias("kept"),
+                    keep_id.eqNullSafe(F.col("doc_id")).alias("kept"),
                     "text_sha256"))
 
 

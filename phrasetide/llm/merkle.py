@@ -19,6 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,12 +30,35 @@ from phrasetide.llm.common import Buckets, partitions, texts_of
 SECTION = 4
 # A phrase of more bytes is cut, on average after so many words.
 LONG_PHRASE, WORDS = 48, 4
+RUN = 8  # characters of a piece of a long word, on average
 SHORT = 3  # bytes of a shortened digest
 
 _PHRASES = re.compile(rb"[^.,!?;:]+[.,!?;:]*|[.,!?;:]+")
 _WORDS = re.compile(rb" *[^ ]+ *$| *[^ ]+|  *")
 
 
+def _runs(word: bytes) -> list[bytes]:
+    """A long word cut behind characters that it and its neighbour's hash choose.
+
+    Scripts without spaces, tables and encoded data have words of any length. A
+    run without such a place is cut after ``4 * RUN`` characters.
+    """
+    if len(word) <= LONG_PHRASE:
+        return [word]
+    text = word.decode()
+    codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint32)
+    hashed = (codes[:-1] * np.uint32(2654435761)) ^ (codes[1:] * np.uint32(2246822519))
+    made, start = [], 0
+    for end in [*(np.flatnonzero((hashed >> np.uint32(13)) % RUN == 0) + 2).tolist(), len(text)]:
+        while end - start > 4 * RUN:
+            made.append(text[start:start + 4 * RUN].encode())
+            start += 4 * RUN
+        if end > start:
+            made.append(text[start:end].encode())
+            start = end
+    return made
+
+
 def phrases(paragraph: bytes) -> list[bytes]:
     """The pieces of a paragraph; joined they give it again."""
     found = _PHRASES.findall(paragraph)
@@ -47,6 +71,10 @@ def phrases(paragraph: bytes) -> list[bytes]:
             continue
         held = []
         for word in _WORDS.findall(phrase):
+            if len(word) > LONG_PHRASE:
+                cut += [b"".join(held), *_runs(word)] if held else _runs(word)
+                held = []
+                continue
             held.append(word)
             if zlib.crc32(word) % WORDS == 0 or len(held) >= 4 * WORDS:
                 cut.append(b"".join(held))

@@ -106,7 +106,7 @@ def place(docs: DataFrame, slot_map: DataFrame, sizes: DataFrame, key: str = "do
     ``slot`` is the record's place in its shard, counted from 0 without gaps: by
     virtual slot, then key. Rows of a shard need not meet: each virtual slot
     starts where the counts of those before it end. Equal keys go to one shard,
-    in order of their whole rows.
+    in the order of a hash of their whole rows.
     """
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -115,7 +115,9 @@ def place(docs: DataFrame, slot_map: DataFrame, sizes: DataFrame, key: str = "do
                       F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
     records = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("record"),
                           slot_of(key, slots).alias("virtual_slot"))
-    in_slot = Window.partitionBy("virtual_slot").orderBy(F.col("record")[key], F.hash("record"))
+    # Maps have no hash and no order; as text they have both.
+    whole = F.to_json("record") if "map<" in docs.schema.simpleString() else F.col("record")
+    in_slot = Window.partitionBy("virtual_slot").orderBy(F.col("record")[key], F.xxhash64(whole))
     return (records.withColumn("nth", F.row_number().over(in_slot))
             .join(F.broadcast(starts), "virtual_slot")
             .select("record", "virtual_slot", "shard",

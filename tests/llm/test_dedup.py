@@ -256,3 +256,27 @@ def test_line_odd_tables(empty, clashing, docs):
 def test_lines_without_python(docs):
     text = line_dedup.without_repeated_lines(docs("a", "a"))._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_parts_of_a_slice_merge_in_near_linear_work():
+    rng = np.random.default_rng(4)
+    parts = [np.unique(rng.integers(0, 1 << 40, 40, dtype=np.uint64)) for _ in range(2000)]
+    runs = exact_dedup.filter_runs()
+    for part in parts:
+        runs.add(exact_dedup.QuotientFilter.of(part, np.ones(len(part), np.int64)))
+    total = sum(map(len, parts))
+    assert runs.touched <= total * (len(parts).bit_length() + 1)
+    prints, counts = runs.result().entries()
+    want, n = np.unique(np.concatenate(parts), return_counts=True)
+    assert (prints == want).all() and (counts == n).all()
+    assert exact_dedup.filter_runs().result() is None
+
+
+def test_rows_without_an_id(docs):
+    made = exact_dedup.duplicate_groups(docs((None, "a b"), (None, "a b"), (5, "ab"), (None, "x")))
+    rows = sorted(made.collect(), key=lambda r: (r.text_sha256, r.doc_id or 0))
+    by_size = {r.group_size for r in rows if r.kept is not None}
+    assert by_size == {1, 3} and sum(r.kept for r in rows) == 2 + 1
+    assert {r.keep_id for r in rows} == {None}
+    made = exact_dedup.duplicate_groups(docs((None, "ab"), (5, "ab"), (6, "a b")))
+    assert [(r.doc_id, r.kept) for r in made.filter("kept").collect()] == [(6, True)]

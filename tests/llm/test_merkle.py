@@ -79,3 +79,16 @@ def test_empty_table(empty):
 def test_other_columns_do_not_matter(clashing):
     assert merkle.half_edits(clashing("a", "b")).count() == 2
     assert merkle.fingerprints(clashing("a", "a")).select("fingerprint").distinct().count() == 1
+
+
+def test_long_words_of_any_script_are_cut_by_their_characters():
+    import random
+    draw = random.Random(1)
+    signs = lambda n: "".join(chr(draw.randint(0x4E00, 0x9000)) for _ in range(n))
+    for text in (signs(2000), "x\ty" * 400, "a" * 3000, "abc " + signs(300) + " def, ghi."):
+        pieces = merkle.phrases(text.encode())
+        assert b"".join(pieces) == text.encode() and max(map(len, pieces)) <= 4 * 4 * merkle.RUN
+    text = signs(2000)
+    before, after = str(merkle.Tree(text)), str(merkle.Tree(text[:1000] + signs(1000)))
+    assert 0.45 < merkle.likeness(before, after) < 0.6
+    assert merkle.likeness(before, str(merkle.Tree("。" + text))) > 0.95

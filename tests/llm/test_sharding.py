@@ -78,3 +78,13 @@ def test_query(spark, odd, tmp_path):
 def test_no_python_in_the_plan(spark, odd):
     text = placed(spark, odd).withColumn("n", F.lit(1))._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_map_columns_and_repeated_ids(docs):
+    rows = docs((1, "a"), (1, "a"), (1, "b"), (2, "c")).withColumn(
+        "m", F.create_map(F.lit("k"), F.col("text")))
+    slots = sharding.first_map(rows.sparkSession, 3)
+    sizes = sharding.slot_bytes(rows)
+    made = sharding.place(rows, slots, sizes).select("record.*", "shard", "slot").collect()
+    assert len(made) == 4 and len({(r.shard, r.slot) for r in made}) == 4
+    assert {r.m["k"] for r in made} == {"a", "b", "c"}

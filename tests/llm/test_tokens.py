@@ -168,3 +168,21 @@ def test_every_id_lies_in_one_piece(spark, docs, length, horizon):
 def test_packing_odd_tables(empty, clashing):
     assert packing.packed_pieces(empty, WORDS).count() == 0
     assert packing.packed_pieces(clashing("a", None), WORDS).count() == 2
+
+
+@pytest.mark.parametrize("kind", ["words", "signs", "wide sentences"])
+def test_texts_without_sentence_ends_are_packed_with_little_padding(kind):
+    import random
+    draw = random.Random(2)
+    signs = lambda n: "".join(chr(draw.randint(0x4E00, 0x9000)) for _ in range(n))
+    make = {"words": lambda: " ".join(draw.choice(["word", "other", "thing"]) for _ in range(3000)),
+            "signs": lambda: signs(1000),
+            "wide sentences": lambda: "。".join(signs(20) for _ in range(50))}[kind]
+    coder = packing.word_codec(path("word_bpe_49k.json"))
+    packer = packing._Packer(coder.ends_sentence, coder.ends_word, 0, 2048, 1 << 20)
+    for i in range(40):
+        packer.add(i, np.append(np.frombuffer(coder.encode(make()), "<u4"), np.uint32(1)))
+    packer.cut(last=True)
+    used = sum(length for _, _, length, *_ in packer.rows)
+    sequences = {row[5] for row in packer.rows}
+    assert 1 - used / (2048 * len(sequences)) < 0.05
