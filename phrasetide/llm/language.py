@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phrasetide.llm.common import small_batches
@@ -86,38 +86,35 @@ def _place() -> Column:
     return F.xxhash64("doc_id")
 
 
-def last_hashes(known: DataFrame, train_docs: int) -> dict[str, int]:
-    """Per language the hash of the last of its first ``train_docs`` documents by hash.
+def reach(n: int, least: int, train_docs: int) -> int:
+    """The last place from which a language of ``n`` documents is learnt.
 
-    Exact at any size: a task passes on that many hashes per language at most,
-    and one per language comes to the driver.
+    Places are spread evenly over 64 bits, so that about ``train_docs`` lie up to
+    it, and at least the first, ``least``: whole numbers don't round to none
+    however many documents there are.
     """
-    first = Window.partitionBy("lang").orderBy("place")
-    ranked = (known.select("lang", _place().alias("place"))
-              .withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= train_docs))
-    return {r["lang"]: r["last"] for r in
-            ranked.groupBy("lang").agg(F.max("place").alias("last")).collect()}
+    even = -(1 << 63) + (train_docs << 64) // max(n, 1)
+    return max(least, min(even, (1 << 63) - 1))
 
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     """The model of all labels among the training documents that have letters.
 
-    A language with more than ``train_docs`` documents is learnt from that many
-    whole ones (and copies of their ids), the first by a hash of the id; rarer
-    ones from all. What comes to the driver is bounded by languages times trigram
-    classes.
+    A language with more than ``train_docs`` documents is learnt from about that
+    many whole ones, the first by a hash of their ids; rarer ones from all. What
+    comes to the driver is bounded by languages times trigram classes.
     """
     known = small_batches(docs).select("doc_id", "lang", "text").filter(
         is_training() & F.col("lang").isNotNull())
-    last = last_hashes(known, train_docs)
-    if len(last) > MAX_LANGUAGES:
-        raise ValueError(f"{len(last)} languages; the model holds {MAX_LANGUAGES}")
-    if not last:
+    sizes = known.groupBy("lang").agg(F.count("*"), F.min(_place())).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"{len(sizes)} languages; the model holds {MAX_LANGUAGES}")
+    if not sizes:
         return Model([], np.zeros((GRAMS, 0), np.float32))
-    reach = F.lit(None).cast("bigint")
-    for lang, value in last.items():
-        reach = F.when(F.col("lang") == lang, F.lit(value)).otherwise(reach)
-    chosen = known.filter((_place() <= reach) & has_letter())
+    last = F.lit(None).cast("bigint")
+    for lang, n, least in sizes:
+        last = F.when(F.col("lang") == lang, F.lit(reach(n, least, train_docs))).otherwise(last)
+    chosen = known.filter((_place() <= last) & has_letter())
     counted = (chosen.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
     languages = sorted(set(counted.column("lang").to_pylist()))
