@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from phrasetide.functions.text import contains_phrase, grams, phrase, tokens
@@ -24,6 +24,13 @@ TOP_MATCHES = 5
 # A gram in more posts than this isn't shuffled to one task with them.
 HEAVY_POSTS = 1_000_000
 
+# Grams that the sketch of offers tracks, and the most it is asked for. It counts
+# any gram too low by at most four thirds of the offers, divided by those tracked.
+TRACKED_GRAMS, MOST_HEAVY = 10_000, 1_000
+
+# Bits of a bitmap per registered gram: one unknown gram in nine passes it.
+GRAM_BITS = 8
+
 
 @dataclass(frozen=True)
 class PhraseIndex:
@@ -107,29 +114,50 @@ def _offer(posts: DataFrame, text: str, index: PhraseIndex) -> DataFrame:
             .drop("_grams"))
 
 
-def _known_grams(offered: DataFrame, index: PhraseIndex) -> DataFrame:
+def _known_grams(offered: DataFrame, index: PhraseIndex,
+                 limit: int | None = None) -> DataFrame:
     """The offered grams that some phrase may be filed under.
 
-    Eight bytes per gram are broadcast, and grams outside them don't enter the
-    shuffle. A registry with too many grams even for that goes without.
+    The registered grams' hashes are broadcast, and other grams don't enter the
+    shuffle. Hashes beyond ``limit`` bytes (by default the broadcast limit)
+    become a bitmap of ``GRAM_BITS`` bits for each, in blocks of Spark's bitmap
+    functions; an unknown gram that passes it finds no phrase later. A bitmap
+    beyond the limit would belong to a registry of several hundred million grams.
     """
-    known = index.rows.select(F.xxhash64("gram").alias("_hash")).distinct()
-    if lookup.measured_bytes(known) > lookup.BROADCAST_BYTES:
-        return offered
-    return (offered.withColumn("_hash", F.xxhash64("gram"))
-            .join(F.broadcast(known), "_hash", "left_semi").drop("_hash"))
-
-
-def _heavy_grams(offered: DataFrame) -> DataFrame:
-    """Grams offered by more than ``HEAVY_POSTS`` posts, found once and written.
-
-    There are at most the offered rows divided by ``HEAVY_POSTS`` of them. Their
-    index rows are brought to the posts, not the posts to one task each.
+    limit = lookup.BROADCAST_BYTES if limit is None else limit
+    hashes = index.rows.select(F.xxhash64("gram").alias("_hash")).distinct()
+    found = hashes.agg(F.sum(lookup.row_bytes(hashes)), F.count("*")).first()
+    offered = offered.withColumn("_hash", F.xxhash64("gram"))
+    if (found[0] or 0) <= limit:
+        return offered.join(F.broadcast(hashes), "_hash", "left_semi").drop("_hash")
+    bits = 1 << max(15, (GRAM_BITS * found[1]).bit_length())
+    if bits // 8 > limit:
+        return offered.drop("_hash")
+    place = F.pmod("_hash", F.lit(bits))
+    blocks = (hashes.groupBy(F.bitmap_bucket_number(place).alias("_block"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits")))
+    byte = F.conv(F.hex(F.substring("_bits", (F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    return (offered.withColumns({"_block": F.bitmap_bucket_number(place),
+                                 "_at": F.bitmap_bit_position(place)})
+            .join(F.broadcast(blocks), "_block")
+            .filter(F.getbit(byte.cast("int"), F.pmod("_at", F.lit(8)).cast("int")) == 1)
+            .drop("_hash", "_block", "_at", "_bits"))
+
+
+def _offers(offered: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The offers, written, and the grams that more than ``HEAVY_POSTS`` posts make.
+
+    Posts are tokenised once: a sketch of the most frequent grams is filled on
+    the way to the disk, and partial sketches are all that is merged. Their few
+    index rows are brought to the posts, not the posts to one task each. A gram
+    that the sketch misses costs time, not rows.
     """
-    path = new_work_dir(offered.sparkSession, "heavy-grams")
-    (offered.groupBy("gram").agg(F.count("*").alias("n"))
-     .filter(F.col("n") > HEAVY_POSTS).select("gram").write.parquet(path))
-    return offered.sparkSession.read.schema("gram string").parquet(path)
+    path = new_work_dir(offered.sparkSession, "offers")
+    seen = Observation()
+    top = F.expr(f"approx_top_k(gram, {MOST_HEAVY}, {TRACKED_GRAMS})")
+    offered.observe(seen, top.alias("top")).write.parquet(path)
+    heavy = [r["item"] for r in seen.get["top"] or () if r["count"] > HEAVY_POSTS]
+    return offered.sparkSession.read.schema(offered.schema).parquet(path), heavy
 
 
 def match(posts: DataFrame, index: PhraseIndex, text: str = "title", key: str = "id",
@@ -157,13 +185,15 @@ def match(posts: DataFrame, index: PhraseIndex, text: str = "title", key: str =
             found = found.filter((F.col("words") <= MAX_GRAM)
                                  | contains_phrase("_text", "phrase"))
         return found.select(*kept, *payload)
-    offered = _known_grams(_offer(posts.select(key, text), text, index).select(key, "gram"),
-                           index)
-    heavy = _heavy_grams(offered)
-    light = offered.join(F.broadcast(heavy), "gram", "left_anti").join(index.rows, "gram")
-    common = lookup.lookup_join(
-        offered, index.rows.join(F.broadcast(heavy), "gram", "left_semi"), ["gram"], "inner", [key])
-    pairs = (light.unionByName(common).select(key, "phrase", "words", *payload))
+    offered, heavy = _offers(_known_grams(
+        _offer(posts.select(key, text), text, index).select(key, "gram"), index))
+    pairs = offered.join(index.rows, "gram")
+    if heavy:
+        is_heavy = F.col("gram").isin(heavy)
+        pairs = offered.filter(~is_heavy).join(index.rows, "gram").unionByName(
+            lookup.lookup_join(offered.filter(is_heavy), index.rows.filter(is_heavy), ["gram"],
+                               "inner", [key]))
+    pairs = pairs.select(key, "phrase", "words", *payload)
     if keys_only and not index.has_long:
         return pairs.select(*kept, *payload)
     if index.has_long:

@@ -45,12 +45,32 @@ def test_small_registry_matches_without_a_shuffle_of_posts(message_table, regist
     assert "Generate explode(_grams" in posts_side and "size(array_distinct" not in text
 
 
-def test_large_registry_is_an_equi_join_of_known_grams(message_table, registry):
-    text = plan(percolate.percolate(message_table, registry("york"), limit=0))
+def test_large_registry_is_an_equi_join_of_offers_made_once(message_table, registry, monkeypatch):
+    offers, made = [], percolate._offers
+    monkeypatch.setattr(percolate, "_offers", lambda rows: offers.append(rows) or made(rows))
+    text = plan(percolate.percolate(message_table, registry("york", "a b c d"), limit=0))
     assert re.search(r"(SortMergeJoin|HashJoin) \[gram#\d+\], \[gram#\d+\]", text)
-    assert "_salt" not in text[:text.index("Union")]
+    # The offers are written once; the posts are scanned to join the pairs back to.
+    assert len(offers) == 1
+    assert len(re.findall(r"FileScan parquet \[id#\d+,gram#", text)) == 1
+    assert len(re.findall(r"FileScan parquet \[id#\d+,title#", text)) == 1
     # Before its shuffle every gram meets the hashes of those that phrases are filed under.
-    assert re.search(r"BroadcastHashJoin \[_hash#\d+L?\], \[_hash#\d+L?\], LeftSemi", text)
+    assert re.search(r"BroadcastHashJoin \[_hash#\d+L?\], \[_hash#\d+L?\], LeftSemi", plan(offers[0]))
+
+
+@pytest.mark.parametrize("limit, passing", [(None, 51), (40_000, 51), (4096, 60), (10, 50 * 7)])
+def test_unknown_grams_are_gone_before_the_exchange(lines, line, registry, limit, passing):
+    posts = ingest.read_messages(lines(*[line(id=str(i), title=f"old york bridge {i}")
+                                         for i in range(50)]))
+    others = [f"none{i}" for i in range(98)]
+    index = percolate.index_phrases(percolate.phrases(registry("york", "bridge 7", *others)), limit=0)
+    offered = percolate._offer(posts.select("id", "title"), "title", index).select("id", "gram")
+    known = percolate._known_grams(offered, index, limit)
+    assert known.columns == ["id", "gram"] and 51 <= known.count() and (
+        known.count() <= passing or limit == 10)
+    found = {(r.id, r.gram) for r in known.collect()}
+    assert {(str(i), "york") for i in range(50)} | {("7", "bridge 7")} <= found
+    assert ("_bits" in plan(known)) == (limit == 4096)
 
 
 def test_only_grams_of_the_index_are_shuffled(spark, lines, line, registry):
