@@ -156,7 +156,7 @@ def top_feed(posts: DataFrame, topics: DataFrame | None = None, seen: DataFrame
         known = lookup_join(seen, ids, ["doc_id"], "left_semi", ["doc_id"], limit).distinct()
         recent = lookup_join(recent, known, ["doc_id"], "left_anti", ["query"], limit)
     top = merge_topics(recent).orderBy(F.desc("created_utc"), "doc_id").limit(k)
-    return _numbered(top)
+    return numbered(top)
 
 
 def _reach(shown: DataFrame, seen: DataFrame | None, k: int) -> int | None:
@@ -198,10 +198,11 @@ def extend_feed(feed: DataFrame, arrived: DataFrame, k: int = FEED_SIZE) -> Data
     shown = feed.select(*columns)
     fresh = arrived.join(F.broadcast(shown.select("doc_id")), "doc_id", "left_anti")
     newest_first = newest_posts(fresh.select(*columns), k).unionByName(shown)
-    return _numbered(newest_first.orderBy(F.desc("created_utc"), "doc_id").limit(k))
+    return numbered(newest_first.orderBy(F.desc("created_utc"), "doc_id").limit(k))
 
 
-def _numbered(top: DataFrame) -> DataFrame:
+def numbered(top: DataFrame) -> DataFrame:
+    """A feed with its ``rank``, newest first."""
     # At most a feed of rows: an ungrouped window over them is one small task.
     return top.withColumn("rank", F.row_number().over(
         Window.orderBy(F.desc("created_utc"), "doc_id")))

@@ -66,6 +66,9 @@ VOTES = T.StructType([
     T.StructField("downs", T.LongType()),
 ])
 
+# Totals that changes move: with the number of posts, to know when an hour is empty.
+VOTE_TOTALS = T.StructType([*VOTES, T.StructField("posts", T.LongType())])
+
 REGISTRY = T.StructType([
     T.StructField("query", T.StringType()),
     T.StructField("registered_at", T.TimestampType()),

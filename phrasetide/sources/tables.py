@@ -11,16 +11,19 @@ batches written meanwhile stay, and readers of the old folders go on.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phrasetide.operators.lookup import BROADCAST_BYTES, lookup_join
+from phrasetide.operators.lookup import BROADCAST_BYTES, lookup_join, row_bytes
+from phrasetide.session import path_exists
 
 # Buckets of topics in a compacted folder.
 BUCKETS = 8
@@ -48,21 +51,39 @@ class Entry:
                 f"/place={self.place}/copy={self.copy}")
 
 
-def _entries(spark: SparkSession, path: str) -> list[Entry]:
+def _entries(spark: SparkSession, path: str, under: str = "") -> list[Entry]:
     """All lines of the manifest: one per write, so as many as batches, not rows."""
-    rows = spark.read.schema(_MANIFEST).json(f"{path}/manifest").collect()
+    rows = (spark.read.schema(_MANIFEST).option("recursiveFileLookup", "true")
+            .json(f"{path}/manifest{under}").collect())
     return [Entry(r.run, r.batch_id, r.place, r.copy, r.at, tuple(r.covers or ()),
                   bool(r.bucketed)) for r in rows]
 
 
-def live_entries(spark: SparkSession, path: str) -> list[Entry]:
-    """The folders that make up the table now, oldest place first."""
+def _entries_of(spark: SparkSession, path: str, run: str, batch_id: int) -> list[Entry]:
+    """The lines of one batch; no other batch's are listed or read."""
+    under = _lines_of(run, batch_id)
+    return _entries(spark, path, under) if path_exists(spark, f"{path}/manifest{under}") else []
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether any batch has been written to the table."""
+    return path_exists(spark, f"{path}/manifest")
+
+
+def _lines_of(run: str, batch_id: int) -> str:
+    return f"/run={run}/batch_id={batch_id}"
+
+
+def live_entries(spark: SparkSession, path: str,
+                 skip: tuple[str, int] | None = None) -> list[Entry]:
+    """The folders that make up the table now, oldest place first, but for batch ``skip``."""
     newest: dict[tuple[str, int], Entry] = {}
     entries = _entries(spark, path)
     covered = {copy for entry in entries for copy in entry.covers}
     for entry in sorted(entries, key=lambda e: e.at):
         newest[entry.run, entry.batch_id] = entry
-    return sorted((e for e in newest.values() if e.copy not in covered),
+    return sorted((e for e in newest.values()
+                   if e.copy not in covered and (e.run, e.batch_id) != skip),
                   key=lambda e: (e.place, e.at))
 
 
@@ -70,18 +91,19 @@ def _add(spark: SparkSession, path: str, entry: Entry) -> None:
     line = (entry.run, entry.batch_id, entry.place, entry.copy, entry.at,
             list(entry.covers), entry.bucketed)
     spark.createDataFrame([line], _MANIFEST).coalesce(1).write.mode("append").json(
-        f"{path}/manifest")
+        f"{path}/manifest{_lines_of(entry.run, entry.batch_id)}")
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int, run: str = "main") -> None:
-    """Store ``rows`` as batch ``batch_id`` of ``run``, in place of an earlier writing of it."""
+    """Store ``rows`` as batch ``batch_id`` of ``run``, in place of an earlier writing of it.
+
+    Only this batch's own lines of the manifest are looked at, so the cost of a
+    write doesn't grow with the batches written before.
+    """
     spark = rows.sparkSession
-    # A manifest without lines, where there is no table yet.
-    spark.createDataFrame([], _MANIFEST).write.mode("ignore").json(f"{path}/manifest")
-    known = _entries(spark, path)
-    now = max([time.time_ns() // 1000, *(e.at + 1 for e in known)])
-    own = [e.place for e in known if (e.run, e.batch_id) == (run, batch_id)]
-    entry = Entry(run, batch_id, min(own, default=now), uuid.uuid4().hex, now)
+    own = _entries_of(spark, path, run, batch_id)
+    now = max([time.time_ns() // 1000, *(e.at + 1 for e in own)])
+    entry = Entry(run, batch_id, min([e.place for e in own], default=now), uuid.uuid4().hex, now)
     rows.write.parquet(entry.folder(path))
     _add(spark, path, entry)
 
@@ -121,12 +143,13 @@ _LAYOUT = [T.StructField("bucket", T.IntegerType()), T.StructField("day", T.Date
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str],
                columns: Sequence[str] | None = None, topics: Sequence[str] | None = None,
-               after=None, limit: int = BROADCAST_BYTES) -> DataFrame:
+               after=None, limit: int = BROADCAST_BYTES,
+               days: tuple[date | None, date | None] = (None, None)) -> DataFrame:
     """The table's current rows: the key and ``columns`` (default all).
 
-    ``topics`` (first key column) and ``after`` (second key column, a time,
-    exclusive) narrow the read; in a compacted folder they leave whole buckets
-    and days unread. Rows of a compacted folder have one version each: they are
+    ``topics`` (first key column), ``after`` (second key column, a time,
+    exclusive) and ``days`` (from one and before another; None is open) narrow
+    the read; in a compacted folder they leave whole buckets and days unread. Rows of a compacted folder have one version each: they are
     read without a shuffle, but for the keys written since, which are few and
     broadcast (beyond ``limit`` shuffled). Only rows written since are merged.
     Columns not asked for are neither read nor shuffled.
@@ -149,6 +172,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, key: Sequen
             if bucketed:
                 rows = rows.filter(F.col("day") >= at.cast("date"))
             rows = rows.filter(F.col(key[1]) > at)
+        for day, test in zip(days, (Column.__ge__, Column.__lt__)):
+            if day is not None:
+                at = F.lit(day)
+                if bucketed:
+                    rows = rows.filter(test(F.col("day"), at))
+                rows = rows.filter(test(F.col(key[1]), at.cast("timestamp")))
         return rows
 
     recent = narrowed(_read(spark, path, schema, later), False).select(*wanted, "place")
@@ -162,6 +191,62 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, key: Sequen
     return replaced.unionByName(newest_per_key(recent, key))
 
 
+def stored_days(spark: SparkSession, path: str) -> list[date]:
+    """The days that a compacted table has folders of, newest first.
+
+    They are the folders' names; no row is read.
+    """
+    entries = live_entries(spark, path)
+    if not entries or not entries[0].bucketed:
+        return []
+    files = _read(spark, path, T.StructType(), entries[:1], _LAYOUT).inputFiles()
+    found = {m[1] for f in files if (m := re.search(r"/day=(\d+-\d\d-\d\d)/", f))}
+    return sorted(map(date.fromisoformat, found), reverse=True)
+
+
+def read_keys(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str],
+              keys: DataFrame, columns: Sequence[str] | None = None,
+              skip: tuple[str, int] | None = None,
+              limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The current rows of ``keys`` only, a table of the whole key or of its first column.
+
+    Of a compacted folder the buckets (and, with whole keys, the days) that
+    ``keys`` turn out to have are read: Spark prunes its partitions when the
+    broadcast of the keys is there. Folders written since are scanned from the
+    keys' first time on. Keys beyond ``limit`` bytes meet the rows in a salted
+    shuffle instead. ``skip`` names a batch whose rows don't count.
+    """
+    on = [c for c in key if c in keys.columns]
+    wanted = [f.name for f in schema
+              if columns is None or f.name in key or f.name in columns]
+    keys = keys.select(*on).distinct()
+    timed = len(on) > 1
+    size, first = keys.agg(F.sum(row_bytes(keys)), F.min(key[1]) if timed else F.lit(None)).first()
+    entries = live_entries(spark, path, skip)
+    base = entries[0] if entries and entries[0].bucketed else None
+
+    def of_keys(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+        if timed:
+            rows = rows.filter(F.col(key[1]) >= F.lit(first))
+        some = keys.withColumns({"bucket": bucket_of(on[0]), **(
+            {"day": F.to_date(key[1])} if timed else {})})
+        # Pruning at run time asks for keys that a filter has made fewer.
+        some = some.select(*extra, *on).filter(F.col(on[0]).isNotNull() & (F.col(on[0]) >= ""))
+        return lookup_join(rows, some, [*extra, *on], "left_semi", list(key), limit, size or 0)
+
+    later = of_keys(_read(spark, path, schema, entries[1:] if base else entries))
+    recent = later.select(*wanted, "place")
+    if base is None:
+        return newest_per_key(recent, key)
+    old = of_keys(_read(spark, path, schema, [base], _LAYOUT),
+                  ["bucket", "day"] if timed else ["bucket"]).select(*wanted)
+    if len(entries) == 1:
+        return old
+    replaced = lookup_join(old, recent.select(*key).distinct(), list(key), "left_anti",
+                           list(key), limit)
+    return replaced.unionByName(newest_per_key(recent, key))
+
+
 def compact(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str]) -> None:
     """Rewrite the current rows as one folder by bucket of topic and day, in place.
 
