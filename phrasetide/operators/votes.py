@@ -179,6 +179,60 @@ def sliding_counts(posts: DataFrame, length: str = "5 minutes", every: str = "1
             .select("query", F.col("w.end").alias("until_utc"), "n"))
 
 
+def paned_counts(posts: DataFrame, length: str = "5 minutes", every: str = "1 minute") -> DataFrame:
+    """The rows of :func:`sliding_counts`, by way of panes; ``posts`` may be a stream.
+
+    Posts are counted once into panes as long as the slide, and a pane counts in
+    each window over it. A post is one row of one pane however many windows
+    overlap; only panes are copied. ``length`` is a whole number of slides.
+    """
+    panes = (posts.groupBy("query", F.window("created_utc", every).alias("pane"))
+             .agg(F.count("*").alias("n")))
+    return (panes.groupBy("query", F.window(F.window_time("pane"), length, every).alias("w"))
+            .agg(F.sum("n").alias("n"))
+            .select("query", F.col("w.end").alias("until_utc"), "n"))
+
+
+# Grains of a series: hours, and what they add up to.
+GRAINS = ("hour", "day", "month")
+# Spans up to these are drawn by the hour, by the day; longer ones by the month.
+HOURLY_SPAN, DAILY_SPAN = "14 days", "366 days"
+
+
+def grain_totals(votes: DataFrame) -> DataFrame:
+    """Totals per query by hour, day and month in one pass, told apart by ``grain``.
+
+    Grouping sets expand stored totals (a row per query and hour), not posts; sums
+    of each grain are taken before the shuffle.
+    """
+    stamped = votes.select("query", *[F.date_trunc(g, "time_utc").alias(g) for g in GRAINS],
+                           "ups", "downs")
+    which = F.grouping_id().alias("_set")
+    sets = [("query", g) for g in GRAINS]
+    # grouping_id has a bit per column, first to last, set for those summed over.
+    ids = {sum(1 << (len(GRAINS) - 1 - i) for i, other in enumerate(GRAINS) if other != g): g
+           for g in GRAINS}
+    made = (stamped.groupingSets(sets, "query", *GRAINS)
+            .agg(which, F.sum("ups").alias("ups"), F.sum("downs").alias("downs")))
+    grain = F.coalesce(*[F.when(F.col("_set") == i, F.lit(g)) for i, g in ids.items()])
+    return made.select("query", grain.alias("grain"), F.coalesce(*GRAINS).alias("time_utc"),
+                       "ups", "downs")
+
+
+def drawn_series(totals: DataFrame, span: str) -> DataFrame:
+    """The visible ``span`` of every topic's series, at the grain that the span calls for.
+
+    ``totals`` are those of :func:`grain_totals`. The span reaches back from each
+    topic's newest point of that grain, both ends included.
+    """
+    days = F.expr(f"timestamp'2000-01-01' + interval {span}")
+    limit = lambda s: F.expr(f"timestamp'2000-01-01' + interval {s}")
+    grain = (F.when(days <= limit(HOURLY_SPAN), "hour").when(days <= limit(DAILY_SPAN), "day")
+             .otherwise("month"))
+    rows = totals.filter(F.col("grain") == grain)
+    return visible(series(rows), span)
+
+
 def distinct_instants(posts: DataFrame) -> DataFrame:
     """The x axis: every instant any post carries, once."""
     return posts.select("created_utc").distinct()

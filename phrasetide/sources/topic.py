@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from phrasetide.sources.files import stream_lines
 
@@ -35,9 +36,11 @@ class KafkaTopic:
     def write_options(self) -> dict[str, str]:
         return {"kafka.bootstrap.servers": ",".join(self.brokers), "topic": self.name}
 
-    def stream(self, spark: SparkSession) -> DataFrame:
+    def stream(self, spark: SparkSession, published: bool = False) -> DataFrame:
+        """The values; with ``published`` also when the broker got them, as ``published_at``."""
         read = spark.readStream.format("kafka").options(**self.read_options()).load()
-        return read.selectExpr("cast(value as string) as value")
+        times = ["timestamp as published_at"] if published else []
+        return read.selectExpr("cast(value as string) as value", *times)
 
     def publish(self, values: DataFrame) -> None:
         values.write.format("kafka").options(**self.write_options()).save()
@@ -50,9 +53,12 @@ class FolderTopic:
     path: str
     files_per_batch: int | None = None
 
-    def stream(self, spark: SparkSession) -> DataFrame:
+    def stream(self, spark: SparkSession, published: bool = False) -> DataFrame:
+        """The values; with ``published`` also when their file was closed, as ``published_at``."""
         lines = stream_lines(spark, self.path, self.files_per_batch)
-        return lines.withColumnRenamed("line", "value")
+        times = {"published_at": "_metadata.file_modification_time"} if published else {}
+        return lines.select(F.col("line").alias("value"),
+                            *[F.col(c).alias(name) for name, c in times.items()])
 
     def publish(self, values: DataFrame) -> None:
         values.write.mode("append").text(self.path)

@@ -68,6 +68,28 @@ def read_cursor(spark, cursor_path: str, batch_id: int) -> DataFrame:
     return tables.read_snapshot(spark, cursor_path, schemas.CURSOR, batch_id)
 
 
+def start_cursors(posts: DataFrame, checkpoint: str,
+                  interval: str | None = POLL_INTERVAL) -> StreamingQuery:
+    """Keep the cursors of a stream of posts as its state, one row per topic.
+
+    Nothing but the topics that a batch moves is written, into the state store of
+    ``checkpoint``, where :func:`cursors_in_state` reads them.
+    """
+    moved = posts.groupBy("query").agg(F.max("created_utc").alias("lasttime"))
+    return start(moved, lambda rows, batch_id: rows.write.format("noop").mode("overwrite").save(),
+                 checkpoint, interval, "cursors", mode="update")
+
+
+def cursors_in_state(spark, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The cursors that :func:`start_cursors` holds, as of its last batch or of ``batch_id``."""
+    reader = spark.read.format("statestore")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    state = reader.load(checkpoint)
+    newest = state.schema["value"].dataType.names[0]  # the aggregate's only buffer
+    return state.select("key.query", F.col("value")[newest].alias("lasttime"))
+
+
 def shown_once(posts: DataFrame, delay: str) -> DataFrame:
     """Each post once, under its smallest query, over the whole stream.
 

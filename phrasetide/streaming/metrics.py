@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 import threading
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -27,6 +28,36 @@ def counted(messages: DataFrame, name: str = "messages") -> tuple[DataFrame, Obs
     return messages.observe(seen, F.count(F.lit(1)).alias("messages")), seen
 
 
+# A batch's delays as a quantile sketch; its ranks are off by less than this share.
+SKETCH_ERROR = 0.02
+SKETCHES = T.StructType([T.StructField("n", T.LongType()), T.StructField("sketch", T.BinaryType())])
+
+
+def millis_between(since: Column, until: Column) -> Column:
+    return F.unix_millis(until) - F.unix_millis(since)
+
+
+def quantile_sketch(rows: DataFrame, value: Column, by: tuple[str, ...] = ()) -> DataFrame:
+    """Number of ``value``s (whole numbers) and their quantile sketch, per ``by``.
+
+    A sketch has a few kilobytes whatever it counts. Tasks sketch their rows and
+    only sketches are shuffled.
+    """
+    return rows.groupBy(*by).agg(F.count(value).alias("n"),
+                                 F.kll_sketch_agg_bigint(value).alias("sketch"))
+
+
+def sketched_quantiles(sketches: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """The ``value`` at each of ``shares`` of all that the ``sketches`` have counted."""
+    merged = (sketches.filter("n > 0")
+              .agg(F.sum("n").alias("n"), F.kll_merge_agg_bigint("sketch").alias("sketch"))
+              .filter("n > 0"))
+    wanted = F.array(*map(F.lit, shares))
+    found = F.arrays_zip(wanted.alias("share"),
+                         F.kll_sketch_get_quantile_bigint("sketch", wanted).alias("value"))
+    return merged.select("n", F.explode(found).alias("q")).select("q.share", "q.value", "n")
+
+
 class ProgressLog(StreamingQueryListener):
     """Reports of every batch of the queries that run while it listens.
 

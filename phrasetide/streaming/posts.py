@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from phrasetide import schemas
 from phrasetide.plans.digest import digest
 from phrasetide.operators.ingest import from_values
 from phrasetide.sources import registry, tables
+from phrasetide.streaming import metrics
 
 BATCH_INTERVAL = "2 seconds"
 
@@ -54,6 +57,22 @@ def store(path: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
     return process
 
 
+class LiveRegistry:
+    """A registry that may grow between batches, read again only when it has."""
+
+    def __init__(self, path: str):
+        self.path = path
+        self.held: tuple[tuple[str, ...], DataFrame] | None = None
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        version = tuple(e.copy for e in tables.live_entries(spark, self.path))
+        if self.held is None or self.held[0] != version:
+            if self.held is not None:
+                self.held[1].unpersist()
+            self.held = version, registry.read_registry(spark, self.path).persist()
+        return self.held[1]
+
+
 def store_matches(registry_path: str, posts_path: str,
                   checkpoint: str) -> Callable[[DataFrame, int], None]:
     """Batch function: match one batch of messages and store the posts.
@@ -63,30 +82,40 @@ def store_matches(registry_path: str, posts_path: str,
     when it has changed. Duplicates are merged within the batch; across batches
     the stored key takes care of them.
     """
-    keep = store(posts_path, checkpoint)
-    held: dict[tuple[str, ...], DataFrame] = {}
-
-    def known(spark: SparkSession) -> DataFrame:
-        version = tuple(e.copy for e in tables.live_entries(spark, registry_path))
-        if version not in held:
-            for old in held.values():
-                old.unpersist()
-            held.clear()
-            held[version] = registry.read_registry(spark, registry_path).persist()
-        return held[version]
+    keep, known = store(posts_path, checkpoint), LiveRegistry(registry_path)
 
     def process(messages: DataFrame, batch_id: int) -> None:
-        keep(digest(messages, known(messages.sparkSession)), batch_id)
+        keep(digest(messages, known.read(messages.sparkSession)), batch_id)
 
     return process
 
 
 def start_posts(values: DataFrame, registry_path: str, posts_path: str, checkpoint: str,
-                interval: str | None = BATCH_INTERVAL, on_bad: str = "fail") -> StreamingQuery:
-    """Store the matches of a stream of message values."""
-    return start(from_values(values, on_bad),
-                 store_matches(registry_path, posts_path, checkpoint),
-                 checkpoint, interval, "posts")
+                interval: str | None = BATCH_INTERVAL, on_bad: str = "fail",
+                delays_path: str | None = None) -> StreamingQuery:
+    """Store the matches of a stream of message values.
+
+    With ``delays_path``, values come with their ``published_at``, and every
+    batch leaves a sketch there of how long after it its values were stored.
+    """
+    process = store_matches(registry_path, posts_path, checkpoint)
+    if delays_path is None:
+        return start(from_values(values, on_bad), process, checkpoint, interval, "posts")
+    keep = store(delays_path, checkpoint)
+
+    def timed(batch: DataFrame, batch_id: int) -> None:
+        process(from_values(batch, on_bad), batch_id)
+        stored = F.lit(datetime.now(timezone.utc))
+        keep(metrics.quantile_sketch(batch, metrics.millis_between(
+            F.col("published_at"), stored)), batch_id)
+
+    return start(values, timed, checkpoint, interval, "posts")
+
+
+def read_delays(spark: SparkSession, delays_path: str, shares: Sequence[float]) -> DataFrame:
+    """Milliseconds from publishing to storing (``value``) at ``shares`` of all values."""
+    return metrics.sketched_quantiles(
+        tables.read_batches(spark, delays_path, metrics.SKETCHES), shares)
 
 
 def drop_repeats(messages: DataFrame, at: str, delay: str) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from phrasetide.operators.votes import (
-    FIRST_HOUR, counted_posts, of_registered, sliding_counts, sum_votes, to_votes,
+    FIRST_HOUR, counted_posts, of_registered, paned_counts, sliding_counts, sum_votes, to_votes,
 )
-from phrasetide.streaming.posts import BATCH_INTERVAL, start, store
+from phrasetide.streaming.posts import BATCH_INTERVAL, LiveRegistry, start, store
 
 
 def closed_hours(posts: DataFrame, delay: str, bounds: str = "half_open",
@@ -30,10 +30,32 @@ def closed_slides(posts: DataFrame, delay: str, length: str = "5 minutes",
     return sliding_counts(posts.withWatermark("created_utc", delay), length, every)
 
 
+def closed_panes(posts: DataFrame, delay: str, length: str = "5 minutes",
+                 every: str = "1 minute") -> DataFrame:
+    """The rows of :func:`closed_slides` from two aggregates in a row.
+
+    The first holds one row per topic and open pane, the second one per topic
+    and open window, and gets closed panes only.
+    """
+    return paned_counts(posts.withWatermark("created_utc", delay), length, every)
+
+
 def start_votes(posts: DataFrame, votes_path: str, checkpoint: str, delay: str,
                 interval: str | None = BATCH_INTERVAL, bounds: str = "half_open",
-                registry: DataFrame | None = None,
+                registry_path: str | None = None,
                 first_hour: str | None = FIRST_HOUR) -> StreamingQuery:
-    """Keep the votes table filled with closed hours."""
-    return start(closed_hours(posts, delay, bounds, registry, first_hour),
-                 store(votes_path, checkpoint), checkpoint, interval, "votes")
+    """Keep the votes table filled with closed hours.
+
+    All topics are totalled in the stream; ``registry_path`` limits what is stored
+    to the topics registered when their hour closes. The registry is looked at
+    for every batch, so a topic registered while the job runs has totals from the
+    next closed hour on, whole ones.
+    """
+    keep = store(votes_path, checkpoint)
+    known = LiveRegistry(registry_path) if registry_path else None
+
+    def process(totals: DataFrame, batch_id: int) -> None:
+        keep(of_registered(totals, known.read(totals.sparkSession) if known else None), batch_id)
+
+    return start(closed_hours(posts, delay, bounds, None, first_hour), process, checkpoint,
+                 interval, "votes")
