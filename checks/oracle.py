@@ -297,6 +297,21 @@ SQL: dict[str, str] = {
         group by c.query, c.lasttime
     """, "cursors", "posts"),
     "sliding_5min": _with(f"select query, until_utc, count(*) as n from ({SLIDES}) group by all", "posts"),
+    "paned_5min": _with(f"select query, until_utc, count(*) as n from ({SLIDES}) group by all", "posts"),
+    "series_grains": _with("""
+        select query, grain, cast(date_trunc(grain, time_utc) as timestamp) as time_utc,
+               cast(sum(ups) as bigint) as ups, cast(sum(downs) as bigint) as downs
+        from votes, (values ('hour'), ('day'), ('month')) as g(grain)
+        group by all
+    """, "votes"),
+    "series_drawn": _with("""
+        select query, epoch_ms(day) as ts_ms, ups, ups + downs as total
+        from (select query, cast(date_trunc('day', time_utc) as timestamp) as day,
+                     cast(sum(ups) as bigint) as ups, cast(sum(downs) as bigint) as downs,
+                     max(day) over (partition by query) as newest
+              from votes group by query, day)
+        where day >= newest - interval 20 day
+    """, "votes"),
     "distinct_instants": _with("select distinct created_utc from minute_posts", "minute_posts"),
     "feed_newest2": _with("select query, doc_id, created_utc, rank from ranked where rank <= 2",
                           "ranked"),
@@ -315,6 +330,11 @@ SQL: dict[str, str] = {
             {WORD_POSTS} and subreddit <> 'click' and doc_id not in (
                 select doc_id from posts where subreddit = 'purchase')''')})
     """, "posts", "word_topics"),
+    "feed_top10_by_day": _with(f"""
+        select rank, doc_id, query, created_utc from ({top10(f'''
+            {WORD_POSTS} and subreddit <> 'click' and doc_id not in (
+                select doc_id from posts where subreddit = 'purchase')''')})
+    """, "posts", "word_topics"),
     "feed_render": _with(f"""
         select row_number() over (order by created_utc, doc_id) - 1 as ui_id, doc_id, query,
                strftime(created_utc, '%d/%m/%y, %H:%M:%S') as timestamp,
@@ -400,7 +420,7 @@ SQL: dict[str, str] = {
                row_number() over (order by created_utc desc, doc_id) as rank
         from upserted
         where query = (select min(query) from word_topics)
-          and created_utc > (select lasttime from cursors
+          and created_utc > (select lasttime - interval 2 day from cursors
                              where query = (select min(query) from word_topics))
     """, "upserted", "word_topics", "cursors"),
     "keyed_newest2": _with("""
@@ -416,12 +436,27 @@ SQL: dict[str, str] = {
     "posts_upsert": _with("select * from upserted", "upserted"),
     "posts_compacted": _with("select * from upserted", "upserted"),
     "votes_upsert": _with("select * from votes", "votes"),
+    "votes_from_changes": _with("""
+        select query, cast(date_trunc('hour', created_utc) as timestamp) as time_utc,
+               cast(sum(case when subreddit = 'signup' then ups * 2 else ups end) as bigint) as ups,
+               cast(sum(downs) as bigint) as downs
+        from minute_posts group by query, time_utc
+    """, "minute_posts"),
+    "scan_topics": _with("""
+        select query, doc_id, ups, downs from upserted
+        where query in (select query from word_topics)
+    """, "upserted", "word_topics"),
     "replay_slices": """
         select n // 1250 as slice_id, count(*) as n, min(ts) as first_ts, max(ts) as last_ts
         from (select ts, row_number() over (order by ts, event_id) as n from events)
         group by slice_id
     """,
     "stream_posts": _with(POSTS_ROUND, "posts"),
+    "delay_quantiles": """
+        select share, count(*) as n, true as within
+        from events, (values (0.1::double), (0.5::double), (0.9::double), (0.99::double)) as s(share)
+        group by share
+    """,
     "message_count": _with("""
         select 0::bigint as batch_id, count(*) as rows, count(*) as observed from event_messages
     """, "event_messages"),
@@ -437,6 +472,33 @@ SQL: dict[str, str] = {
             <= (select max(created_utc) from posts) - interval 2 hour
         group by query, time_utc
     """, "posts", "word_topics"),
+    "stream_hourly_live": _with("""
+        select query, time_utc, cast(sum(ups) as bigint) as ups, cast(sum(downs) as bigint) as downs
+        from (select *, cast(date_trunc('hour', created_utc) as timestamp) as time_utc from posts
+              where query in (select query from word_topics))
+        where time_utc + interval 1 hour
+            <= (select max(created_utc) from posts) - interval 2 hour
+          and (query < 'm' or time_utc + interval 1 hour > (
+              select max(created_utc) from posts
+              where floor(epoch(created_utc)) < (
+                  select floor((min(floor(epoch(created_utc)))
+                                + max(floor(epoch(created_utc)))) / 2) from posts))
+              - interval 2 hour)
+        group by query, time_utc
+    """, "posts", "word_topics"),
+    "stream_registrations": _with("""
+        select query, id as doc_id, created_utc
+        from (select *, (select date_trunc('day', min(created_utc)) from event_messages)
+                        + case when contains(query, ' ') then interval 12 day
+                               else interval 0 day end as registered_at
+              from event_matches)
+        where created_utc between registered_at and registered_at + interval 10 day
+    """, "event_matches"),
+    "stream_panes": _with(f"""
+        select query, until_utc, count(*) as n from ({SLIDES})
+        where until_utc <= (select max(created_utc) from posts) - interval 10 minute
+        group by query, until_utc
+    """, "posts"),
     "stream_slides": _with(f"""
         select query, until_utc, count(*) as n from ({SLIDES})
         where until_utc <= (select max(created_utc) from posts) - interval 10 minute
@@ -448,4 +510,6 @@ SQL: dict[str, str] = {
                                "posts"),
     "stream_cursor": _with("select query, max(created_utc) as lasttime from posts group by query",
                            "posts"),
+    "stream_cursor_state": _with("select query, max(created_utc) as lasttime from posts group by query",
+                                 "posts"),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from checks.views import ntz
 from phrasetide import schemas
 from phrasetide.functions.times import from_epoch, to_epoch_text
 from phrasetide.operators import feed, ingest, percolate, votes
+from phrasetide.plans import pages, upkeep
 from phrasetide.plans.digest import digest, digest_lines
 from phrasetide.session import new_work_dir, use_utc
 from phrasetide.sources import registry, replay, tables
@@ -21,6 +23,7 @@ from phrasetide.sources.topic import FolderTopic
 from phrasetide.streaming import feed as feed_stream
 from phrasetide.streaming import metrics
 from phrasetide.streaming import posts as post_stream
+from phrasetide.streaming import registrations
 from phrasetide.streaming import votes as vote_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -263,6 +266,24 @@ def sliding_5min(spark, sf):
     return ntz(votes.sliding_counts(views.posts(spark, sf)), "until_utc")
 
 
+@register
+def paned_5min(spark, sf):
+    """The sliding counts, from one-minute panes."""
+    return ntz(votes.paned_counts(views.posts(spark, sf)), "until_utc")
+
+
+@register
+def series_grains(spark, sf):
+    """Totals by hour, day and month in one pass."""
+    return ntz(votes.grain_totals(views.votes(spark, sf)), "time_utc")
+
+
+@register
+def series_drawn(spark, sf):
+    """The last twenty days of every topic, which are drawn by the day."""
+    return votes.drawn_series(votes.grain_totals(views.votes(spark, sf)), "20 days")
+
+
 @register
 def distinct_instants(spark, sf):
     return ntz(votes.distinct_instants(views.minute_posts(spark, sf)), "created_utc")
@@ -294,16 +315,32 @@ def feed_poll(spark, sf):
     return ntz(feed.poll(views.posts(spark, sf), views.cursor(spark, sf)), "created_utc")
 
 
+def _blanked(spark, sf):
+    """Posts of which the clicks have no title, and the ids of those shown already."""
+    rows = views.posts(spark, sf).withColumn(
+        "title", F.when(F.col("subreddit") != "click", F.col("title")).otherwise(F.lit("")))
+    return rows, rows.filter(F.col("subreddit") == "purchase").select("doc_id")
+
+
 @register
 def feed_top10(spark, sf):
     """Newest posts over the word topics, without those shown and those of blank title."""
-    rows = views.posts(spark, sf).withColumn(
-        "title", F.when(F.col("subreddit") != "click", F.col("title")).otherwise(F.lit("")))
-    seen = rows.filter(F.col("subreddit") == "purchase").select("doc_id")
+    rows, seen = _blanked(spark, sf)
     made = feed.top_feed(rows, views.word_topics(spark, sf), seen)
     return ntz(made.select(rank(), "doc_id", "query", "created_utc"), "created_utc")
 
 
+@register
+def feed_top10_by_day(spark, sf):
+    """The same feed from a compacted table, of which the newest days are read."""
+    path = new_work_dir(spark, "by-day")
+    rows, seen = _blanked(spark, sf)
+    tables.write_batch(rows, path, 0)
+    tables.compact(spark, path, schemas.POST, schemas.POST_KEY)
+    made = pages.newest_feed(spark, path, views.word_topics(spark, sf), seen)
+    return ntz(made.select(rank(), "doc_id", "query", "created_utc"), "created_utc")
+
+
 @register
 def feed_render(spark, sf):
     return feed.render(feed.top_feed(views.posts(spark, sf), views.word_topics(spark, sf)))
@@ -408,6 +445,32 @@ def posts_compacted(spark, sf):
     return ntz(tables.read_table(spark, path, schemas.POST, schemas.POST_KEY), "created_utc")
 
 
+@register
+def votes_from_changes(spark, sf):
+    """Totals moved by what an upsert of the sign-ups changes, that batch stored twice."""
+    posts_path, totals_path = new_work_dir(spark, "posts"), new_work_dir(spark, "totals")
+    rows = views.minute_posts(spark, sf)
+    upkeep.upsert_posts(rows, posts_path, totals_path, 0)
+    tables.compact(spark, posts_path, schemas.POST, schemas.POST_KEY)
+    again = rows.filter(F.col("subreddit") == "signup").withColumn("ups", F.col("ups") * 2)
+    for _ in range(2):
+        upkeep.upsert_posts(again, posts_path, totals_path, 1)
+    return ntz(upkeep.read_totals(spark, totals_path), "time_utc")
+
+
+@register
+def scan_topics(spark, sf):
+    """Posts of a registry's topics from a compacted table with later changes."""
+    path = new_work_dir(spark, "upsert")
+    rows = views.posts(spark, sf)
+    tables.write_batch(rows, path, 0)
+    tables.compact(spark, path, schemas.POST, schemas.POST_KEY)
+    again = rows.filter(F.col("subreddit") == "signup").withColumn("ups", F.col("ups") * 2)
+    tables.write_batch(again, path, 1)
+    return tables.read_keys(spark, path, schemas.POST, schemas.POST_KEY,
+                            views.word_topics(spark, sf), ["ups", "downs"]).drop("created_utc")
+
+
 @register
 def votes_upsert(spark, sf):
     """Open-ended totals replaced by the complete ones under the same keys."""
@@ -478,13 +541,6 @@ def _register(spark, path, queries):
     registry.register(registry.registrations(topics, "2024-01-01 00:00:00"), path)
 
 
-def _publish(topic, messages, parts: int = 3) -> None:
-    """One file, and so one micro-batch, per remainder of the up-votes."""
-    for part in range(parts):
-        some = messages.filter(F.col("ups") % parts == part)
-        topic.publish(ingest.to_values(some).coalesce(1))
-
-
 def _run_posts_stream(spark, sf):
     values, known, stored, checkpoint = (new_work_dir(spark, n) for n in (
         "values", "registry", "posts", "checkpoint"))
@@ -555,19 +611,26 @@ def stream_late_registry(spark, sf):
 
 @register
 def batch_metrics(spark, sf):
-    """Progress of a live matching run: batches and the messages of each."""
+    """Progress of a live matching run: batches and the messages of each.
+
+    The messages are published and matched in three turns, by up-votes.
+    """
     values, known, stored, checkpoint = (new_work_dir(spark, n) for n in (
         "values", "registry", "posts", "checkpoint"))
-    topic = FolderTopic(values, files_per_batch=1)
-    _publish(topic, views.event_messages(spark, sf))
+    topic = FolderTopic(values)
+    messages = views.event_messages(spark, sf)
     _register(spark, known, views.part_registry(spark, sf))
     log = metrics.ProgressLog(spark)
-    query = post_stream.start_posts(topic.stream(spark), known, stored, checkpoint, interval=None)
-    query.awaitTermination()
-    reports = log.table(query)
+    reports = []
+    for turn in range(3):
+        topic.publish(ingest.to_values(messages.filter(F.col("ups") % 3 == turn)))
+        query = post_stream.start_posts(topic.stream(spark), known, stored, checkpoint,
+                                        interval=None)
+        query.awaitTermination()
+        reports.append(log.table(query))
     log.close()
-    return reports.filter("messages > 0").select(
-        "batch_id", "messages", (F.col("duration_ms") > 0).alias("timed"))
+    return (reports[0].union(reports[1]).union(reports[2]).filter("messages > 0").select(
+        "batch_id", "messages", (F.col("duration_ms") > 0).alias("timed")))
 
 
 # Reads of a stored table by topic and time
@@ -583,10 +646,10 @@ def _compacted_stream(spark, sf):
 
 
 def _topic_and_cursor(spark, sf):
-    """The first word topic, and its newest sign-up post's time."""
+    """The first word topic, and two days before its newest sign-up post."""
     topic = views.word_topics(spark, sf).agg(F.min("query")).first()[0]
     row = views.cursor(spark, sf).filter(F.col("query") == topic).first()
-    return topic, row["lasttime"]
+    return topic, row["lasttime"] - timedelta(days=2)
 
 
 @register
@@ -621,6 +684,28 @@ def keyed_topic_series(spark, sf):
     return votes.topic_series(rows, topic)
 
 
+@register
+def delay_quantiles(spark, sf):
+    """Quantiles of event values, taken as milliseconds, from merged sketches by type.
+
+    Whether their exact ranks are within the stated error.
+    """
+    rows = views.table(spark, sf, "events").select(
+        "event_type", F.floor(F.col("value") * 1000).cast("bigint").alias("ms"))
+    sketches = metrics.quantile_sketch(rows, F.col("ms"), ("event_type",))
+    made = metrics.sketched_quantiles(sketches, (0.1, 0.5, 0.9, 0.99)).collect()
+    # The exact ranks of the four values, in one pass.
+    found = rows.agg(F.array(*[F.struct(
+        F.lit(r["share"]).alias("share"), F.lit(r["n"]).alias("n"),
+        F.count_if(F.col("ms") < r["value"]).alias("below"),
+        F.count_if(F.col("ms") <= r["value"]).alias("upto")) for r in made]).alias("q"))
+    ranks = found.select(F.explode("q").alias("q")).select("q.*")
+    error = metrics.SKETCH_ERROR
+    within = ((F.col("below") / F.col("n") <= F.col("share") + error)
+              & (F.col("upto") / F.col("n") >= F.col("share") - error))
+    return ranks.select("share", "n", within.alias("within"))
+
+
 @register
 def message_count(spark, sf):
     """Messages counted on the way by an observation, next to those written."""
@@ -646,25 +731,86 @@ def _drain(rows: DataFrame, spark, schema, key=None) -> DataFrame:
     return tables.read_batches(spark, path, schema).select(*schema.fieldNames())
 
 
+def _halves(rows):
+    """Seconds of the middle and of the end of the posts' time."""
+    at = F.unix_seconds("created_utc")
+    return rows.agg(F.floor((F.min(at) + F.max(at)) / 2), F.max(at)).first()
+
+
 @register
 def stream_hourly(spark, sf):
     """Hours closed two hours before the newest post, for registered words.
 
-    Four micro-batches: the earlier half of the time without every seventh post,
-    the third and the last quarter, and the posts left out, which come too late
-    (Spark drops by the watermark of the batch before the previous one).
+    Four turns: the earlier half of the time without every seventh post, the third
+    and the last quarter, and the posts left out, which come too late.
     """
-    path = new_work_dir(spark, "post-files")
+    path, known, stored, checkpoint = (new_work_dir(spark, n) for n in (
+        "post-files", "registry", "votes", "checkpoint"))
     rows = views.posts(spark, sf)
-    at = F.unix_seconds("created_utc")
-    half, end = rows.agg(F.floor((F.min(at) + F.max(at)) / 2), F.max(at)).first()
-    quarter = (half + end) // 2
+    half, end = _halves(rows)
+    at, quarter = F.unix_seconds("created_utc"), (half + end) // 2
     late = (at < half) & (F.col("doc_id").cast("bigint") % 7 == 0)
+    _register(spark, known, views.word_topics(spark, sf))
     for some in ((at < half) & ~late, at.between(half, quarter), at > quarter, late):
-        rows.filter(some).coalesce(1).write.mode("append").parquet(path)
-    made = vote_stream.closed_hours(_post_stream(spark, path, files_per_batch=1), "2 hours",
-                                    registry=views.word_topics(spark, sf))
-    return ntz(_drain(made, spark, schemas.VOTES), "time_utc")
+        rows.filter(some).write.mode("append").parquet(path)
+        vote_stream.start_votes(_post_stream(spark, path), stored, checkpoint, "2 hours",
+                                interval=None, registry_path=known).awaitTermination()
+    return ntz(tables.read_table(spark, stored, schemas.VOTES, schemas.VOTE_KEY), "time_utc")
+
+
+@register
+def stream_hourly_live(spark, sf):
+    """Words up to L registered from the start, the others after half of the time."""
+    path, known, stored, checkpoint = (new_work_dir(spark, n) for n in (
+        "post-files", "registry", "votes", "checkpoint"))
+    rows, words = views.posts(spark, sf), views.word_topics(spark, sf)
+    half, _ = _halves(rows)
+    at, early = F.unix_seconds("created_utc"), F.col("query") < "m"
+    for some, topics in ((at < half, early), (at >= half, ~early)):
+        _register(spark, known, words.filter(topics))
+        rows.filter(some).write.mode("append").parquet(path)
+        vote_stream.start_votes(_post_stream(spark, path), stored, checkpoint, "2 hours",
+                                interval=None, registry_path=known).awaitTermination()
+    return ntz(tables.read_table(spark, stored, schemas.VOTES, schemas.VOTE_KEY), "time_utc")
+
+
+@register
+def stream_registrations(spark, sf):
+    """Posts and registrations as two streams; a query is valid for ten days.
+
+    Words are registered at the first day's start, part names twelve days later:
+    those up to L together with the posts from then on, the others afterwards.
+    Upper-case words, of two days before the first, come in the second turn and
+    are too late.
+    """
+    posts_path, known, stored, checkpoint = (new_work_dir(spark, n) for n in (
+        "messages", "registrations", "matches", "checkpoint"))
+    messages = views.event_messages(spark, sf).select(
+        "id", "title", from_epoch("created_utc").alias("at"))
+    start = messages.agg(F.date_trunc("DAY", F.min("at"))).first()[0]
+    later = start + timedelta(days=12)
+    every, one = views.part_registry(spark, sf), ~F.contains("query", F.lit(" "))
+    names, early = every.filter(~one), F.col("query") < "m"
+    words = every.filter(one)
+    turns = (
+        (F.col("at") < F.lit(later), [(words, start)]),
+        (F.col("at") >= F.lit(later), [
+            (names.filter(early), later),
+            (words.select(F.upper("query").alias("query")), start - timedelta(days=2))]),
+        (F.lit(False), [(names.filter(~early), later)]))
+    for some, new in turns:
+        messages.filter(some).write.mode("append").parquet(posts_path)
+        for queries, at in new:
+            queries.select("query", F.lit(at).alias("registered_at")).write.mode("append").parquet(known)
+        rows = registrations.matches(
+            spark.readStream.schema(messages.schema).parquet(posts_path),
+            spark.readStream.schema(schemas.REGISTRY).parquet(known),
+            "at", "1 hour", "1 hour", "10 days")
+        post_stream.start(rows, post_stream.store(stored, checkpoint), checkpoint,
+                          interval=None).awaitTermination()
+    made = tables.read_batches(spark, stored, T.StructType.fromDDL(
+        "query string, doc_id string, created_utc timestamp, registered_at timestamp"))
+    return ntz(made.select("query", "doc_id", "created_utc"), "created_utc")
 
 
 @register
@@ -676,6 +822,15 @@ def stream_slides(spark, sf):
     return ntz(made, "until_utc")
 
 
+@register
+def stream_panes(spark, sf):
+    """The same counts from two aggregates in a row: minutes, then five of them."""
+    rows = _post_stream(spark, _post_files(spark, sf))
+    made = _drain(vote_stream.closed_panes(rows, "10 minutes"), spark,
+                  T.StructType.fromDDL("query string, until_utc timestamp, n bigint"))
+    return ntz(made, "until_utc")
+
+
 @register
 def stream_feed(spark, sf):
     """The merged feed after all micro-batches."""
@@ -705,3 +860,15 @@ def stream_cursor(spark, sf):
     query.awaitTermination()
     made = feed_stream.read_cursor(spark, path, query.lastProgress["batchId"])
     return ntz(made, "lasttime")
+
+
+@register
+def stream_cursor_state(spark, sf):
+    """The same cursors, read from the state of a stream that was started twice."""
+    path, checkpoint = new_work_dir(spark, "post-files"), new_work_dir(spark, "checkpoint")
+    rows = views.posts(spark, sf)
+    for part in range(2):
+        rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == part).write.mode("append").parquet(path)
+        feed_stream.start_cursors(_post_stream(spark, path), checkpoint,
+                                  interval=None).awaitTermination()
+    return ntz(feed_stream.cursors_in_state(spark, checkpoint), "lasttime")
