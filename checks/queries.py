@@ -17,7 +17,7 @@ from phrasetide.operators import feed, ingest, percolate, votes
 from phrasetide.plans import pages, upkeep
 from phrasetide.plans.digest import digest, digest_lines
 from phrasetide.session import new_work_dir, use_utc
-from phrasetide.sources import registry, replay, tables
+from phrasetide.sources import details, registry, replay, tables
 from phrasetide.sources.files import read_lines
 from phrasetide.sources.topic import FolderTopic
 from phrasetide.streaming import feed as feed_stream
@@ -367,20 +367,32 @@ def topic_list(spark, sf):
     return feed.topics_of(lists, "list")
 
 
-@register
-def enrich_by_id(spark, sf):
-    """Posts of small ids with title and votes of the document of that id.
-
-    About half are found; a third of the documents have no url.
-    """
+def _shown_and_details(spark, sf):
+    """Newest posts of small ids, and documents under such ids; a third have no url."""
     docs = views.document_posts(spark, sf).withColumnRenamed("id", "doc_id").withColumn(
         "url", F.when(F.col("doc_id").cast("bigint") % 3 != 0, F.col("url")))
     last = views.table(spark, sf, "documents").agg(2 * F.count("*")).scalar()
     rows = views.posts(spark, sf).filter(F.col("doc_id").cast("bigint") < last)
-    shown = feed.newest(rows).select("query", "doc_id", "title", "url", "ups", rank())
+    return feed.newest(rows).select("query", "doc_id", "title", "url", "ups", rank()), docs
+
+
+@register
+def enrich_by_id(spark, sf):
+    """Posts of small ids with title and votes of the document of that id, if there is one."""
+    shown, docs = _shown_and_details(spark, sf)
     return feed.enrich(shown, docs, ["title", "url", "ups", "gilded"])
 
 
+@register
+def enrich_by_bloom(spark, sf):
+    """The same from stored details, read by the Bloom filters of their ids."""
+    shown, docs = _shown_and_details(spark, sf)
+    path = new_work_dir(spark, "details")
+    details.write_details(docs, path, group_rows=100)
+    stored = details.read_details(spark, path, docs)
+    return feed.enrich_screen(shown, stored, ["title", "url", "ups", "gilded"])
+
+
 @register
 def new_ids(spark, sf):
     """Ids shown for topics about bolts but not for those about blue things."""
@@ -696,7 +708,7 @@ def delay_quantiles(spark, sf):
     made = metrics.sketched_quantiles(sketches, (0.1, 0.5, 0.9, 0.99)).collect()
     # The exact ranks of the four values, in one pass.
     found = rows.agg(F.array(*[F.struct(
-        F.lit(r["share"]).alias("share"), F.lit(r["n"]).alias("n"),
+        F.lit(r["share"]).alias("share"), F.lit(r["n"]).cast("bigint").alias("n"),
         F.count_if(F.col("ms") < r["value"]).alias("below"),
         F.count_if(F.col("ms") <= r["value"]).alias("upto")) for r in made]).alias("q"))
     ranks = found.select(F.explode("q").alias("q")).select("q.*")

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from phrasetide import schemas
 from phrasetide.functions.text import absolute_link, has_text, highlight, short_url, split_topics
 from phrasetide.functions.times import display_time, instant
-from phrasetide.operators.lookup import BROADCAST_BYTES, lookup_join, measured_bytes, row_bytes
+from phrasetide.operators.lookup import (
+    BROADCAST_BYTES, among, lookup_join, measured_bytes, row_bytes,
+)
 from phrasetide.operators.percolate import TOP_MATCHES
 from phrasetide.operators.votes import span_of
 
@@ -245,6 +247,25 @@ def enrich(feed: DataFrame, docs: DataFrame, columns: list[str],
     return joined.select(*kept, *[value.alias(c) for c, value in replaced.items()])
 
 
+# Rows of a feed whose ids are looked up one by one.
+SCREEN = 1000
+
+
+def enrich_screen(feed: DataFrame, docs: DataFrame, columns: list[str],
+                  limit: int = BROADCAST_BYTES) -> DataFrame:
+    """:func:`enrich` for at most a screenful of rows, reading few row groups of ``docs``.
+
+    The ids come to the driver and go into the scan as values to look for. From a
+    table with Bloom filters of its ids (:func:`details.write_details`) only those
+    row groups are read that may hold one of them. A longer feed is joined.
+    """
+    ids = [r["doc_id"] for r in feed.select("doc_id").filter(F.col("doc_id").isNotNull())
+           .distinct().limit(SCREEN + 1).collect()]
+    if len(ids) <= SCREEN:
+        docs = docs.filter(among("doc_id", ids))
+    return enrich(feed, docs, columns, limit)
+
+
 def new_ids(current: DataFrame, fetched: DataFrame, key: str = "doc_id") -> DataFrame:
     """Ids in ``current`` that were not fetched before, each once."""
     return current.select(key).subtract(fetched.select(key))

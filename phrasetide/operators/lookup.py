@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,3 +75,18 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str,
         return big.join(F.broadcast(small), on, how)
     big, small = salted(big, small, salt_by)
     return big.join(small, [*on, "_salt"], how).drop("_salt")
+
+
+# Values of one pushed-down list; Spark turns longer ones into a range of values.
+_LIST = 10
+
+
+def among(column: str, values: Sequence) -> Column:
+    """Whether ``column`` has one of ``values``, as lists that reach the Parquet reader.
+
+    Each list is tested there against a row group's statistics and Bloom filter.
+    """
+    found = F.lit(False)
+    for at in range(0, len(values), _LIST):
+        found = found | F.col(column).isin(list(values[at:at + _LIST]))
+    return found

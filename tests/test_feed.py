@@ -131,3 +131,32 @@ def test_new_ids(spark):
 def test_unseen(spark, posts):
     seen = posts(("q", day(1), "a")).select(F.col("doc_id"))
     assert keys(feed.unseen(posts(("r", day(1), "a"), ("r", day(1), "b")), seen)) == [("r", "b")]
+
+
+def test_a_screenful_of_ids_reads_few_row_groups(spark, tmp_path):
+    from phrasetide.sources import details
+    docs = spark.range(40_000).select(F.xxhash64("id").cast("string").alias("doc_id"),
+                                      F.col("id").cast("string").alias("title"))
+    path = str(tmp_path / "d")
+    details.write_details(docs.repartition(4), path, group_rows=200)
+    stored = details.read_details(spark, path, docs)
+    ids = [r.doc_id for r in docs.limit(12).collect()] + ["none"]
+    shown = spark.createDataFrame([(i, "old") for i in [*ids, None]], "doc_id string, title string")
+    made = feed.enrich_screen(shown, stored, ["title"])
+    got = made.collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        map(tuple, feed.enrich(shown, docs, ["title"]).collect()), key=str)
+    assert sum(r.title == "old" for r in got) == 2
+
+    def scanned(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return scanned(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return scanned(node.plan())
+        own = node.metrics().apply("numOutputRows").value() if name == "FileSourceScanExec" else 0
+        return own + sum(scanned(node.children().apply(i)) for i in range(node.children().size()))
+
+    assert 0 < scanned(made._jdf.queryExecution().executedPlan()) <= 40_000 / 10
+    long = feed.enrich_screen(docs.limit(2000).select("doc_id"), stored, ["title"])
+    assert long.count() == 2000
