@@ -320,6 +320,10 @@ SQL: dict[str, str] = {
                row_number() over (partition by p.query order by p.created_utc desc, p.doc_id) as rank
         from posts p join cursors c on c.query = p.query and p.created_utc > c.lasttime
     """, "posts", "cursors"),
+    "feed_since_ranged": _with("""
+        select query, doc_id, created_utc, rank from ranked
+        where query in (select query from word_topics)
+    """, "ranked", "word_topics"),
     "feed_since_shuffled": _with("""
         select p.query, p.doc_id, p.created_utc
         from posts p join cursors c on c.query = p.query and p.created_utc > c.lasttime

@@ -310,6 +310,14 @@ def feed_since_shuffled(spark, sf):
     return ntz(made.select("query", "doc_id", "created_utc"), "created_utc")
 
 
+@register
+def feed_since_ranged(spark, sf):
+    """All posts of the word topics in their order, ranked range by range."""
+    made = feed.in_order_by_ranges(tables.scan_posts(
+        views.posts(spark, sf), ["query", "created_utc", "doc_id"], views.word_topics(spark, sf)))
+    return ntz(made.select("query", "doc_id", "created_utc", rank()), "created_utc")
+
+
 @register
 def feed_poll(spark, sf):
     return ntz(feed.poll(views.posts(spark, sf), views.cursor(spark, sf)), "created_utc")

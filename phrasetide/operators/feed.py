@@ -13,6 +13,7 @@ from phrasetide.operators.lookup import (
 )
 from phrasetide.operators.percolate import TOP_MATCHES
 from phrasetide.operators.votes import span_of
+from phrasetide.session import new_work_dir
 
 FIRST_CALL = 2
 FEED_SIZE = 10
@@ -57,6 +58,30 @@ def in_order(rows: DataFrame) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(by_age))
 
 
+def in_order_by_ranges(rows: DataFrame) -> DataFrame:
+    """:func:`in_order` for responses of any length: no task ranks a whole topic.
+
+    Rows are written in ranges by topic and age. Each range ranks its own rows,
+    which follow those that the ranges before it hold of the same topic.
+    """
+    spark = rows.sparkSession
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_age = [F.desc("created_utc"), F.col("doc_id")]
+    path = new_work_dir(spark, "responses")
+    (rows.repartitionByRange(count, "query", *by_age)
+     .withColumn("_part", F.spark_partition_id()).write.parquet(path))
+    placed = spark.read.parquet(path)
+    before = (Window.partitionBy("query").orderBy("_part")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    # A row per topic and range: about as many as there are of both together.
+    starts = (placed.groupBy("query", "_part").agg(F.count("*").alias("n"))
+              .select("query", "_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start")))
+    nth = F.row_number().over(Window.partitionBy("query", "_part").orderBy(*by_age))
+    ranked = lookup_join(placed.withColumn("_nth", nth), starts, ["query", "_part"], "inner",
+                         ["doc_id"])
+    return ranked.select(*rows.columns, (F.col("_start") + F.col("_nth")).alias("rank"))
+
+
 def oldest_first(rows: DataFrame) -> DataFrame:
     """A response in the order its posts join the feed."""
     return rows.orderBy("created_utc", "doc_id")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from phrasetide.functions.text import highlight, short_url, split_topics
@@ -160,3 +161,14 @@ def test_a_screenful_of_ids_reads_few_row_groups(spark, tmp_path):
     assert 0 < scanned(made._jdf.queryExecution().executedPlan()) <= 40_000 / 10
     long = feed.enrich_screen(docs.limit(2000).select("doc_id"), stored, ["title"])
     assert long.count() == 2000
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_responses_ranked_by_ranges_are_in_order(spark, posts, parts):
+    rows = posts(*[(q, f"2024-01-01 10:{i % 60:02}:00", f"{i:03}") for q, n in
+                   (("hot", 300), ("a", 3), ("z", 1)) for i in range(n)])
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    got = feed.in_order_by_ranges(rows).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert sorted(got) == sorted(feed.in_order(rows).collect()) and len(got) == 304
+    assert feed.in_order_by_ranges(rows.limit(0)).count() == 0
