@@ -55,6 +55,34 @@ grouped as (
   from hashed)
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(body) as text_sha256
 from grouped""",
+    "op10_bbit_minhash": r"""
+with recursive split as (
+  select doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+                 else list_distinct(list_transform(range(1, len(w) - 2), lambda i:
+                        array_to_string(list_slice(w, i, i + 3), ' '))) end as s
+  from split),
+items as materialized (select doc_id, len(s) as n, md5(unnest(s)) as gram from sets),
+links as materialized (
+  select a, b from (
+    select x.doc_id as a, y.doc_id as b, any_value(x.n) as an, any_value(y.n) as bn,
+           count(*) as common
+    from items x join items y on x.gram = y.gram and x.doc_id <> y.doc_id
+      and 5 * x.n >= 4 * y.n and 5 * y.n >= 4 * x.n
+    group by x.doc_id, y.doc_id)
+  where 100 * common >= 80 * (an + bn - common)),
+reach as (
+  select doc_id, doc_id as other from documents
+  union
+  select r.doc_id, l.b from reach r join links l on l.a = r.other),
+components as (select doc_id, min(other) as component_id from reach group by doc_id)
+select doc_id, cast(len(s) as bigint) as n_shingles, component_id,
+       doc_id = component_id as kept
+from sets join components using (doc_id)""",
     "op12_threshold_resampling": r"""
 with crc_table as (
   select list(crc order by byte) as t from (

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import zlib
 
@@ -68,6 +69,33 @@ def test_mixtures(docs):
     assert 0.3 < both["en"] < 0.7
 
 
+def best_subset(model, text):
+    """The languages of largest penalised likelihood among all their subsets."""
+    found, counts = language.grams(text)
+    penalty = 0.5 * np.log(counts.sum() + 1)
+    scores = {}
+    for size in range(1, len(model.languages) + 1):
+        for subset in itertools.combinations(range(len(model.languages)), size):
+            chances = model.chances[found][:, subset].astype(np.float64)
+            shares = np.full(size, 1 / size)
+            for _ in range(300):
+                shares = shares * ((counts / (chances @ shares)) @ chances) / counts.sum()
+            scores[subset] = counts @ np.log(chances @ shares) - penalty * size
+    return set(max(scores, key=scores.get))
+
+
+def test_languages_are_those_of_the_best_subset(docs):
+    rng = random.Random(5)
+    model = language.fit(docs(*corpus(rng)))
+    agreed = tried = 0
+    for langs in (["en"], ["de"], ["fr", "en"], ["de", "fr"], ["en", "de", "fr"]):
+        for n in (5, 20, 80, 300):
+            sample = text(rng, *langs, n=n)
+            tried += 1
+            agreed += set(language.infer(model, sample)[0]) == best_subset(model, sample)
+    assert agreed >= 0.9 * tried
+
+
 def test_odd_texts_and_labels(docs):
     rows = [(i, t, None) for i, t in enumerate(TEXTS)] + [
         (100 + i, t, lang) for i, t, lang in corpus(random.Random(4), 60)]
