@@ -56,7 +56,7 @@ def test_query_equals_its_sql(spark, monkeypatch, name):
 
 def test_every_operator_is_registered_once():
     names = [n.split("_")[0] for n in driver.queries() if n.startswith("op")]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14))
     assert "pipeline" in driver.queries() and "pipeline" not in driver.oracle_sql()
 
 
