@@ -12,6 +12,9 @@ from phrasetide.session import shared_dir
 # Fixed value: messages sent between two pauses.
 SLICE_MESSAGES = 1250
 
+# Slices of one turn of a replay without pauses, at most; a turn is one file.
+TURN_SLICES = 500
+
 
 def number_rows(df: DataFrame, order: list[str], column: str = "n") -> DataFrame:
     """Number rows 1, 2, 3, ... in ``order`` without sorting them in one task.
@@ -68,25 +71,37 @@ def write_slices(sliced: DataFrame, path: str) -> None:
      .write.parquet(path))
 
 
-def read_slice(spark: SparkSession, path: str, slice_id: int) -> DataFrame:
-    """The values of one slice."""
+def read_slice(spark: SparkSession, path: str, slice_id: int, slices: int = 1) -> DataFrame:
+    """The values of one slice, or of ``slices`` from it on."""
     stored = spark.read.schema("slice_id bigint, value string").parquet(path)
-    return stored.filter(F.col("slice_id") == slice_id).select("value")
+    return stored.filter((F.col("slice_id") >= slice_id)
+                         & (F.col("slice_id") < slice_id + slices)).select("value")
+
+
+def turn_slices(spark: SparkSession, path: str) -> int:
+    """Slices a turn of a replay without pauses: an eighth of them, at most ``TURN_SLICES``.
+
+    A turn costs a job and a micro-batch, however small it is, so their number
+    must not follow that of the slices.
+    """
+    last = spark.read.schema("slice_id bigint").parquet(path).agg(F.max("slice_id")).first()[0]
+    return min(TURN_SLICES, 1 + (last or 0) // 8)
 
 
-def replay(spark: SparkSession, path: str, topic, pause: float = 1.0, first: int = 0) -> int:
-    """Publish the stored slices one after the other, ``pause`` seconds apart.
+def replay(spark: SparkSession, path: str, topic, pause: float = 1.0, first: int = 0,
+           slices: int = 1) -> int:
+    """Publish the stored slices, ``slices`` a turn, turns ``pause`` seconds apart.
 
-    A slice is published whole before the next one starts, so a stream that
+    A turn is published whole before the next one starts, so a stream that
     reads ``topic`` meets them in order; on a folder topic each is one file,
     and with ``files_per_batch=1`` one micro-batch. Returns the number after the
-    last one, from which a later replay can go on.
+    last slice, from which a later replay can go on.
     """
     stored = spark.read.schema("slice_id bigint, value string").parquet(path)
     last = stored.agg(F.max("slice_id")).first()[0]
-    for slice_id in range(first, -1 if last is None else last + 1):
-        topic.publish(read_slice(spark, path, slice_id).coalesce(1))
-        if slice_id < last:
+    for slice_id in range(first, -1 if last is None else last + 1, slices):
+        topic.publish(read_slice(spark, path, slice_id, slices).coalesce(1))
+        if slice_id + slices <= last:
             time.sleep(pause)
     return first if last is None else max(first, last + 1)
 

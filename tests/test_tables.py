@@ -149,6 +149,19 @@ def test_slices_are_replayed_in_order(spark, tmp_path):
     assert replay.replay(spark, path, topic, pause=0, first=4) == 4
 
 
+def test_slices_are_replayed_several_a_turn(spark, tmp_path):
+    path, topic = str(tmp_path / "slices"), FolderTopic(str(tmp_path / "topic"), files_per_batch=1)
+    replay.write_slices(replay.slices(spark.range(1000), ["id"], 10), path)
+    assert replay.turn_slices(spark, path) == 13
+    assert replay.replay(spark, path, topic, pause=0, slices=13) == 101
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
+    start(topic.stream(spark), store(out, checkpoint), checkpoint, interval=None).awaitTermination()
+    rows = tables.read_batches(spark, out, StructType.fromDDL("value string")).collect()
+    got = [sorted(json.loads(r.value)["id"] for r in rows if r.batch_id == n) for n in range(9)]
+    assert sum(got, []) == [*range(1000)]
+    assert [len(ids) for ids in got] == [129, 130, 130, 130, 130, 130, 130, 91, 0]
+
+
 def test_lines_of_subfolders_are_read(spark, tmp_path):
     for n, folder in enumerate(("", "a", "a/b")):
         (tmp_path / "in" / folder).mkdir(exist_ok=True)
