@@ -141,6 +141,11 @@ def cancel(query: StreamingQuery, *paths: str) -> None:
     Starting it again begins afresh. Paths that aren't there are passed over.
     """
     query.stop()
+    delete(*paths)
+
+
+def delete(*paths: str) -> None:
+    """Delete folders; those that aren't there are passed over."""
     for path in paths:
         system, folder = fs.FileSystem.from_uri(path)
         if system.get_file_info(folder).type == fs.FileType.Directory:

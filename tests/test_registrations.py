@@ -70,6 +70,56 @@ def test_long_phrases_and_repeated_registrations(run):
     assert got == [(long, "a"), ("two", "a"), ("two", "a"), ("two", "b"), ("two", "b")]
 
 
+@pytest.fixture
+def held(spark, tmp_path):
+    """The same turns with posts held as they are; the matches and how many rows are held."""
+    posts, known, rows, stored, checkpoint = (str(tmp_path / n) for n in ("p", "r", "h", "m", "c"))
+
+    def turn(new_posts, new_queries, valid="5 days"):
+        spark.createDataFrame([(i, t, at(d)) for i, t, d in new_posts], POSTS).write.mode(
+            "append").parquet(posts)
+        spark.createDataFrame([(q, at(d)) for q, d in new_queries], schemas.REGISTRY).write.mode(
+            "append").parquet(known)
+        registrations.start_matches(
+            spark.readStream.schema(POSTS).parquet(posts),
+            spark.readStream.schema(schemas.REGISTRY).parquet(known),
+            "at", "1 hour", "1 hour", valid, rows, stored, checkpoint,
+            interval=None).awaitTermination()
+        got = tables.read_batches(spark, stored, T.StructType.fromDDL(MATCHES)).collect()
+        return (sorted((r.query, r.doc_id) for r in got),
+                spark.read.parquet(f"{rows}/rows").count())
+    return turn
+
+
+def test_a_held_post_is_one_row_and_matches_like_the_join(held):
+    first = held([("a", "Old York", "01 10:00"), ("b", "old york bridge", "02 10:00"),
+                  ("none", None, "02 10:00"), ("c", "York", "09 00:00")],
+                 [("york", "02 10:00"), ("!!!", "01 00:00")])
+    assert first == ([("york", "b")], 5)
+    second, _ = held([], [("old york bridge", "02 09:30"), ("OLD york", "02 10:01")])
+    assert second == [("old york bridge", "b"), ("york", "b")]
+
+
+def test_late_rows_are_dropped_and_passed_ones_freed(held):
+    held([("a", "york", "05 10:00")], [("york", "05 09:00")])
+    got, rows = held([("b", "york", "05 07:00"), ("d", "bridge", "05 11:00"),
+                      ("e", "york bridge", "05 12:00")],
+                     [("bridge", "05 07:59"), ("Bridge", "05 11:30")])
+    assert got == [("Bridge", "e"), ("york", "a"), ("york", "e")] and rows == 5
+    held([("f", "none", "30 00:00")], [("none", "30 00:00")])
+    got, rows = held([("g", "none", "30 01:00"), ("h", "york", "05 12:00")], [])
+    assert got[:2] == [("Bridge", "e"), ("none", "f")] and len(got) == 5 and rows == 3
+    assert held([], [("none", "30 00:30")]) == (sorted([*got, ("none", "g")]), 4)
+
+
+def test_held_long_phrases_and_repeated_registrations(held):
+    long = "one two three four five"
+    got, _ = held([("a", "zero one two three four five six", "01 10:00"),
+                   ("b", "one two three four six five", "01 10:00")],
+                  [(long, "01 09:00"), ("two", "01 09:00"), ("two", "01 09:30"), ("one three", "01 09:00")])
+    assert got == [(long, "a"), ("two", "a"), ("two", "a"), ("two", "b"), ("two", "b")]
+
+
 def slides(rows):
     return sorted((r.query, r.until_utc, r.n) for r in rows.collect())
 
