@@ -20,9 +20,12 @@ AMOUNTS = ("ups", "downs", "posts")
 
 
 def one_per_key(rows: DataFrame, key: Sequence[str] = schemas.POST_KEY) -> DataFrame:
-    """A batch's rows, of a key that is there twice the largest, as a stored table keeps it."""
+    """A batch's rows, of a key that is there twice the largest, as a stored table keeps it.
+
+    Rows are shuffled before they are merged, so that they are sorted once.
+    """
     rest = [c for c in rows.columns if c not in key]
-    best = rows.groupBy(*key).agg(F.max(F.struct(*rest)).alias("k"))
+    best = rows.repartition(*key).groupBy(*key).agg(F.max(F.struct(*rest)).alias("k"))
     return best.select(*[F.col(c) if c in key else F.col(f"k.{c}") for c in rows.columns])
 
 

@@ -77,6 +77,33 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str,
     return big.join(small, [*on, "_salt"], how).drop("_salt")
 
 
+# Bits of a bitmap per key: one other key in nine passes it.
+KEY_BITS = 8
+
+
+def marked_by_bitmap(rows: DataFrame, keys: DataFrame, on: list[str], column: str,
+                     limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``rows`` with the boolean ``column``: false only where ``keys`` lack the row's key.
+
+    A bitmap of the keys' hashes is broadcast, ``KEY_BITS`` for each key as far as
+    ``limit`` bytes go, so that rows it rules out need no shuffle. Rows whose key
+    has a null are false.
+    """
+    count = keys.count()
+    bits = max(1 << 15, min(1 << (KEY_BITS * count).bit_length(), 1 << (4 * limit).bit_length()))
+    place = F.pmod(F.xxhash64(*on), F.lit(bits))
+    blocks = (keys.groupBy(F.bitmap_bucket_number(place).alias("_block"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits")))
+    byte = F.conv(F.hex(F.substring("_bits", (F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    found = F.getbit(byte.cast("int"), F.pmod("_at", F.lit(8)).cast("int")) == 1
+    for c in on:
+        found = found & F.col(c).isNotNull()
+    return (rows.withColumns({"_block": F.bitmap_bucket_number(place),
+                              "_at": F.bitmap_bit_position(place)})
+            .join(F.broadcast(blocks), "_block", "left")
+            .withColumn(column, F.coalesce(found, F.lit(False))).drop("_block", "_at", "_bits"))
+
+
 # Values of one pushed-down list; Spark turns longer ones into a range of values.
 _LIST = 10
 

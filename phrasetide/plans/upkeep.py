@@ -24,19 +24,20 @@ def upsert_posts(rows: DataFrame, posts_path: str, totals_path: str, batch_id: i
     doesn't count then, neither as old posts nor as old totals.
     """
     spark, skip = rows.sparkSession, (run, batch_id)
-    rows = one_per_key(rows.select(*schemas.POST_COLUMNS))
+    tables.write_batch(one_per_key(rows.select(*schemas.POST_COLUMNS)), posts_path, batch_id, run)
+    # Merged once: from here on the stored rows are read.
+    rows = tables.read_batch(spark, posts_path, schemas.POST, batch_id, run)
     old = _known(spark, posts_path, schemas.POST, schemas.POST_KEY, rows, ["ups", "downs"], skip)
     path = new_work_dir(spark, "vote-changes")
     vote_changes(changes_of(rows, old), bounds, first_hour).write.parquet(path)
     moves = spark.read.parquet(path)
-    tables.write_batch(rows, posts_path, batch_id, run)
     before = _known(spark, totals_path, schemas.VOTE_TOTALS, schemas.VOTE_KEY, moves, None, skip)
     tables.write_batch(moved_totals(before, moves), totals_path, batch_id, run)
 
 
 def _known(spark, path, schema, key, keys, columns, skip) -> DataFrame:
-    """What a table holds of ``keys``; nothing as long as it has no batch."""
-    if not tables.exists(spark, path):
+    """What a table holds of ``keys``; nothing as long as it has no other batch."""
+    if not tables.exists(spark, path) or not tables.live_entries(spark, path, skip):
         return spark.createDataFrame([], schema)
     return tables.read_keys(spark, path, schema, key, keys, columns, skip)
 

@@ -22,12 +22,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phrasetide.operators.lookup import BROADCAST_BYTES, lookup_join, row_bytes
-from phrasetide.session import path_exists
+from phrasetide.operators.lookup import (
+    BROADCAST_BYTES, lookup_join, marked_by_bitmap, measured_bytes, row_bytes,
+)
+from phrasetide.session import path_exists, stored_bytes
 
 # Buckets of topics in a compacted folder.
 BUCKETS = 8
 
+# Stored bytes whose rows one task sorts at a time.
+TASK_BYTES = 32 * 1024 * 1024
+
 _MANIFEST = ("run string, batch_id bigint, place bigint, copy string, at bigint, "
              "covers array<string>, bucketed boolean")
 _FOLDER = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType()),
@@ -117,21 +122,61 @@ def _read(spark: SparkSession, path: str, schema: T.StructType,
             .parquet(*[e.folder(path) for e in entries]))
 
 
+def read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int,
+               run: str = "main") -> DataFrame:
+    """The rows of one batch, as last written."""
+    newest = max(_entries_of(spark, path, run, batch_id), key=lambda e: e.at)
+    return _read(spark, path, schema, [newest]).select(*schema.fieldNames())
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All rows, replaced ones included, with their ``run``, ``batch_id`` and ``place``."""
     return _read(spark, path, schema, live_entries(spark, path)).drop("copy")
 
 
-def newest_per_key(batches: DataFrame, key: Sequence[str]) -> DataFrame:
+def task_count(spark: SparkSession, path: str, entries: Sequence[Entry]) -> tuple[int, ...]:
+    """Partitions for a shuffle of folders' rows: none, if Spark's own number is enough."""
+    needed = -(-stored_bytes(spark, *[e.folder(path) for e in entries]) // TASK_BYTES)
+    return (needed,) if needed > int(spark.conf.get("spark.sql.shuffle.partitions")) else ()
+
+
+def newest_per_key(batches: DataFrame, key: Sequence[str], tasks: Sequence[int] = ()) -> DataFrame:
     """The row of the newest batch (largest ``place``) for each key.
 
     Filters on key columns of the result reach the Parquet scan, since they are
     the grouping columns here. A key twice in one batch keeps its largest row.
+    Rows are shuffled before they are merged, so that they are sorted once.
+    """
+    return _merged(batches.repartition(*tasks, *key), key)
+
+
+def _merged(placed: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The newest row of each key; ``by`` are the key and what follows from it."""
+    rest = [c for c in placed.columns if c not in by and c != "place"]
+    best = placed.groupBy(*by).agg(F.max(F.struct("place", *rest)).alias("k"))
+    return best.select(*[F.col(c) if c in by else F.col(f"k.{c}")
+                         for c in placed.columns if c != "place"])
+
+
+def _with_recent(old: DataFrame, recent: DataFrame, place: int, key: Sequence[str],
+                 limit: int, tasks: Sequence[int]) -> DataFrame:
+    """Rows of a compacted folder, of which each is the only one of its key, and later ones.
+
+    Old rows whose keys were written since go; up to ``limit`` these keys are broadcast.
+    Beyond it a bitmap of them is, old rows that it rules out stay where they
+    are, and the others are merged with the later ones in one shuffle.
     """
-    rest = [c for c in batches.columns if c not in key and c != "place"]
-    best = batches.groupBy(*key).agg(F.max(F.struct("place", *rest)).alias("k"))
-    return best.select(*[F.col(c) if c in key else F.col(f"k.{c}")
-                         for c in batches.columns if c != "place"])
+    keys = recent.select(*key)
+    size = measured_bytes(keys)
+    if size > limit:
+        size = measured_bytes(keys.distinct())
+    if size <= limit:
+        kept = old.join(F.broadcast(keys.distinct()), list(key), "left_anti")
+        return kept.unionByName(newest_per_key(recent, key, tasks))
+    marked = marked_by_bitmap(old, keys, list(key), "_again", limit)
+    again = marked.filter("_again").drop("_again").withColumn("place", F.lit(place - 1))
+    return (marked.filter("not _again").drop("_again")
+            .unionByName(newest_per_key(again.unionByName(recent), key, tasks)))
 
 
 def bucket_of(topic: str | Column) -> Column:
@@ -181,14 +226,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, key: Sequen
         return rows
 
     recent = narrowed(_read(spark, path, schema, later), False).select(*wanted, "place")
+    tasks = task_count(spark, path, entries)
     if base is None:
-        return newest_per_key(recent, key)
+        return newest_per_key(recent, key, tasks)
     old = narrowed(_read(spark, path, schema, [base], _LAYOUT), True).select(*wanted)
     if not later:
         return old
-    replaced = lookup_join(old, recent.select(*key).distinct(), list(key), "left_anti",
-                           list(key), limit)
-    return replaced.unionByName(newest_per_key(recent, key))
+    return _with_recent(old, recent, base.place, key, limit, tasks)
 
 
 def stored_days(spark: SparkSession, path: str) -> list[date]:
@@ -213,14 +257,15 @@ def read_keys(spark: SparkSession, path: str, schema: T.StructType, key: Sequenc
     Of a compacted folder the buckets (and, with whole keys, the days) that
     ``keys`` turn out to have are read: Spark prunes its partitions when the
     broadcast of the keys is there. Folders written since are scanned from the
-    keys' first time on. Keys beyond ``limit`` bytes meet the rows in a salted
-    shuffle instead. ``skip`` names a batch whose rows don't count.
+    keys' first time on. Keys beyond ``limit`` bytes meet the rows in a shuffle
+    instead, whole keys only the rows that a bitmap of them lets pass. ``skip`` names a batch whose rows don't count.
     """
     on = [c for c in key if c in keys.columns]
     wanted = [f.name for f in schema
               if columns is None or f.name in key or f.name in columns]
-    keys = keys.select(*on).distinct()
     timed = len(on) > 1
+    # A semi-join asks for no distinct keys; topics are made few for the broadcast.
+    keys = keys.select(*on) if timed else keys.select(*on).distinct()
     size, first = keys.agg(F.sum(row_bytes(keys)), F.min(key[1]) if timed else F.lit(None)).first()
     entries = live_entries(spark, path, skip)
     base = entries[0] if entries and entries[0].bucketed else None
@@ -232,19 +277,22 @@ def read_keys(spark: SparkSession, path: str, schema: T.StructType, key: Sequenc
             {"day": F.to_date(key[1])} if timed else {})})
         # Pruning at run time asks for keys that a filter has made fewer.
         some = some.select(*extra, *on).filter(F.col(on[0]).isNotNull() & (F.col(on[0]) >= ""))
+        if timed and (size or 0) > limit:
+            # Most rows have none of the keys, and a whole key has few rows: no salt.
+            rows = marked_by_bitmap(rows, keys, on, "_known", limit).filter("_known").drop("_known")
+            return rows.join(some.hint("shuffle_hash"), [*extra, *on], "left_semi")
         return lookup_join(rows, some, [*extra, *on], "left_semi", list(key), limit, size or 0)
 
     later = of_keys(_read(spark, path, schema, entries[1:] if base else entries))
     recent = later.select(*wanted, "place")
+    tasks = task_count(spark, path, entries)
     if base is None:
-        return newest_per_key(recent, key)
+        return newest_per_key(recent, key, tasks)
     old = of_keys(_read(spark, path, schema, [base], _LAYOUT),
                   ["bucket", "day"] if timed else ["bucket"]).select(*wanted)
     if len(entries) == 1:
         return old
-    replaced = lookup_join(old, recent.select(*key).distinct(), list(key), "left_anti",
-                           list(key), limit)
-    return replaced.unionByName(newest_per_key(recent, key))
+    return _with_recent(old, recent, base.place, key, limit, tasks)
 
 
 def compact(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str]) -> None:
@@ -258,13 +306,20 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[
     if not covered:
         return
     topic, at = key[0], key[1]
-    rows = read_table(spark, path, schema, key).withColumns(
+    base = covered[:1] if covered[0].bucketed else []
+    rows = _read(spark, path, schema, covered[len(base):])
+    if base:
+        rows = rows.unionByName(_read(spark, path, schema, base, _LAYOUT).select(*rows.columns))
+    rows = rows.select(*schema.fieldNames(), "place").withColumns(
         {"bucket": bucket_of(topic), "day": F.to_date(at)})
     # The copy's name goes in first: an unfinished folder is in no manifest.
     now = max([time.time_ns() // 1000, *(e.at + 1 for e in _entries(spark, path))])
     entry = Entry(f"compact-{uuid.uuid4().hex}", 0, max(e.place for e in covered),
                   uuid.uuid4().hex, now, tuple(e.copy for e in covered), True)
-    (rows.repartitionByRange("bucket", "day", *key).sortWithinPartitions("bucket", "day", *key)
+    # Bucket and day follow from the key: rows of a key are in one range, and merged there.
+    by = ["bucket", "day", *key]
+    ranged = rows.repartitionByRange(*task_count(spark, path, covered), *by)
+    (_merged(ranged, by).sortWithinPartitions(*by)
      .write.partitionBy("bucket", "day").parquet(entry.folder(path)))
     _add(spark, path, entry)
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from phrasetide import schemas
-from phrasetide.operators import changes, feed, votes
+from phrasetide.operators import changes, feed, lookup, votes
 from phrasetide.plans import pages, upkeep
 from phrasetide.sources import tables
 from tests.test_plans import plan
@@ -183,3 +183,23 @@ def test_the_feed_by_days_goes_back_past_seen_and_untitled_posts(spark, by_day,
                              ("r", "2024-01-03", "b")), path, 0)
     assert [r.doc_id for r in pages.newest_feed(spark, path).orderBy("rank").collect()] == ["b", "a"]
     assert pages.newest_feed(spark, path, topics).count() == 0
+
+
+def test_rows_written_since_meet_only_old_rows_of_their_keys(spark, posts, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(f"q{i % 7}", f"2024-01-{1 + i % 20:02} 10:00:00", f"d{i}", i, 0) for i in range(300)]
+    tables.write_batch(posts(*rows), path, 0)
+    tables.compact(spark, path, schemas.POST, schemas.POST_KEY)
+    again = [(*r[:3], 1000, 1) for r in rows[::30]]
+    tables.write_batch(posts(*again, again[0], ("q1", None, "d1"), ("new", *rows[0][1:])), path, 1)
+    read = lambda **more: tables.read_table(spark, path, schemas.POST, schemas.POST_KEY, **more)
+    want = sorted(map(repr, read().collect()))
+    shuffled = read(limit=0)
+    assert len(want) == 302 and sorted(map(repr, shuffled.collect())) == want
+    assert "LeftAnti" not in plan(shuffled)  # that would shuffle every old row
+    marked = lookup.marked_by_bitmap(posts(*rows), posts(*again), ["query", "doc_id"], "known")
+    assert 10 <= marked.filter("known").count() < 100
+    # What was compacted is merged with what came later, again in one shuffle.
+    tables.compact(spark, path, schemas.POST, schemas.POST_KEY)
+    assert len(tables.live_entries(spark, path)) == 1
+    assert sorted(map(repr, read().collect())) == want
