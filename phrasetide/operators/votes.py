@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phrasetide.functions.numbers import percent_change, percent_label
@@ -15,6 +15,9 @@ FIRST_HOUR = "2007-01-01 00:00:00"
 HOUR_SECONDS = 3600
 TRAILING_SECONDS = 300
 
+# Length of a slice of trailing counts, in look-backs.
+SLICE_SPANS = 12
+
 
 def inside_hour(posts: DataFrame, at: str = "created_utc") -> DataFrame:
     """Drop posts that fall exactly on an hour (both ends of the hour are open)."""
@@ -152,21 +155,29 @@ def span_of(known: DataFrame) -> tuple[int, int | None, int | None]:
 def trailing_counts(posts: DataFrame, seconds: int = TRAILING_SECONDS) -> DataFrame:
     """Posts per topic in the ``seconds`` up to each second it has a post in.
 
-    Seconds are counted first and then summed over time slices as long as the
-    look-back, each slice also getting its predecessor's rows. A window group
-    is at most two slices of seconds, whatever the number of posts.
+    Seconds are counted first and then summed over time slices of
+    ``SLICE_SPANS`` look-backs, each slice also getting the last look-back of its
+    predecessor: only these rows are there twice. A window group is at most a
+    slice and a look-back of seconds, whatever the number of posts.
     """
-    per_second = _per_second(posts)
-    slice_ = F.floor(F.col("sec") / seconds)
-    placed = per_second.withColumn(
-        "_slice", F.explode(F.array(slice_, slice_ + 1)))
+    placed = _in_slices(_per_second(posts), seconds)
     back = (Window.partitionBy("query", "_slice").orderBy("sec")
             .rangeBetween(-seconds, Window.currentRow))
     return (placed.withColumn("n", F.sum("n").over(back))
-            .filter(F.col("_slice") == slice_)
+            .filter(F.col("_slice") == _slice_of("sec", seconds))
             .select("query", F.timestamp_seconds("sec").alias("until_utc"), "n"))
 
 
+def _slice_of(sec: str, seconds: int, ahead: int = 0) -> Column:
+    return F.floor((F.col(sec) + ahead) / (SLICE_SPANS * seconds))
+
+
+def _in_slices(per_second: DataFrame, seconds: int) -> DataFrame:
+    """Seconds in every ``_slice`` that looks back on them: their own, or the next, too."""
+    return per_second.withColumn("_slice", F.explode(F.array_distinct(F.array(
+        _slice_of("sec", seconds), _slice_of("sec", seconds, ahead=seconds)))))
+
+
 def _per_second(posts: DataFrame) -> DataFrame:
     return (posts.groupBy("query", F.unix_seconds("created_utc").alias("sec"))
             .agg(F.count("*").alias("n")))

@@ -83,6 +83,15 @@ def test_trailing_counts_equal_brute_force(spark, posts):
     assert got == {s: sum(1 for x in at if s - 300 <= x <= s) for s in set(at)}
 
 
+def test_few_seconds_are_looked_back_on_from_two_slices(posts):
+    rows = posts(*[("q", f"2024-01-01 {h}:{m:02}:{s:02}", f"d{h}-{m}-{s}")
+                   for h in (10, 11) for m in range(60) for s in (0, 20, 40)])
+    got = {r.until_utc.strftime("%H:%M:%S"): r.n for r in votes.trailing_counts(rows).collect()}
+    assert len(got) == 360 and got["10:00:40"] == 3 and got["11:00:00"] == got["11:05:00"] == 16
+    # Of an hour, a slice, only the last five minutes.
+    assert votes._in_slices(votes._per_second(rows), 300).count() == 360 + 2 * 15
+
+
 def test_count_at_cursor(spark, posts):
     rows = posts(("q", "2024-01-01 00:00:00", "a"), ("q", "2024-01-01 00:05:00", "b"),
                  ("q", "2024-01-01 00:05:01", "c"), ("r", "2024-01-01 00:05:00", "d"))
