@@ -214,9 +214,15 @@ def _reach(shown: DataFrame, seen: DataFrame | None, k: int) -> int | None:
 
 
 def newest_posts(rows: DataFrame, k: int = FEED_SIZE) -> DataFrame:
-    """The ``k`` newest posts of a micro-batch, each once: :func:`top_feed` in one pass."""
-    merged = merge_topics(rows.filter(has_text("title")))
-    return merged.orderBy(F.desc("created_utc"), "doc_id").limit(k)
+    """The ``k`` newest posts of a micro-batch, each once, as :func:`top_feed` gives them.
+
+    Two columns tell how far back they reach, and only rows since then are merged,
+    however many a batch has. Rows without a time come last.
+    """
+    shown = rows.filter(has_text("title"))
+    reach = F.timestamp_micros(F.lit(_reach(shown, None, k)).cast("bigint"))
+    recent = shown.filter((F.col("created_utc") >= reach) | F.col("created_utc").isNull())
+    return merge_topics(recent).orderBy(F.desc("created_utc"), "doc_id").limit(k)
 
 
 def extend_feed(feed: DataFrame, arrived: DataFrame, k: int = FEED_SIZE) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from phrasetide.functions.text import highlight, short_url, split_topics
 from phrasetide.functions.times import display_time, instant
 from phrasetide.operators import feed
+from tests.test_plans import plan
 
 
 def day(n, second=0):
@@ -87,6 +89,15 @@ def test_extend_feed_keeps_what_was_shown(posts):
     assert keys(got) == [("a", "y"), ("b", "x")]
 
 
+def test_only_the_newest_rows_of_a_batch_are_merged(posts):
+    rows = posts(*[(q, day(1 + i), f"d{i}") for i in range(25) for q in "ba"], ("c", None, "late"))
+    got = feed.newest_posts(rows, 3)
+    assert keys(got) == [("a", "d24"), ("a", "d23"), ("a", "d22")]
+    assert re.search(r"Filter .*>= 2024-01-", plan(got))
+    few = posts(("b", day(1), "x"), ("c", None, "late"), ("a", day(1), "x"), ("a", day(3), "", 1, 0, ""))
+    assert keys(feed.newest_posts(few, 3)) == [("a", "x"), ("c", "late")]
+
+
 def test_render(posts):
     rows = posts(("york", day(2), "b", 4, 2, "new york, york"), ("york", day(1), "a", 1, 0, "old"))
     got = feed.render(feed.top_feed(rows)).orderBy("ui_id").collect()
