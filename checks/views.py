@@ -16,7 +16,7 @@ from phrasetide.operators.feed import advance_cursor
 from phrasetide.operators.ingest import read_messages
 from phrasetide.operators.votes import hourly_votes
 from phrasetide.plans.digest import digest
-from phrasetide.session import new_work_dir
+from phrasetide.session import new_work_dir, stored_bytes
 from phrasetide.sources.files import read_lines, spread
 
 
@@ -164,6 +164,11 @@ def _posts_path(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def posts_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Bytes of the files that :func:`posts` reads."""
+    return stored_bytes(spark, _posts_path(spark, sf_dir))
+
+
 def minute_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored posts with whole-minute times, so that some fall on the hour."""
     return posts(spark, sf_dir).withColumn("created_utc", F.date_trunc("MINUTE", "created_utc"))
