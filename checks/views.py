@@ -35,7 +35,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One post per event; its title is made of three part names."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     part = table(spark, sf_dir, "part")
     parts = part.agg(F.count("*")).scalar()
     for i, factor in enumerate((1, 7, 13), start=1):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from checks import queries, views
@@ -17,3 +19,15 @@ def test_files_of_a_stream_grow_in_number_not_in_size(spark, posts, monkeypatch)
             files = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
             assert got == each and sum(r["count"] for r in files) == 400
             assert each == 1 or max(r["count"] for r in files) < 300
+
+
+def test_events_of_one_file_are_made_into_posts_by_all_cores(spark, tmp_path):
+    spark.createDataFrame(
+        [(i, datetime(2024, 1, 1), i, "view", 2.0, "{}") for i in range(50)],
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,"
+        "props string").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    spark.createDataFrame([(i, f"name {i}") for i in range(20)], "p_partkey bigint, p_name string") \
+        .coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    made = views.event_posts(spark, str(tmp_path))
+    assert made.count() == 50
+    assert made.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
