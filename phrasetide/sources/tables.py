@@ -189,7 +189,8 @@ _LAYOUT = [T.StructField("bucket", T.IntegerType()), T.StructField("day", T.Date
 def read_table(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str],
                columns: Sequence[str] | None = None, topics: Sequence[str] | None = None,
                after=None, limit: int = BROADCAST_BYTES,
-               days: tuple[date | None, date | None] = (None, None)) -> DataFrame:
+               days: tuple[date | None, date | None] = (None, None),
+               merged: bool = True) -> DataFrame:
     """The table's current rows: the key and ``columns`` (default all).
 
     ``topics`` (first key column), ``after`` (second key column, a time,
@@ -197,7 +198,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, key: Sequen
     the read; in a compacted folder they leave whole buckets and days unread. Rows of a compacted folder have one version each: they are
     read without a shuffle, but for the keys written since, which are few and
     broadcast (beyond ``limit`` shuffled). Only rows written since are merged.
-    Columns not asked for are neither read nor shuffled.
+    Columns not asked for are neither read nor shuffled. Without ``merged`` all
+    versions come, with their ``place``.
     """
     wanted = [f.name for f in schema
               if columns is None or f.name in key or f.name in columns]
@@ -226,6 +228,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, key: Sequen
         return rows
 
     recent = narrowed(_read(spark, path, schema, later), False).select(*wanted, "place")
+    if not merged:
+        return recent if base is None else recent.unionByName(narrowed(
+            _read(spark, path, schema, [base], _LAYOUT), True).select(*wanted, "place"))
     tasks = task_count(spark, path, entries)
     if base is None:
         return newest_per_key(recent, key, tasks)
@@ -306,11 +311,7 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[
     if not covered:
         return
     topic, at = key[0], key[1]
-    base = covered[:1] if covered[0].bucketed else []
-    rows = _read(spark, path, schema, covered[len(base):])
-    if base:
-        rows = rows.unionByName(_read(spark, path, schema, base, _LAYOUT).select(*rows.columns))
-    rows = rows.select(*schema.fieldNames(), "place").withColumns(
+    rows = read_table(spark, path, schema, key, merged=False).withColumns(
         {"bucket": bucket_of(topic), "day": F.to_date(at)})
     # The copy's name goes in first: an unfinished folder is in no manifest.
     now = max([time.time_ns() // 1000, *(e.at + 1 for e in _entries(spark, path))])
