@@ -48,6 +48,16 @@ def test_odd_texts(text):
     assert np.frombuffer(word_codec.encode(text), "<u4").tolist() == ids_of(word_library, text)
 
 
+def test_signs_behind_words_are_encoded_once(monkeypatch):
+    codec, asked = packing.WordCodec(WORDS), []
+    encode = codec._encode_other
+    monkeypatch.setattr(codec, "_encode_other", lambda text: asked.append(text) or encode(text))
+    codec.signs.encode = codec._encode_other
+    text = "One. Two, three. Four, five!? six. Seven!?"
+    assert np.frombuffer(codec.encode(text), "<u4").tolist() == ids_of(word_library, text)
+    assert sorted(asked) == ["!?", ",", "."]
+
+
 def test_broken_bytes_decode_as_the_library_does():
     ids = ids_of(byte_library, "東🎉")[:-1]
     assert byte_codec.decode(ids) == byte_library.decode(ids, skip_special_tokens=False)
