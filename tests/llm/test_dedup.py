@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from phrasetide.llm import components, exact_dedup, line_dedup, minhash
 from tests.llm.conftest import TEXTS
@@ -245,6 +246,28 @@ def test_lines_equal_brute_force(docs, monkeypatch, small):
     assert {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in got} == want
 
 
+def test_long_similar_lines_equal_brute_force(docs):
+    rng = random.Random(5)
+    rows = []
+    for n in (60, 64, 66, 80, 150, 400):
+        base = [f"w{n}x{i}" for i in range(n)]
+        for k in range(6):  # up to and beyond a ninth of the words are others
+            line = base[rng.randrange(n // 6):] + [f"o{n}y{k}z{i}" for i in range(n // 12)]
+            rows.append((len(rows) * 7 % 37, " ".join(rng.sample(line, len(line)))))
+    got = line_dedup.without_repeated_lines(docs(*rows)).collect()
+    want = line_brute(rows)
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in got} == want
+    assert 0 < sum(removed for _, removed, _ in want.values()) < len(rows)
+
+
+def test_the_first_round_sends_few_rows(docs):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(100))) for i in range(5)]
+    marked = line_dedup._marked(line_dedup._lines(docs(*rows, (9, "a b"), (10, "a b"))))
+    sets = marked.filter(F.col("prefix").isNotNull())
+    assert sorted(size for size, in sets.select(F.size("prefix")).collect()) == [1] + [21] * 5
+    assert line_dedup._first_rows(sets).count() == 5 * line_dedup.FIRST_WORDS + 1
+
+
 def test_line_odd_tables(empty, clashing, docs):
     assert line_dedup.without_repeated_lines(empty).count() == 0
     got = line_dedup.without_repeated_lines(clashing("a b\na b", None, "\n")).collect()
