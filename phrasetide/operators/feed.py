@@ -15,6 +15,9 @@ from phrasetide.operators.percolate import TOP_MATCHES
 from phrasetide.operators.votes import span_of
 from phrasetide.session import new_work_dir
 
+# Bytes of whole rows that one task sorts when posts are merged.
+SORT_BYTES = 32 * 1024 * 1024
+
 FIRST_CALL = 2
 FEED_SIZE = 10
 
@@ -150,8 +153,20 @@ def unseen(posts: DataFrame, seen: DataFrame, limit: int = BROADCAST_BYTES) -> D
                        ["query"], limit)
 
 
-def merge_topics(posts: DataFrame) -> DataFrame:
-    """Each post once across topics: its smallest query, at its newest time."""
+def merge_topics(posts: DataFrame, sort_bytes: int = SORT_BYTES) -> DataFrame:
+    """Each post once across topics: its smallest query, at its newest time.
+
+    Whole rows are sorted by id to be merged. The measured size of ``posts`` tells
+    into how many pieces they go first, so that a task sorts about ``sort_bytes``
+    however large the table is.
+    """
+    spark = posts.sparkSession
+    pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                 -(-measured_bytes(posts) // sort_bytes))
+    return _merged(posts.repartition(pieces, "doc_id"))
+
+
+def _merged(posts: DataFrame) -> DataFrame:
     rest = [c for c in schemas.POST_COLUMNS if c not in ("doc_id", "query", "created_utc")]
     order = F.struct((-F.unix_micros("created_utc")).alias("_age"), "query", "created_utc", *rest)
     return (posts.groupBy("doc_id").agg(F.min(order).alias("k"))
@@ -182,7 +197,7 @@ def top_feed(posts: DataFrame, topics: DataFrame | None = None, seen: DataFrame
         ids = recent.select("doc_id").distinct()
         known = lookup_join(seen, ids, ["doc_id"], "left_semi", ["doc_id"], limit).distinct()
         recent = lookup_join(recent, known, ["doc_id"], "left_anti", ["query"], limit)
-    top = merge_topics(recent).orderBy(F.desc("created_utc"), "doc_id").limit(k)
+    top = _merged(recent).orderBy(F.desc("created_utc"), "doc_id").limit(k)
     return numbered(top)
 
 
@@ -222,7 +237,7 @@ def newest_posts(rows: DataFrame, k: int = FEED_SIZE) -> DataFrame:
     shown = rows.filter(has_text("title"))
     reach = F.timestamp_micros(F.lit(_reach(shown, None, k)).cast("bigint"))
     recent = shown.filter((F.col("created_utc") >= reach) | F.col("created_utc").isNull())
-    return merge_topics(recent).orderBy(F.desc("created_utc"), "doc_id").limit(k)
+    return _merged(recent).orderBy(F.desc("created_utc"), "doc_id").limit(k)
 
 
 def extend_feed(feed: DataFrame, arrived: DataFrame, k: int = FEED_SIZE) -> DataFrame:

@@ -63,6 +63,14 @@ def test_post_of_two_topics_shows_once(posts):
     assert keys(feed.top_feed(rows).orderBy("rank")) == [("b", "y"), ("a", "x")]
 
 
+def test_posts_are_merged_in_pieces_of_a_bounded_size(spark, posts):
+    rows = posts(*[(q, day(1), f"p{n}") for n in range(40) for q in "ab"])
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = feed.merge_topics(rows, sort_bytes=64)
+    assert got.rdd.getNumPartitions() > default
+    assert sorted(keys(got)) == sorted(("a", f"p{n}") for n in range(40))
+
+
 def test_top_feed_limits_and_hides(spark, posts, registry):
     rows = posts(*[("q", day(1, i), f"d{i:02d}") for i in range(20)], ("r", day(2), "other"),
                  ("q", day(3), "blank", 1, 0, ""), ("q", day(3), "none", 1, 0, None))
