@@ -268,6 +268,25 @@ def test_the_first_round_sends_few_rows(docs):
     assert line_dedup._first_rows(sets).count() == 5 * line_dedup.FIRST_WORDS + 1
 
 
+def test_the_first_round_settles_by_the_nearer_of_two(docs):
+    base = [f"w{i}" for i in range(12)]
+    rows = [(1, " ".join(base[:6] + list("abcdef"))), (2, " ".join(base)), (3, " ".join(base[1:]))]
+    table = docs(*rows)
+    sets = line_dedup._marked(line_dedup._lines(table)).withColumn("prefix", F.array(F.lit(7)))
+    assert [tuple(r) for r in line_dedup._settled_by_first(table, sets).collect()] == [(3, 0)]
+
+
+def test_sets_of_some_forty_words_have_the_second_bitmap(docs):
+    rows = [(n, " ".join(f"w{i}" for i in range(n))) for n in (8, 32, 33, 60)]
+    lines = {r.doc_id: r for r in line_dedup._lines(docs(*rows)).collect()}
+    assert [lines[n].b1 is None for n, _ in rows] == [True, True, False, False]
+    for n, _ in rows:
+        flipped = 0
+        for token in lines[n].tokens:
+            flipped ^= 1 << (token & 63)
+        assert lines[n].b0 & (2**64 - 1) == flipped and lines[n].n == n == len(lines[n].tokens)
+
+
 def test_line_odd_tables(empty, clashing, docs):
     assert line_dedup.without_repeated_lines(empty).count() == 0
     got = line_dedup.without_repeated_lines(clashing("a b\na b", None, "\n")).collect()
