@@ -134,6 +134,15 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return _read(spark, path, schema, live_entries(spark, path)).drop("copy")
 
 
+def read_run(spark: SparkSession, path: str, schema: T.StructType, run: str,
+             before: int) -> DataFrame:
+    """The rows of the batches of ``run`` before batch ``before``, each as last written."""
+    own = f"/run={run}"
+    entries = _entries(spark, path, own) if path_exists(spark, f"{path}/manifest{own}") else []
+    newest = {e.batch_id: e for e in sorted(entries, key=lambda e: e.at) if e.batch_id < before}
+    return _read(spark, path, schema, list(newest.values())).select(*schema.fieldNames())
+
+
 def task_count(spark: SparkSession, path: str, entries: Sequence[Entry]) -> tuple[int, ...]:
     """Partitions for a shuffle of folders' rows: none, if Spark's own number is enough."""
     needed = -(-stored_bytes(spark, *[e.folder(path) for e in entries]) // TASK_BYTES)

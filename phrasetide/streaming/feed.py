@@ -12,7 +12,7 @@ from phrasetide import schemas
 from phrasetide.operators.feed import FEED_SIZE, advance_cursor, extend_feed, newest_posts
 from phrasetide.operators.lookup import lookup_join, measured_bytes
 from phrasetide.sources import tables
-from phrasetide.streaming.posts import start
+from phrasetide.streaming.posts import run_of, start, watermark_of
 
 # Fixed value: how often the feed asks for new posts.
 POLL_INTERVAL = "500 milliseconds"
@@ -90,17 +90,61 @@ def cursors_in_state(spark, checkpoint: str, batch_id: int | None = None) -> Dat
     return state.select("key.query", F.col("value")[newest].alias("lasttime"))
 
 
-def shown_once(posts: DataFrame, delay: str) -> DataFrame:
+def shown_once(posts: DataFrame, delay: str, shown: DataFrame | None = None) -> DataFrame:
     """Each post once, under its smallest query, over the whole stream.
 
     To be run in update mode into a table keyed by ``doc_id``: a post is given
     when it first arrives, and again when a smaller query does. Copies of a post
     carry its time, so its state is freed once the watermark has passed that by
-    ``delay``.
+    ``delay``. That state is a row per post, held in memory by default;
+    :func:`start_shown_once` calls this per batch and holds none. The rows that
+    were ``shown`` before the batch then take part with the three columns that
+    decide, and go with it through one shuffle and one sort.
     """
     rest = [c for c in schemas.POST_COLUMNS if c not in ("doc_id", "created_utc", "query")]
-    kept = (posts.withWatermark("created_utc", delay)
-            .groupBy("doc_id", F.window("created_utc", "1 second").alias("w"))
-            .agg(F.min(F.struct("query", "created_utc", *rest)).alias("k")))
+    first, posts = ["query"], posts.withWatermark("created_utc", delay)
+    if shown is not None:
+        # False is before true: a post shown under the same query stays as it is.
+        first = ["query", "_new"]
+        posts = posts.withColumn("_new", F.lit(True)).unionByName(
+            shown.select("doc_id", "created_utc", "query", F.lit(False).alias("_new")),
+            allowMissingColumns=True).repartition("doc_id")
+    kept = (posts.groupBy("doc_id", F.window("created_utc", "1 second").alias("w"))
+            .agg(F.min(F.struct(*first, "created_utc", *rest)).alias("k")))
+    if shown is not None:
+        kept = kept.filter("k._new")
     return kept.select(*[F.col(c) if c == "doc_id" else F.col(f"k.{c}")
                          for c in schemas.POST_COLUMNS])
+
+
+def keep_shown(path: str, checkpoint: str, delay: str) -> Callable[[DataFrame, int], None]:
+    """Batch function: store a batch's posts that are new, or now under a smaller query.
+
+    What was shown is read from this run's batches in the table. By the watermark
+    as of the batch before, late rows are dropped and shown ones no longer read. A
+    repeated batch reads its predecessors only, so it stores the same.
+    """
+    runs: list[str] = []
+
+    def process(arrived: DataFrame, batch_id: int) -> None:
+        spark = arrived.sparkSession
+        if not runs:
+            runs.append(run_of(spark, checkpoint))
+        passed = watermark_of(spark, checkpoint, max(0, batch_id - 1)) // 1000
+        due = F.col("created_utc") >= F.timestamp_seconds(F.lit(passed))
+        shown = tables.read_run(spark, path, schemas.POST, runs[0], batch_id)
+        rows = shown_once(arrived.filter(due), delay, shown.filter(due))
+        tables.write_batch(rows, path, batch_id, runs[0])
+
+    return process
+
+
+def start_shown_once(posts: DataFrame, delay: str, path: str, checkpoint: str,
+                     interval: str | None = POLL_INTERVAL) -> StreamingQuery:
+    """Store the rows of :func:`shown_once` in a table keyed by ``doc_id``.
+
+    The table itself is the state, so no post is held in memory, and a post whose
+    query stays is not stored again.
+    """
+    return start(posts.withWatermark("created_utc", delay), keep_shown(path, checkpoint, delay),
+                 checkpoint, interval, "shown")

@@ -41,6 +41,13 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
+def watermark_of(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """The watermark that batch ``batch_id`` began with, in milliseconds; 0 at first."""
+    lines = spark.read.text(f"{checkpoint}/offsets/{batch_id}").collect()
+    return next(json.loads(r.value)["batchWatermarkMs"] for r in lines
+                if "batchWatermarkMs" in r.value)
+
+
 def store(path: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
     """Batch function: store each batch in a table, as one of this checkpoint's run.
 

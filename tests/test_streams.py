@@ -171,6 +171,65 @@ def test_shown_once_over_batches_under_the_smallest_query(spark, posts, paths):
     assert sorted((r.doc_id, r.query) for r in got) == [("x", "a"), ("y", "b")]
 
 
+def shown_rows(spark, path):
+    rows = tables.read_batches(spark, path, schemas.POST).collect()
+    return sorted((r.batch_id, r.doc_id, r.query, str(r.created_utc)) for r in rows)
+
+
+def test_posts_shown_once_are_not_stored_again_or_held_as_state(spark, posts, paths):
+    post_files(posts, paths("in"), [("b", "2024-01-01", "x"), ("d", "2024-01-01", "x")],
+               [("a", "2024-01-01", "x"), ("b", "2024-01-01", "y")],
+               [("c", "2024-01-01", "x"), ("b", "2024-01-01", "y")])
+    query = feed_stream.start_shown_once(post_stream_of(spark, paths("in")), "1 day",
+                                         paths("out"), paths("ck"), interval=None)
+    query.awaitTermination()
+    assert [r[:3] for r in shown_rows(spark, paths("out"))] == [
+        (0, "x", "b"), (1, "x", "a"), (1, "y", "b")]
+    assert all(not p["stateOperators"] for p in query.recentProgress)
+    got = tables.read_table(spark, paths("out"), schemas.POST, ["doc_id"]).collect()
+    assert sorted((r.doc_id, r.query, r.title) for r in got) == [
+        ("x", "a", "a title"), ("y", "b", "a title")]
+
+
+def test_posts_shown_once_by_batches_are_those_of_the_stream(spark, posts, paths):
+    """Late rows, nulls, times within a second and an id at two times among them."""
+    post_files(posts, paths("in"),
+               [("b", "2024-01-05", "x"), (None, "2024-01-05", "n"), ("b", None, "z")],
+               [("c", "2024-01-01", "late1"), ("a", "2024-01-09 00:00:00.7", "y"),
+                ("z", "2024-01-09 00:00:00.2", "y"), ("a", "2024-01-06", "x")],
+               [("a", "2024-01-03 23:59:59.9", "late2"), ("a", "2024-01-04", "on time"),
+                ("a", "2024-01-05", "x"), ("a", "2024-01-05", "n")],
+               [("a", "2024-01-07 23:59:59", "late3"), ("b", "2024-01-08", "w")])
+    once = feed_stream.shown_once(post_stream_of(spark, paths("in")), "1 day")
+    post_stream.start(once, post_stream.store(paths("old"), paths("ck1")), paths("ck1"),
+                      interval=None, mode="update").awaitTermination()
+    feed_stream.start_shown_once(post_stream_of(spark, paths("in")), "1 day", paths("new"),
+                                 paths("ck2"), interval=None).awaitTermination()
+    old, new = shown_rows(spark, paths("old")), shown_rows(spark, paths("new"))
+    # The stream gives a post of a batch again though its query stays.
+    assert set(new) <= set(old)
+    assert {r[1:] for r in new} == {r[1:] for r in old}
+    assert "on time" in {r[1] for r in new} and not {"late2", "late3"} & {r[1] for r in new}
+
+
+def test_posts_shown_once_after_a_restart_and_a_repeated_batch(spark, posts, paths):
+    def turn(*files):
+        post_files(posts, paths("in"), *files)
+        query = feed_stream.start_shown_once(post_stream_of(spark, paths("in")), "1 day",
+                                             paths("out"), paths("ck"), interval=None)
+        query.awaitTermination()
+
+    turn([("b", "2024-01-01", "x"), ("c", "2024-01-01", "y")])
+    turn([("c", "2024-01-01", "x"), ("a", "2024-01-01", "y")])
+    wanted = [(0, "x", "b"), (0, "y", "c"), (1, "y", "a")]
+    assert [r[:3] for r in shown_rows(spark, paths("out"))] == wanted
+    process = feed_stream.keep_shown(paths("out"), paths("ck"), "1 day")
+    for batch_id, rows in ((1, [("c", "2024-01-01", "x"), ("a", "2024-01-01", "y")]),
+                           (0, [("b", "2024-01-01", "x"), ("c", "2024-01-01", "y")])):
+        process(posts(*rows), batch_id)
+        assert [r[:3] for r in shown_rows(spark, paths("out"))] == wanted
+
+
 def test_new_checkpoint_keeps_what_is_stored(spark, lines, line, paths):
     register(spark, paths("registry"), "a")
     for name in ("one", "two"):
